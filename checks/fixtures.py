@@ -111,6 +111,14 @@ ARTICLE_TITLE = f"""case when doc_id % 10 = 9 then 'Place ' || {_str('doc_id')}
         else {title_of('doc_id')} end"""
 WIKI = "case when doc_id % 4 = 0 then 'wikivoyage' else 'wikipedia' end"
 
+MANY_LANGUAGES = """case doc_id % 11 when 0 then 'ja' when 1 then 'ru' when 2 then 'nl'
+        when 3 then 'no' when 4 then 'cs' when 5 then 'pl' when 6 then 'simple' else lang end"""
+
+# Every eighth text starts with two stray marks: backslash, n, quote.
+_STRAY = "chr(92) || 'n' || chr(34)"
+STRAY_TEXT = f"""case when doc_id % 8 = 0 then 'x' || {_STRAY} || 'y' || {_STRAY} || 'z' || text
+        else text end"""
+
 DUMP_PATH = """'/data/dumps/' || lang || case when doc_id % 4 = 0 then 'wikivoyage' else 'wiki' end ||
         case doc_id % 3 when 0 then '-latest-pages-articles.xml.bz2'
             when 1 then '-latest-externallinks.sql.gz' else '-20150501-stub.xml' end"""

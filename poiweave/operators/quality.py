@@ -59,9 +59,11 @@ def csv_integrity(spark: SparkSession, path: str, multi_line: bool = True) -> Da
 
     A row is wrong when it has not eight fields or a broken quote; every one counts.
     """
+    # Spark wants a data column next to the bad-row column, so one is looked at.
+    readable = F.col(BAD_ROW).isNull() & (F.length(F.coalesce("NAME", F.lit(""))) >= 0)
     rows = read_csv_rows(spark, path, multi_line).select(
         *PARTITION_COLUMNS,
-        F.when(F.col(BAD_ROW).isNull(), 1).otherwise(0).alias("correct"),
+        F.when(readable, 1).otherwise(0).alias("correct"),
         F.when(F.col(BAD_ROW).isNotNull(), 1).otherwise(0).alias("wrong"),
         F.lit(0).alias("line"),
     )
