@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from poiweave.functions import place
 from poiweave.functions import wikitext as wt
-from poiweave.functions.content import cut_sentence, truncate_content
+from poiweave.functions.content import cut_sentence_sql, truncate_steps
 from poiweave.functions.entities import xml_escape
 from poiweave.functions.percent import percent_decode
+from poiweave.functions.steps import with_steps
 from poiweave.operators import links as lk
 from poiweave.operators import match as mt
 from poiweave.operators import poi as pt
@@ -213,7 +214,7 @@ def article_body(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def infobox_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = wt.strip_infobox(F.col("body"))
+    text = wt.strip_infobox("body")
     return fx.articles(spark, sf_dir).select("page_id", text.alias("stripped"))
 
 
@@ -227,14 +228,14 @@ def article_plain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def content_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = fx.table(spark, sf_dir, "documents")
     text = documents.selectExpr("doc_id", f"{fx.STRAY_TEXT} as text")
-    return text.select("doc_id", truncate_content(F.col("text")).alias("head"))
+    return with_steps(text, truncate_steps("text", "head")).select("doc_id", "head")
 
 
 @query
 def content_sentence_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
-    heads = documents.withColumn("head", truncate_content(F.col("text")))
-    return heads.select("doc_id", cut_sentence(F.col("head")).alias("sentences"))
+    steps = {**truncate_steps("text", "_head"), "sentences": cut_sentence_sql("_head")}
+    return with_steps(documents, steps).select("doc_id", "sentences")
 
 
 @query

@@ -1,32 +1,39 @@
-"""From plain text to the short description of a point of interest."""
+"""From plain text to the short description of a point of interest.
+
+SQL text by column name, to be added with ``with_steps``.
+"""
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from poiweave.functions.percent import percent_decode
+from poiweave.functions.percent import percent_decode_sql
 
 MAX_CHARACTERS = 600
-_STRAY = '\\n"'  # backslash, n, quote
+_STRAY = r"""r'\n"'"""  # backslash, n, quote
 
 
-def truncate_content(text: Column, limit: int = MAX_CHARACTERS) -> Column:
-    """First ``limit`` code points, without the first stray ``\\n"`` and without any pipe."""
-    head = F.substring(text, 1, limit)
-    at = F.instr(head, _STRAY)
-    unstray = F.when(at > 0, F.overlay(head, F.lit(""), at, F.lit(len(_STRAY)))).otherwise(head)
-    return F.replace(unstray, F.lit("|"), F.lit(""))
+def truncate_steps(text: str, name: str, limit: int = MAX_CHARACTERS) -> dict[str, str]:
+    """First ``limit`` code points, without the first stray mark and without any pipe."""
+    return {
+        "_top": f"substring({text}, 1, {limit})",
+        "_at": f"instr(_top, {_STRAY})",
+        name: "replace(if(_at > 0, overlay(_top, '', _at, 3), _top), '|', '')",
+    }
 
 
-def cut_sentence(text: Column, terminators: str = ".") -> Column:
+def cut_sentence_sql(text: str, terminators: str = ".") -> str:
     """Up to and including the last full stop; empty when there is none."""
     marks = "".join(re.escape(m) for m in terminators)
-    return F.regexp_extract(text, f"(?s)^(.*[{marks}])", 1)
-
-
-def shorten(head: Column, terminators: str = ".") -> Column:
-    """Content from truncated text: cut at the last sentence, then percent-decode."""
-    return percent_decode(cut_sentence(head, terminators))
+    return f"regexp_extract({text}, r'(?s)^(.*[{marks}])', 1)"
+
+
+def content_steps(
+    text: str, name: str, limit: int = MAX_CHARACTERS, terminators: str = "."
+) -> dict[str, str]:
+    """Truncate, cut at the last sentence, percent-decode, in this order."""
+    return {
+        **truncate_steps(text, "_head", limit),
+        "_sentences": cut_sentence_sql("_head", terminators),
+        name: percent_decode_sql("_sentences"),
+    }

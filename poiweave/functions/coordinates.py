@@ -27,57 +27,50 @@ _DIVISORS = (1.0, 60.0, 3600.0)
 _NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*$"
 
 
-def coordinate_layout(tokens: Column, extended: bool = False) -> Column:
+def layout_sql(extended: bool = False) -> str:
     """``DMS``, ``DM``, ``DEC`` or NULL.
 
     With eight or more tokens the decimal layout is not tried, unless ``extended``.
     """
-    n = F.size(tokens)
 
-    def east_west(i: int) -> Column:
-        return F.get(tokens, F.lit(i)).isin("E", "W")
+    def east_west(i: int) -> str:
+        return f"get(tokens, {i}) in ('E', 'W')"
 
-    decimal_size = n >= 4 if extended else n.between(4, 7)
+    decimal_size = "size(tokens) >= 4" if extended else "size(tokens) between 4 and 7"
     return (
-        F.when((n >= 8) & east_west(7), "DMS")
-        .when((n >= 6) & east_west(5), "DM")
-        .when(decimal_size & east_west(3), "DEC")
+        f"case when size(tokens) >= 8 and {east_west(7)} then 'DMS' "
+        f"when size(tokens) >= 6 and {east_west(5)} then 'DM' "
+        f"when {decimal_size} and {east_west(3)} then 'DEC' end"
     )
 
 
-def last_component(layout: Column) -> Column:
-    out = None
-    for name, place in LAYOUTS.items():
-        out = F.when(layout == name, place) if out is None else out.when(layout == name, place)
-    return out
-
-
-def _component(tokens: Column, start: Column, last: Column, rank: int) -> Column:
-    token = F.get(tokens, start + rank)
-    token = F.when(last == rank, F.replace(token, F.lit(","), F.lit("."))).otherwise(token)
-    number = F.when(token.rlike(_NUMBER), token.try_cast("double"))
+def _component(start: str, rank: int) -> str:
+    token = f"get(tokens, {start} + {rank})"
+    token = f"if(_last = {rank}, replace({token}, ',', '.'), {token})"
+    number = f"if({token} rlike r'{_NUMBER}', try_cast({token} as double), null)"
     if rank == 0:
         return number
-    return F.when(last < rank, 0.0).otherwise(number / F.lit(_DIVISORS[rank]))
-
+    return f"if(_last < {rank}, 0D, {number} / {_DIVISORS[rank]}D)"
 
-def _axis(tokens: Column, start: Column, last: Column, negative: str) -> Column:
-    degrees = _component(tokens, start, last, 0)
-    for rank in (1, 2):
-        degrees = degrees + _component(tokens, start, last, rank)
-    sign = F.when(F.get(tokens, start + last + 1) == negative, -1.0).otherwise(1.0)
-    # Adding 0.0 takes the sign off a negated zero.
-    return degrees * sign + F.lit(0.0)
 
+def _axis(start: str, negative: str) -> str:
+    """Sum of the components with the hemisphere's sign; NULL when one is not a number.
 
-def latitude(last: Column, tokens: Column) -> Column:
-    """Latitude in degrees; NULL when a component is not a number."""
-    return _axis(tokens, F.lit(0), last, "S")
-
-
-def longitude(last: Column, tokens: Column) -> Column:
-    """Longitude in degrees; NULL when a component is not a number."""
-    return _axis(tokens, last + 2, last, "W")
+    Adding zero takes the sign off a negated zero.
+    """
+    total = " + ".join(_component(start, rank) for rank in range(len(_DIVISORS)))
+    sign = f"if(get(tokens, {start} + _last + 1) = '{negative}', -1D, 1D)"
+    return f"({total}) * {sign} + 0D"
+
+
+# From ``layout`` and ``tokens``; a later entry may refer to an earlier one.
+VALUES = {
+    "_last": "case layout "
+    + " ".join(f"when '{name}' then {place}" for name, place in LAYOUTS.items())
+    + " end",
+    "latitude": _axis("0", "S"),
+    "longitude": _axis("_last + 2", "W"),
+}
 
 
 def in_range(lat: Column, lon: Column) -> Column:

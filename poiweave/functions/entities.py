@@ -16,6 +16,12 @@ def _replace_all(col: Column, pairs: list[tuple[str, str]]) -> Column:
     return col
 
 
+def decode_entities_sql(col: str) -> str:
+    for old, new in DECODED:
+        col = f"replace({col}, '{old}', '{new}')"
+    return col
+
+
 def decode_entities(col: Column) -> Column:
     return _replace_all(col, DECODED)
 

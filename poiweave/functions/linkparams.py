@@ -1,37 +1,41 @@
-"""Fields of a map link: page name, language, and the ``_``-separated parameter tokens."""
+"""Fields of a map link: page name, language, and the ``_``-separated parameter tokens.
+
+SQL text by column name; a later entry may refer to an earlier one.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from poiweave.functions.percent import percent_decode_sql
 
 # Case-insensitive; "." stops at "\n" only (flag d).
 _PAGE_NAME = "(?id)pagename=.*?','"
 _HEAD, _TAIL = len("pagename="), len("','")
 
 
-def page_name_match(tuple_text: Column) -> Column:
-    """From ``pagename=`` through the closing ``','``; empty when the tuple is corrupt."""
-    return F.regexp_extract(tuple_text, _PAGE_NAME, 0)
-
-
-def query_slice(match: Column) -> Column:
-    """The match without its ends; NULL when there is none."""
-    inner = F.substring(match, F.lit(_HEAD + 1), F.length(match) - (_HEAD + _TAIL))
-    return F.when(match != "", inner)
+def _last_value(items: str, test: str, marker: str) -> str:
+    """Last item that passes ``test``, without the marker; NULL when there is none."""
+    return (
+        f"replace(try_element_at(filter({items}, x -> {test}(x, '{marker}')), -1), '{marker}', '')"
+    )
 
 
-def _last_value(items: Column, keep, marker: str) -> Column:
-    last = F.try_element_at(F.filter(items, keep), F.lit(-1))
-    return F.replace(last, F.lit(marker), F.lit(""))
+def last_part(marker: str) -> str:
+    return _last_value("_parts", "contains", marker)
 
 
-def last_part(parts: Column, marker: str) -> Column:
-    """Last part that contains ``marker``, without it; NULL when there is none."""
-    return _last_value(parts, lambda x: F.contains(x, F.lit(marker)), marker)
+def last_token(marker: str) -> str:
+    return f"coalesce({_last_value('tokens', 'startswith', marker)}, '')"
 
 
-def last_token(tokens: Column, marker: str) -> Column:
-    """Last token that starts with ``marker``, without it; empty when there is none."""
-    found = _last_value(tokens, lambda x: F.startswith(x, F.lit(marker)), marker)
-    return F.coalesce(found, F.lit(""))
+# ``slice`` is NULL for a corrupt tuple, ``tokens`` for a link without parameters.
+FIELDS = {
+    "_match": f'regexp_extract(tuple, r"{_PAGE_NAME}", 0)',
+    "slice": f"if(_match <> '', substring(_match, {_HEAD + 1}, length(_match) - {_HEAD + _TAIL}), null)",
+    "_parts": "split(slice, '&')",
+    "title_raw": "get(_parts, 0)",
+    "language": f"coalesce({last_part('language=')}, '')",
+    "tokens": f"split({last_part('params=')}, '_')",
+    "poitype": last_token("type:"),
+    "region": last_token("region:"),
+}
+TITLE = percent_decode_sql("title_raw")

@@ -12,76 +12,72 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from poiweave.functions.entities import decode_entities
+from poiweave.functions.entities import decode_entities_sql
+from poiweave.functions.steps import with_steps
 
 TEMPLATE_PASSES = 4
 _PAIRED_TAGS = ["ref", "gallery", "math", "nowiki", "timeline"]
 
 
 class Pass(NamedTuple):
-    """Replacements that can only apply to a text holding one of ``markers``."""
+    """Replacements that can only apply to a text holding ``marker``."""
 
-    markers: tuple[str, ...]
+    marker: str
     replacements: tuple[tuple[str, str], ...]
 
 
 # From a line holding "{{Infobox" through the next line holding "}}" (or to the end).
 INFOBOX = Pass(
-    ("{{Infobox",),
+    "{{Infobox",
     ((r"(?s)(^|\n)[^\n]*\{\{Infobox[^\n]*(\n.*?\}\}[^\n]*|\n.*$|$)", "\n"),),
 )
 MARKUP = (
     INFOBOX,
-    Pass(("<!--",), ((r"(?s)<!--.*?-->", ""),)),
-    Pass(("/>",), ((rf"(?is)<({'|'.join(_PAIRED_TAGS)})\b[^<>]*/>", ""),)),
-    Pass(("</",), tuple((rf"(?is)<{tag}\b[^<>]*>.*?</{tag}>", "") for tag in _PAIRED_TAGS)),
-    Pass(("{{",), ((r"\{\{[^{}]*\}\}", ""),) * TEMPLATE_PASSES),
-    Pass(("{|",), ((r"(?s)\{\|.*?\|\}", ""),)),
+    Pass("<!--", ((r"(?s)<!--.*?-->", ""),)),
+    Pass("/>", ((rf"(?is)<({'|'.join(_PAIRED_TAGS)})\b[^<>]*/>", ""),)),
+    Pass("</", tuple((rf"(?is)<{tag}\b[^<>]*>.*?</{tag}>", "") for tag in _PAIRED_TAGS)),
+    Pass("{{", ((r"\{\{[^{}]*\}\}", ""),) * TEMPLATE_PASSES),
+    Pass("{|", ((r"(?s)\{\|.*?\|\}", ""),)),
     Pass(
-        ("[[",),
+        "[[",
         (
             (r"(?i)\[\[(file|image|category):[^\[\]]*\]\]", ""),
             (r"\[\[(?:[^\[\]]*\|)?([^\[\]|]*)\]\]", "$1"),
         ),
     ),
     Pass(
-        ("[http",),
+        "[http",
         (
             (r"\[https?://[^\s\[\]]+\s+([^\[\]]*)\]", "$1"),
             (r"\[https?://[^\s\[\]]+\]", ""),
         ),
     ),
-    Pass(("''",), ((r"'{2,}", ""),)),
-    Pass(("=",), ((r"(?dm)^=+[ \t]*(.*?)[ \t]*=+[ \t]*$", "$1"),)),
-    Pass(("<",), ((r"<[^<>]+>", ""),)),
+    Pass("''", ((r"'{2,}", ""),)),
+    Pass("=", ((r"(?dm)^=+[ \t]*(.*?)[ \t]*=+[ \t]*$", "$1"),)),
+    Pass("<", ((r"<[^<>]+>", ""),)),
 )
 
 
-def _apply(text: Column, step: Pass) -> Column:
-    """A substring test on the bytes spares most texts the regular expression."""
-    present = F.contains(text, F.lit(step.markers[0]))
-    for marker in step.markers[1:]:
-        present = present | F.contains(text, F.lit(marker))
+def _apply(text: str, step: Pass) -> str:
+    """SQL text.  A substring test on the bytes spares most texts the regular expression."""
     replaced = text
     for pattern, replacement in step.replacements:
-        replaced = F.regexp_replace(replaced, pattern, replacement)
-    return F.when(present, replaced).otherwise(text)
+        replaced = f'regexp_replace({replaced}, r"{pattern}", r"{replacement}")'
+    return f'if(contains({text}, "{step.marker}"), {replaced}, {text})'
 
 
-def strip_infobox(body: Column) -> Column:
-    return _apply(body, INFOBOX)
+def strip_infobox(body: str) -> Column:
+    return F.expr(_apply(body, INFOBOX))
 
 
 def with_plain_text(df: DataFrame, body: str, name: str) -> DataFrame:
-    """Adds ``name``: the readable text of ``body``, one space between words.
-
-    Every pass is its own projection, since it refers to the text before it several times.
-    """
-    df = df.withColumn(name, F.col(body))
-    for step in MARKUP:
-        df = df.withColumn(name, _apply(F.col(name), step))
-    joined = F.regexp_replace(decode_entities(F.col(name)), r"[ \t\r\n]+", " ")
-    return df.withColumn(name, F.trim(joined))
+    """Adds ``name``: the readable text of ``body``, one space between words."""
+    steps, text = {}, body
+    for number, step in enumerate(MARKUP):
+        steps[f"_pass{number}"] = _apply(text, step)
+        text = f"_pass{number}"
+    joined = f'regexp_replace({decode_entities_sql(text)}, r"[ \t\r\n]+", " ")'
+    return with_steps(df, {**steps, name: f"trim({joined})"})
 
 
 def leftover_templates(text: Column) -> Column:

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poiweave.functions import coordinates as geo
-from poiweave.functions.linkparams import last_part, last_token, page_name_match, query_slice
-from poiweave.functions.percent import percent_decode
+from poiweave.functions.linkparams import FIELDS, TITLE
+from poiweave.functions.steps import with_steps
 from poiweave.operators.once import computed_once
 from poiweave.schemas import LINK_SCHEMA
 
@@ -32,48 +32,15 @@ def link_fields(tuples: DataFrame) -> DataFrame:
 
     ``slice`` is NULL for a corrupt tuple, ``tokens`` for a link without parameters.
     """
-    return (
-        tuples.withColumn("match", page_name_match(F.col("tuple")))
-        .withColumn("slice", query_slice(F.col("match")))
-        .withColumn("parts", F.split("slice", "&"))
-        .withColumns(
-            {
-                "title_raw": F.get("parts", F.lit(0)),
-                "language": F.coalesce(last_part(F.col("parts"), "language="), F.lit("")),
-                "tokens": F.split(last_part(F.col("parts"), "params="), "_"),
-            }
-        )
-        .withColumns(
-            {
-                "poitype": F.coalesce(last_token(F.col("tokens"), "type:"), F.lit("")),
-                "region": F.coalesce(last_token(F.col("tokens"), "region:"), F.lit("")),
-            }
-        )
-        .drop("match", "parts")
-    )
+    return with_steps(tuples, FIELDS)
 
 
 def with_layout(fields: DataFrame, extended_layouts: bool = False) -> DataFrame:
-    return fields.withColumn("layout", geo.coordinate_layout(F.col("tokens"), extended_layouts))
+    return with_steps(fields, {"layout": geo.layout_sql(extended_layouts)})
 
 
 def with_coordinates(laid_out: DataFrame) -> DataFrame:
-    last, tokens = F.col("_last"), F.col("tokens")
-    return (
-        laid_out.withColumn("_last", geo.last_component(F.col("layout")))
-        .withColumns(
-            {"latitude": geo.latitude(last, tokens), "longitude": geo.longitude(last, tokens)}
-        )
-        .drop("_last")
-    )
-
-
-def with_title(fields: DataFrame, normalize_title: bool = False) -> DataFrame:
-    """Decoded title; ``normalize_title`` also writes ``_`` as a space."""
-    title = percent_decode(F.col("title_raw"))
-    if normalize_title:
-        title = F.replace(title, F.lit("_"), F.lit(" "))
-    return fields.withColumn("title", title)
+    return with_steps(laid_out, geo.VALUES)
 
 
 def geo_links(
@@ -88,8 +55,9 @@ def geo_links(
     NULL and the link is kept; ``strict`` keeps links with both axes on the globe only.
     Columns of ``tuples`` other than the tuple itself are carried along.
     """
-    laid_out = with_layout(link_fields(geo_tuples(tuples)), extended_layouts)
-    valued = with_title(with_coordinates(laid_out), normalize_title)
+    title = f"replace({TITLE}, '_', ' ')" if normalize_title else TITLE
+    steps = {**FIELDS, "layout": geo.layout_sql(extended_layouts), **geo.VALUES, "title": title}
+    valued = with_steps(geo_tuples(tuples), steps)
     carried = [c for c in tuples.columns if c not in _WORK_COLUMNS]
     columns = LINK_SCHEMA.fieldNames()
     parsed = computed_once(

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from poiweave.functions import place
-from poiweave.functions.content import MAX_CHARACTERS, shorten, truncate_content
+from poiweave.functions.content import MAX_CHARACTERS, content_steps
 from poiweave.functions.entities import decode_entities
 from poiweave.functions.percent import percent_decode
+from poiweave.functions.steps import with_steps
 from poiweave.functions.wikitext import infobox_website, with_plain_text
 from poiweave.operators.match import KEYS, match_articles
 from poiweave.operators.once import computed_once
@@ -32,10 +33,9 @@ def with_content(
     articles: DataFrame, limit: int = MAX_CHARACTERS, terminators: str = "."
 ) -> DataFrame:
     """Adds ``content``: the body cleaned, truncated, cut and decoded, in this order."""
-    cleaned = with_plain_text(articles, "body", "_text")
-    headed = cleaned.withColumn("_head", truncate_content(F.col("_text"), limit))
-    content = shorten(F.col("_head"), terminators)
-    return computed_once(headed, {"content": content}, drop=("_text", "_head"))
+    cleaned = with_plain_text(articles, "body", "plain")
+    cut = with_steps(cleaned, content_steps("plain", "content", limit, terminators))
+    return computed_once(cut, {"content": F.col("content")}, drop=("plain",))
 
 
 def derive_poi(

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from poiweave.schemas import CATALOGUE_SCHEMA, LABEL_SCHEMA
 
-_DUMP_NAME = r"([^/]+?)(wikivoyage|wiki)-latest-(externallinks\.sql|pages-articles\.xml)[^/]*$"
+# A dump is a file of this name, several numbered ones, or a directory of parts.
+_DUMP_NAME = (
+    r"([^/]+?)(wikivoyage|wiki)-latest-(externallinks|pages-articles)\d*\.(?:sql|xml)"
+    r"[^/]*(?:/[^/]*)?$"
+)
 
 # Language codes with an encyclopedia, and those with a travel guide.
 ENCYCLOPEDIA_LANGUAGES = (
