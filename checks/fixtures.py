@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poiweave.functions.entities import ESCAPED
+from poiweave.functions.steps import with_steps
 from poiweave.operators.once import computed_once
 from poiweave.operators.spread import spread
 
@@ -53,39 +54,49 @@ def encoded_title_of(c: str) -> str:
 NS = f"case when {_div('k', 12)} % 2 = 0 then 'N' else 'S' end"
 EW = f"case when {_div('k', 24)} % 2 = 0 then 'E' else 'W' end"
 _DMS = (
-    f"{_str('k % 90')} || '_' || {_str('c % 60')} || '_' || {_tenths('k')} || '_' || {NS} || '_' || "
-    f"{_str('c % 180')} || '_' || {_str('k % 60')} || '_' || {_tenths('c')} || '_' || {EW}"
-)
-_DM = (
-    f"{_str('k % 90')} || '_' || {_str('c % 60')} || '_' || {NS} || '_' || "
-    f"{_str('c % 180')} || '_' || {_str('k % 60')} || '_' || {EW}"
+    f"concat_ws('_', k % 90, c % 60, {_tenths('k')}, {NS}, "
+    f"c % 180, k % 60, {_tenths('c')}, {EW})"
 )
+_DM = f"concat_ws('_', k % 90, c % 60, {NS}, c % 180, k % 60, {EW})"
 
 
 def _dec(point: str) -> str:
     return (
-        f"{_str('k % 90')} || '{point}' || {_str('c % 10')} || '_' || {NS} || '_' || "
-        f"{_str('c % 180')} || '{point}' || {_str('k % 10')} || '_' || {EW}"
+        f"concat_ws('_', concat(k % 90, '{point}', c % 10), {NS}, "
+        f"concat(c % 180, '{point}', k % 10), {EW})"
     )
 
 
-PARAMS = f"""case k % 12
-        when 0 then {_DMS}
-        when 1 then {_DMS} || '_type:city_region:US-CA'
-        when 2 then {_DM}
-        when 3 then {_DM} || '_type:landmark_region:NL'
-        when 4 then {_dec('.')}
-        when 5 then {_dec(',')}
-        when 6 then {_dec('.')} || '_type:City_region:DE-BY'
-        when 7 then {_dec('.')} || '_type:city_region:XYZ_dim:10_scale:5'
+def _geo_tuple(dms: str, dm: str, dec: str, dec_comma: str, title: str) -> str:
+    """Map-link tuple from its position texts."""
+    params = f"""case k % 12
+        when 0 then {dms}
+        when 1 then concat({dms}, '_type:city_region:US-CA')
+        when 2 then {dm}
+        when 3 then concat({dm}, '_type:landmark_region:NL')
+        when 4 then {dec}
+        when 5 then {dec_comma}
+        when 6 then concat({dec}, '_type:City_region:DE-BY')
+        when 7 then concat({dec}, '_type:city_region:XYZ_dim:10_scale:5')
         when 8 then 'abc_N_5.5_E_type:country'
         when 9 then '52_N'
         else '' end"""
-
-GEO_TUPLE = f"""{_str('k')} || ',' || {_str('c')} || ',' || {Q} ||
-        'http://maps.example/geohack.php?pagename=' || {encoded_title_of('c')} ||
-        '&language=en' || case when k % 12 = 10 then '&xparams' else '&params=' end || {PARAMS} ||
-        case when k % 12 = 11 then '' else {Q} || ',' || {Q} || 'http://example.maps.' || {Q} end"""
+    return f"""concat(k, ',', c, ',', {Q}, 'http://maps.example/geohack.php?pagename=', {title},
+        '&language=en', case when k % 12 = 10 then '&xparams' else '&params=' end, {params},
+        case when k % 12 = 11 then ''
+            else concat({Q}, ',', {Q}, 'http://example.maps.', {Q}) end)"""
+
+
+GEO_TUPLE = _geo_tuple(_DMS, _DM, _dec("."), _dec(","), encoded_title_of("c"))
+# The same, its parts first.
+GEO_TUPLE_STEPS = {
+    "_dms": _DMS,
+    "_dm": _DM,
+    "_dec": _dec("."),
+    "_dec_comma": _dec(","),
+    "_title": encoded_title_of("c"),
+    "tuple": _geo_tuple("_dms", "_dm", "_dec", "_dec_comma", "_title"),
+}
 
 # A link that is no map link, between the map links of a dump.
 PLAIN_TUPLE = (
@@ -132,7 +143,7 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One map-link tuple per order: ``k`` (dump order), ``c``, ``lang``, ``tuple``."""
     orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey as k", "o_custkey as c")
     keyed = spread(orders, "k").withColumn("lang", F.lit("en"))
-    return computed_once(keyed, {"tuple": F.expr(GEO_TUPLE)})
+    return computed_once(with_steps(keyed, GEO_TUPLE_STEPS), {"tuple": F.col("tuple")})
 
 
 def link_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,9 +17,12 @@ def _replace_all(col: Column, pairs: list[tuple[str, str]]) -> Column:
 
 
 def decode_entities_sql(col: str) -> str:
-    for old, new in DECODED:
-        col = f"replace({col}, '{old}', '{new}')"
-    return col
+    """SQL text of the same; without ``&`` only the last replacement can apply."""
+    decoded = col
+    for old, new in DECODED[:-1]:
+        decoded = f"replace({decoded}, '{old}', '{new}')"
+    old, new = DECODED[-1]
+    return f"replace(if(contains({col}, '&'), {decoded}, {col}), '{old}', '{new}')"
 
 
 def decode_entities(col: Column) -> Column:

@@ -1,9 +1,9 @@
 """Joins of articles with geo-links on the exact title.
 
-No side is broadcast by force.  Spark broadcasts the links when the statistics of the
-stored link table, or the measured size of its shuffle, are under
-``spark.sql.autoBroadcastJoinThreshold``; otherwise both sides are shuffled on the
-title, where AQE splits a partition that one title makes too large.
+Links are unique on the join key, so their rows spread evenly over the join's partitions,
+whose number follows the far larger article side.  The shuffled join therefore builds
+its hash tables from the links and does not sort article bodies.  A title that many
+articles share makes a large partition; AQE splits that on the article side.
 """
 
 from __future__ import annotations
@@ -19,10 +19,18 @@ def normalized(df: DataFrame) -> DataFrame:
     return df.withColumn("title", F.replace("title", F.lit("_"), F.lit(" ")))
 
 
-def match_articles(articles: DataFrame, links: DataFrame, on: list[str] = KEYS) -> DataFrame:
-    """Articles that have a link, with the link's columns.  ``links`` is unique on ``on``."""
+def match_articles(
+    articles: DataFrame, links: DataFrame, on: list[str] = KEYS, small_links: bool = False
+) -> DataFrame:
+    """Articles that have a link, with the link's columns.  ``links`` is unique on ``on``.
+
+    ``small_links`` broadcasts the links and spares the shuffle of article bodies.  Set it
+    only where their stored size has been checked, as the article job does.
+    """
     extra = [c for c in links.columns if c in on or c not in articles.columns]
-    return articles.join(links.select(*extra), on, "inner")
+    right = links.select(*extra)
+    right = F.broadcast(right) if small_links else right.hint("shuffle_hash")
+    return articles.join(right, on, "inner")
 
 
 def unmatched_articles(articles: DataFrame, links: DataFrame, on: list[str] = KEYS) -> DataFrame:

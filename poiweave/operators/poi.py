@@ -76,13 +76,14 @@ def build_poi(
     articles: DataFrame,
     links: DataFrame,
     on: list[str] = KEYS,
+    small_links: bool = False,
     **options,
 ) -> DataFrame:
     """Join first, then parse and clean: only pages with a link are worth the text work.
 
     ``articles`` holds either raw ``page`` records or a ``body`` column.
     """
-    matched = match_articles(articles, links, on)
+    matched = match_articles(articles, links, on, small_links)
     if "body" not in matched.columns:
         matched = with_body(matched)
     return derive_poi(with_text(matched), **options)

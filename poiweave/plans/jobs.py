@@ -21,7 +21,10 @@ from poiweave.sinks.tables import write_link_table, write_poi_table
 from poiweave.sources.articledump import read_article_dumps
 from poiweave.sources.catalog import in_catalogue
 from poiweave.sources.linkdump import link_tuples, read_link_dumps
-from poiweave.sources.tables import read_table
+from poiweave.sources.tables import read_table, stored_bytes
+
+# Compressed bytes; about ten times that in memory.
+BROADCAST_LIMIT = 32 << 20
 
 
 def latest_links(spark: SparkSession, dumps: str | list[str], **options) -> DataFrame:
@@ -52,15 +55,21 @@ def import_articles(
     poi_table: str,
     normalize_title: bool = False,
     listed_languages_only: bool = False,
+    broadcast_limit: int = BROADCAST_LIMIT,
     **options,
 ) -> None:
-    """``normalize_title`` needs a link table imported with the same option."""
+    """Links up to ``broadcast_limit`` bytes on disk are broadcast, larger tables shuffled.
+
+    ``normalize_title`` needs a link table imported with the same option.
+    """
     pages = read_article_dumps(spark, dumps)
     if listed_languages_only:
         pages = in_catalogue(pages)
     if normalize_title:
         pages = normalized(pages)
-    write_poi_table(build_poi(pages, read_table(spark, link_table), **options), poi_table)
+    links = read_table(spark, link_table)
+    small = stored_bytes(spark, link_table) <= broadcast_limit
+    write_poi_table(build_poi(pages, links, small_links=small, **options), poi_table)
 
 
 WRITERS = {

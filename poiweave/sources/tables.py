@@ -62,3 +62,10 @@ def read_table(
         if wanted is not None:
             df = df.filter(df[column].isin([wanted] if isinstance(wanted, str) else wanted))
     return df
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes that a stored table takes on disk."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getContentSummary(location).getLength()
