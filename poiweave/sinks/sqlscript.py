@@ -66,7 +66,7 @@ def _write(
         F.lit("drop table if exists "), table, F.lit(";\ncreate table "), table, F.lit(f" {fields};")
     )
     index = F.concat(
-        F.lit("create index "), F.col("lang"), F.lit("TITLE on "), table, F.lit("(TITLE);")
+        F.lit("create index "), table, F.lit("_TITLE on "), table, F.lit("(TITLE);")
     )
     frame = F.explode(
         F.array(
