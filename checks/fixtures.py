@@ -168,11 +168,17 @@ def link_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("lang", "line_ord", F.explode(lines).alias("value"))
 
 
-def articles(spark: SparkSession, sf_dir: str, spread_out: bool = True) -> DataFrame:
+def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The articles without their bodies."""
+    return table(spark, sf_dir, "documents").selectExpr(
+        "lang", f"{WIKI} as wiki", "doc_id as page_id", f"{ARTICLE_TITLE} as title"
+    )
+
+
+def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One article per document: ``lang``, ``wiki``, ``page_id``, ``title``, ``body``."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    if spread_out:
-        documents = spread(documents, "doc_id")
+    documents = spread(documents, "doc_id")
     made = {"wiki": WIKI, "page_id": "doc_id", "title": ARTICLE_TITLE, "body": body_of()}
     columns = {name: F.expr(text) for name, text in made.items()}
     return computed_once(documents, columns, drop=("doc_id", "text"))

@@ -24,10 +24,11 @@ from poiweave.operators.dedup import keep_last, keep_last_window
 from poiweave.schemas import PARTITION_COLUMNS, POI_COLUMNS, POI_TEXT_COLUMNS
 from poiweave.sinks import gpx, osm, sqlscript
 from poiweave.sinks.csvfiles import CSV_OPTIONS, write_csv
+from poiweave.sinks.tables import write_poi_table
 from poiweave.sources import catalog
 from poiweave.sources.articledump import pages_from_records, with_body
 from poiweave.sources.linkdump import link_tuples as split_tuples
-from poiweave.sources.tables import read_poi_csv
+from poiweave.sources.tables import read_poi_csv, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -253,12 +254,8 @@ def infobox_website(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- joins -----------------------------------------------------------------------------
 
 
-def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.articles(spark, sf_dir, spread_out=False).select("lang", "wiki", "page_id", "title")
-
-
 def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mt.match_articles(_titles(spark, sf_dir), _last_links(spark, sf_dir), ON)
+    return mt.match_articles(fx.titles(spark, sf_dir), _last_links(spark, sf_dir), ON)
 
 
 _MATCH_COLUMNS = [
@@ -273,26 +270,26 @@ def article_link_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def article_link_join_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    articles = mt.normalized(_titles(spark, sf_dir))
+    articles = mt.normalized(fx.titles(spark, sf_dir))
     links = _last_links(spark, sf_dir, normalize_title=True)
     return mt.match_articles(articles, links, ON).select(*_MATCH_COLUMNS)
 
 
 @query
 def unmatched_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = mt.unmatched_articles(_titles(spark, sf_dir), _last_links(spark, sf_dir), ON)
+    left = mt.unmatched_articles(fx.titles(spark, sf_dir), _last_links(spark, sf_dir), ON)
     return left.select("page_id", "title")
 
 
 @query
 def unmatched_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = mt.unmatched_links(_titles(spark, sf_dir), _last_links(spark, sf_dir), ON)
+    left = mt.unmatched_links(fx.titles(spark, sf_dir), _last_links(spark, sf_dir), ON)
     return left.select("k", "title")
 
 
 @query
 def match_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mt.match_rate(_titles(spark, sf_dir), _last_links(spark, sf_dir), ON)
+    return mt.match_rate(fx.titles(spark, sf_dir), _last_links(spark, sf_dir), ON)
 
 
 # --- points of interest ----------------------------------------------------------------
@@ -300,7 +297,7 @@ def match_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def poi_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = catalog.with_labels(_titles(spark, sf_dir))
+    labelled = catalog.with_labels(fx.titles(spark, sf_dir))
     url = place.page_url(F.col("wiki_label"), F.col("lang"), F.col("title"))
     return labelled.select("page_id", url.alias("url"))
 
@@ -369,7 +366,9 @@ def xml_escape_markup(col):
 
 @query
 def poi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qa.poi_counts(poi(spark, sf_dir))
+    """Counts the rows to be written, without the text work."""
+    articles, links = fx.articles(spark, sf_dir), _last_links(spark, sf_dir)
+    return qa.poi_counts(pt.emitted_articles(articles, links, ON))
 
 
 # --- outputs ---------------------------------------------------------------------------
@@ -386,9 +385,15 @@ def poi_gpx_waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gpx.waypoint_fragments(poi(spark, sf_dir))
 
 
+def _stored_poi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "poi")
+    write_poi_table(poi(spark, sf_dir), path)
+    return read_table(spark, path)
+
+
 @query
 def poi_osm_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = osm.osm_nodes(poi(spark, sf_dir))
+    nodes = osm.osm_nodes(_stored_poi(spark, sf_dir))
     return nodes.select(
         *PARTITION_COLUMNS,
         F.col("_id").alias("node_id"),
@@ -400,7 +405,7 @@ def poi_osm_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def poi_osm_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return osm.osm_tags(poi(spark, sf_dir))
+    return osm.osm_tags(_stored_poi(spark, sf_dir))
 
 
 @query

@@ -72,6 +72,20 @@ def derive_poi(
     )
 
 
+def emitted_articles(
+    articles: DataFrame, links: DataFrame, on: list[str] = KEYS, small_links: bool = False
+) -> DataFrame:
+    """Articles with a link and a text: one point of interest each.
+
+    Join first, then parse: only pages with a link are worth the work.  ``articles``
+    holds either raw ``page`` records or a ``body`` column.
+    """
+    matched = match_articles(articles, links, on, small_links)
+    if "body" not in matched.columns:
+        matched = with_body(matched)
+    return with_text(matched)
+
+
 def build_poi(
     articles: DataFrame,
     links: DataFrame,
@@ -79,14 +93,7 @@ def build_poi(
     small_links: bool = False,
     **options,
 ) -> DataFrame:
-    """Join first, then parse and clean: only pages with a link are worth the text work.
-
-    ``articles`` holds either raw ``page`` records or a ``body`` column.
-    """
-    matched = match_articles(articles, links, on, small_links)
-    if "body" not in matched.columns:
-        matched = with_body(matched)
-    return derive_poi(with_text(matched), **options)
+    return derive_poi(emitted_articles(articles, links, on, small_links), **options)
 
 
 def decode_poi_entities(poi: DataFrame) -> DataFrame:

@@ -38,6 +38,7 @@ def link_scan_counts(tuples: DataFrame) -> DataFrame:
 
 
 def poi_counts(poi: DataFrame) -> DataFrame:
+    """Per wiki and language; takes stored points or emitted articles."""
     return poi.groupBy(*PARTITION_COLUMNS).agg(F.count("*").alias("pois"))
 
 
