@@ -24,7 +24,8 @@ def number_rows(
     its rank within the range.  Only the range counts, one row per range, are summed up
     per group.  ``df`` is evaluated twice, so pass a stored table.
     """
-    bucketed = df.withColumn("_bucket", F.floor(F.col(id_column) / F.lit(width)))
+    # A missing id gets a range of its own, so that its row stays.
+    bucketed = df.withColumn("_bucket", F.expr(f"coalesce({id_column} div {width}, -1)"))
     earlier = Window.partitionBy(*groups).orderBy("_bucket")
     starts = (
         bucketed.groupBy(*groups, "_bucket")

@@ -12,16 +12,25 @@ from poiweave.sources.tables import BAD_ROW, read_csv_rows, read_lines
 
 
 def with_reject_reason(tuples: DataFrame, extended_layouts: bool = False) -> DataFrame:
-    """First test a tuple fails: ``not_geo``, ``corrupt``, ``no_params``, ``layout``; else ``kept``."""
-    tested = with_layout(link_fields(tuples), extended_layouts)
+    """First test a tuple fails: ``not_geo``, ``corrupt``, ``no_params``, ``layout``; else ``kept``.
+
+    Tuples that are no map link, nearly all of a dump, are blanked before the parsing.
+    """
+    marked = tuples.select("*", is_geo_link(F.col("tuple")).alias("_geo"))
+    blanked = marked.select(
+        *tuples.columns, "_geo", F.col("tuple").alias("_whole")
+    ).withColumn("tuple", F.when(F.col("_geo"), F.col("tuple")))
+    tested = with_layout(link_fields(blanked), extended_layouts)
     reason = (
-        F.when(~is_geo_link(F.col("tuple")), "not_geo")
+        F.when(~F.col("_geo"), "not_geo")
         .when(F.col("slice").isNull(), "corrupt")
         .when(F.col("tokens").isNull(), "no_params")
         .when(F.col("layout").isNull(), "layout")
         .otherwise("kept")
     )
-    return tested.select(*tuples.columns, reason.alias("reason"))
+    return tested.withColumn("tuple", F.col("_whole")).select(
+        *tuples.columns, reason.alias("reason")
+    )
 
 
 def link_reject_reasons(tuples: DataFrame) -> DataFrame:

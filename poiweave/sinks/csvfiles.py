@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from poiweave.schemas import PARTITION_COLUMNS, POI_COLUMNS
-from poiweave.sinks.layout import MAX_RECORDS_PER_FILE, writer
+from poiweave.sinks.layout import writer
+
+# A CSV file with line ends in its fields is read by one task, hence the smaller files.
+MAX_RECORDS_PER_FILE = 100_000
 
 CSV_OPTIONS = {"quoteAll": "true", "escape": '"', "emptyValue": "", "nullValue": ""}
 

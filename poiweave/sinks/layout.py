@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, DataFrameWriter
 
 from poiweave.schemas import PARTITION_COLUMNS
 
-MAX_RECORDS_PER_FILE = 500_000
+MAX_RECORDS_PER_FILE = 1_000_000
 
 
 def balanced(df: DataFrame, keys: list[str] = PARTITION_COLUMNS) -> DataFrame:
