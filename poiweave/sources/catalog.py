@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from poiweave.functions.steps import with_steps
 from poiweave.schemas import CATALOGUE_SCHEMA, LABEL_SCHEMA
 
 # A dump is a file of this name, several numbered ones, or a directory of parts.
@@ -19,6 +20,7 @@ ENCYCLOPEDIA_LANGUAGES = (
     "nl nn no pl pt ro ru sh simple sk sl sr sv te tr uk uz vi vo zh"
 )
 TRAVEL_GUIDE_LANGUAGES = "de el en es fa fr he it nl pl pt ro ru sv uk vi zh"
+CATALOGUE = {"wikipedia": ENCYCLOPEDIA_LANGUAGES, "wikivoyage": TRAVEL_GUIDE_LANGUAGES}
 
 # Language, label of the article address, label of the wiki page.
 LABELS = [
@@ -62,29 +64,38 @@ def language_labels(spark: SparkSession) -> DataFrame:
 
 
 def language_catalogue(spark: SparkSession) -> DataFrame:
-    rows = [("wikipedia", lang) for lang in ENCYCLOPEDIA_LANGUAGES.split()]
-    rows += [("wikivoyage", lang) for lang in TRAVEL_GUIDE_LANGUAGES.split()]
+    rows = [(wiki, lang) for wiki, codes in CATALOGUE.items() for lang in codes.split()]
     return spark.createDataFrame(rows, CATALOGUE_SCHEMA)
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "\\'") + "'"
+
+
+def _by_language(place: int) -> str:
+    branches = " ".join(f"when {_text(row[0])} then {_text(row[place])}" for row in LABELS)
+    return f"case lang {branches} else {_text(DEFAULT_LABEL[place])} end"
+
+
 def with_labels(df: DataFrame) -> DataFrame:
     """Adds ``label_code``, ``article_label`` and ``wiki_label``; English where unknown.
 
-    The label table is the nine constants above, so broadcasting it is safe at any scale.
+    The nine rows are constants, so the lookup is an expression and needs no join.
     """
-    labels = language_labels(df.sparkSession)
-    code, article, wiki = DEFAULT_LABEL
-    return df.join(
-        F.broadcast(labels.withColumn("label_code", F.col("lang"))), "lang", "left"
-    ).withColumns(
+    return with_steps(
+        df,
         {
-            "label_code": F.coalesce("label_code", F.lit(code)),
-            "article_label": F.coalesce("article_label", F.lit(article)),
-            "wiki_label": F.coalesce("wiki_label", F.lit(wiki)),
-        }
+            "label_code": _by_language(0),
+            "article_label": _by_language(1),
+            "wiki_label": _by_language(2),
+        },
     )
 
 
 def in_catalogue(df: DataFrame) -> DataFrame:
-    """Rows of the listed wikis and languages (66 constants, hence broadcast)."""
-    return df.join(F.broadcast(language_catalogue(df.sparkSession)), ["wiki", "lang"], "left_semi")
+    """Rows of the listed wikis and languages; on a stored table this prunes partitions."""
+    listed = [
+        f"(wiki = {_text(wiki)} and lang in ({', '.join(map(_text, codes.split()))}))"
+        for wiki, codes in CATALOGUE.items()
+    ]
+    return df.filter(" or ".join(listed))
