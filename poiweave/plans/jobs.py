@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from poiweave.operators.dedup import keep_last
 from poiweave.operators.links import geo_links, geo_tuples
-from poiweave.operators.match import normalized
+from poiweave.operators.match import KEYS, normalized
 from poiweave.operators.poi import build_poi, clean_poi, decode_poi_entities
+from poiweave.operators.prefilter import may_match
 from poiweave.operators.spread import spread
 from poiweave.sinks.csvfiles import write_csv
 from poiweave.sinks.gpx import write_gpx
@@ -58,7 +59,10 @@ def import_articles(
     broadcast_limit: int = BROADCAST_LIMIT,
     **options,
 ) -> None:
-    """Links up to ``broadcast_limit`` bytes on disk are broadcast, larger tables shuffled.
+    """Links up to ``broadcast_limit`` bytes on disk are broadcast.
+
+    Larger tables are shuffled with the articles, after a bitmap of bounded size has taken
+    out most articles without a link.
 
     ``normalize_title`` needs a link table imported with the same option.
     """
@@ -69,6 +73,8 @@ def import_articles(
         pages = normalized(pages)
     links = read_table(spark, link_table)
     small = stored_bytes(spark, link_table) <= broadcast_limit
+    if not small:
+        pages = may_match(pages, links, KEYS)
     write_poi_table(build_poi(pages, links, small_links=small, **options), poi_table)
 
 

@@ -1,10 +1,7 @@
 """Session settings the jobs are designed for.
 
-AQE does the run-time work: it merges small shuffle partitions, splits the skewed
-side of a join when one title holds much of the rows, and replaces a sort-merge
-join by a broadcast join only after it has measured the small side.  The run-time
-Bloom filter keeps article bodies without a link out of the join shuffle when the
-link table is too large to broadcast.
+AQE does the run-time work: it merges small shuffle partitions, splits the skewed side
+of a join when one title holds much of the rows, and lays out output partitions.
 """
 
 from __future__ import annotations
@@ -15,10 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "4GB",
-    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "100000000",
-    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "1073741824",
     "spark.sql.session.timeZone": "UTC",
 }
 

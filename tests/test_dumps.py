@@ -120,6 +120,15 @@ def test_poi_table(spark, world):
     assert guide.LATITUDE == 3.0  # coordinates of the encyclopedia's link
 
 
+def test_large_link_tables_give_the_same_points(spark, world, tmp_path):
+    articles = f"{world['folder']}/*-pages-articles.xml.bz2"
+    poi = str(tmp_path / "poi")
+    jobs.import_articles(spark, articles, world["links"], poi, broadcast_limit=0)
+    shuffled, broadcast = read_table(spark, poi), read_table(spark, world["poi"])
+    assert shuffled.count() == broadcast.count() == 6
+    assert shuffled.exceptAll(broadcast.select(*shuffled.columns)).count() == 0
+
+
 def test_rerun_replaces_only_its_languages(spark, world, tmp_path):
     table = str(tmp_path / "links")
     folder = world["folder"]

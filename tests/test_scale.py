@@ -9,6 +9,7 @@ from poiweave.operators import match as mt
 from poiweave.operators.dedup import keep_last, keep_last_window
 from poiweave.operators.numbering import number_rows
 from poiweave.operators.poi import build_poi, clean_poi
+from poiweave.operators.prefilter import may_match
 from poiweave.sinks.tables import write_link_table
 from poiweave.sources.articledump import pages_from_records
 from poiweave.sources.linkdump import link_tuples
@@ -127,3 +128,18 @@ def test_numbers_are_dense_across_ranges(spark):
     for lang in ("en", "nl"):
         mine = sorted((r.page_id, r.n) for r in numbered if r.lang == lang)
         assert [n for _, n in mine] == list(range(1, len(mine) + 1))
+
+
+def test_prefilter_keeps_every_match_and_little_else(spark):
+    articles = spark.range(0, 20_000).select(
+        F.lit("en").alias("lang"), F.concat(F.lit("t"), F.col("id")).alias("title"), F.col("id").alias("page_id")
+    )
+    links = spark.range(0, 20_000, 20).select(
+        F.lit("en").alias("lang"), F.concat(F.lit("t"), F.col("id")).alias("title")
+    )
+    kept = may_match(articles, links, ["lang", "title"], bits=1 << 17)
+    ids = {r.page_id for r in kept.collect()}
+    assert kept.columns == articles.columns
+    assert ids >= set(range(0, 20_000, 20))
+    assert len(ids) < 1000 + 19_000 * 0.02
+    assert "BroadcastHashJoin" in plan(kept) and "Exchange hashpartitioning(lang" not in plan(kept)
