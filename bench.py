@@ -86,6 +86,8 @@ def main() -> None:
             "spark.master": f"local[{CPUS}]",
             "spark.driver.memory": "12g",
             "spark.sql.shuffle.partitions": CPUS,
+            # Plans are built from Python; call sites are not needed here.
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
