@@ -37,8 +37,8 @@ def exact_groups(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     rows = _rows(docs, salts)
     salted = rows.groupBy(*_DIGEST, "salt", "body").agg(F.max("doc_id").alias("top"), F.count("*").alias("n"))
     merged = salted.groupBy(*_DIGEST, "body").agg(F.max("top").alias("keep_id"), F.sum("n").alias("group_size"))
-    # Back to the rows: first to the salts of a digest, then within each salt.
-    by_salt = salted.select(*_DIGEST, "salt").join(merged.select(*_DIGEST, "keep_id", "group_size"), _DIGEST)
+    # Back to the rows, without their texts: first to the salts of a digest, then within each salt.
+    by_salt = rows.select(*_DIGEST, "salt").distinct().join(merged.select(*_DIGEST, "keep_id", "group_size"), _DIGEST)
     same = rows.groupBy(*_DIGEST, "salt", "doc_id").agg(F.count("*").alias("times"))
     return (
         same.join(by_salt, [*_DIGEST, "salt"])
