@@ -32,7 +32,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse, at least ``n`` of each."""
     if len(_powers[0]) < n:
-        size = max(n, 1 << 16)
+        size = 1 << max(16, (n - 1).bit_length())
         for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
             p = np.full(size, base & _MASK, np.uint64)
             p[0] = 1
@@ -85,11 +85,11 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of each run of bytes that are not white space."""
+def words(data: np.ndarray, at: np.ndarray, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each run of bytes that are not ``gaps`` (white space by default)."""
     n = len(data)
     solid = np.zeros(n + 2, bool)
-    solid[1:-1] = ~_SPACE[data]
+    solid[1:-1] = ~gaps[data]
     starts = solid[1:] & ~solid[:-1]
     edges = at[(at > 0) & (at < n)]
     cut = edges[solid[edges] & solid[edges + 1]]  # words on both sides of a row's end
@@ -97,7 +97,7 @@ def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     ends = solid[:-1] & ~solid[1:]
     ends[cut] = True
     start, end = np.flatnonzero(starts[:n]), np.flatnonzero(ends)
-    return start, end, np.searchsorted(at, start, "right") - 1
+    return start, end, np.repeat(np.arange(len(at) - 1), np.diff(np.searchsorted(start, at)))
 
 
 def runs(sorted_keys: np.ndarray) -> np.ndarray:

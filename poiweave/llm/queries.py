@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poiweave.llm import exact, minhash, quality, toxicity, warc
+from poiweave.llm import decontamination, exact, minhash, pieces, quality, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -49,6 +49,16 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(_table(spark, sf_dir, "documents"))

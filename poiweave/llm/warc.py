@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poiweave.llm import arrays as ar
-from poiweave.llm.shared import new_path
+from poiweave.llm.shared import new_path, stored
 
 SMALLEST_REVISIT = 100
 SEGMENT_BYTES = 4096
@@ -160,7 +160,7 @@ def parse_archive(content: bytes):
             yield (fields.get("warc-record-id"), fields.get("warc-type"), None, None, None, None, None, None, None, "record cut short")
             return
         end = start + int(size)
-        number, total = fields.get("warc-segment-number", "1"), fields.get("warc-segment-total-length", "")
+        number, total = fields.get("warc-segment-number", ""), fields.get("warc-segment-total-length", "")
         yield (
             fields.get("warc-record-id"), fields.get("warc-type"), fields.get("warc-target-uri"), fields.get("warc-refers-to"),
             fields.get("warc-payload-digest"), fields.get("warc-segment-origin-id", fields.get("warc-record-id")),
@@ -216,14 +216,14 @@ def _decode(batches):
 def reassemble(records: DataFrame) -> DataFrame:
     """One row per record: segments grouped by origin, ordered, verified, joined and decoded."""
     segments = F.array_sort(F.collect_set(F.struct("segment", "block")))
-    whole = records.filter("origin_id is not null").groupBy("origin_id").agg(
+    grouped = records.filter("origin_id is not null and segment is not null").groupBy("origin_id").agg(
         segments.alias("parts"),
         F.max("total_length").alias("total"),
         *(F.max(F.when(F.col("type") != "continuation", F.col(c))).alias(c) for c in ("type", "target", "refers_to", "payload_digest")),
         F.max("error").alias("error"),
     )
     block = F.unhex(F.array_join(F.transform("parts.block", F.hex), ""))
-    joined = whole.select(
+    joined = grouped.select(
         F.col("origin_id").alias("record_id"), "type", "target", "refers_to", F.col("payload_digest").alias("declared_digest"), block.alias("block"),
         F.coalesce(
             F.col("error"),
@@ -232,14 +232,19 @@ def reassemble(records: DataFrame) -> DataFrame:
             F.when((F.size("parts") > 1) & F.col("total").isNull(), "last segment missing"),
         ).alias("error"), "total",
     ).withColumn("error", F.coalesce("error", F.when(F.octet_length("block") != F.col("total"), "total length differs"))).drop("total")
-    out = joined.mapInArrow(_decode, "record_id string, type string, target string, refers_to string, declared_digest string, payload binary, payload_digest string, error string")
+    # Records in one piece stay in their task.
+    whole = records.filter("origin_id is not null and segment is null").select(
+        "record_id", "type", "target", "refers_to", F.col("payload_digest").alias("declared_digest"), "block",
+        F.coalesce("error", F.when(F.col("type") == "continuation", "continuation without a number")).alias("error"),
+    )
+    out = whole.unionByName(joined).mapInArrow(_decode, "record_id string, type string, target string, refers_to string, declared_digest string, payload binary, payload_digest string, error string")
     lost = records.filter("origin_id is null").select("record_id", "type", "target", "refers_to", F.lit(None).cast("string").alias("declared_digest"), F.lit(None).cast("binary").alias("payload"), F.lit(None).cast("string").alias("payload_digest"), "error")
     return out.unionByName(lost)
 
 
 def resolved(whole: DataFrame) -> DataFrame:
     """Reassembled records with the length and digest of the full payload, revisits through their response."""
-    measured = whole.withColumn("payload_bytes", F.octet_length("payload").cast("long")).drop("payload")
+    measured = stored(whole.withColumn("payload_bytes", F.octet_length("payload").cast("long")).drop("payload"), "records")
     responses = measured.filter("type <> 'revisit'").select(F.col("record_id").alias("_of"), F.col("payload_bytes").alias("_bytes"), F.col("payload_digest").alias("_digest"))
     revisits = measured.filter("type = 'revisit'").drop("payload_bytes", "payload_digest").join(responses, F.col("refers_to") == F.col("_of"), "left")
     differs = F.when(F.concat(F.lit("sha256:"), F.col("_digest")) != F.col("declared_digest"), "digest of the response differs")
