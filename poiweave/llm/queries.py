@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poiweave.llm import decontamination, exact, minhash, pieces, quality, toxicity, warc
+from poiweave.llm import decontamination, exact, language, linechunks, minhash, pieces, quality, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -37,6 +37,12 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = linechunks.drop_repeated_chunks(_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_removed_lines", "n_removed_bytes", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = warc.round_trip(spark, _table(spark, sf_dir, "pages"))
@@ -54,6 +60,13 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, pages = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages")
+    evidence = language.page_evidence(pages).unionByName(language.document_evidence(docs))
+    return language.identify(evidence, language.fit(docs))
+
+
 @query
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(_table(spark, sf_dir, "documents"))
