@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poiweave.llm import decontamination, exact, language, linechunks, minhash, pieces, quality, toxicity, warc
+from poiweave.llm import decontamination, exact, language, linechunks, minhash, pieces, quality, suffixes, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -32,6 +32,12 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+@query
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffixes.drop_repeats(_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(_table(spark, sf_dir, "documents"))
