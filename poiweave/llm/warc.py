@@ -195,9 +195,9 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 def _decode(batches):
     for batch in batches:
         payloads, digests, errors = [], [], []
-        for block, error in zip(ar.column(batch, "block").to_pylist(), ar.column(batch, "error").to_pylist()):
+        for kind, block, error in zip(*(ar.column(batch, n).to_pylist() for n in ("type", "block", "error"))):
             payload = None
-            if error is None:
+            if error is None and kind != "revisit":  # a revisit has no payload
                 try:
                     head, found, body = (block or b"").partition(_CRLF + _CRLF)
                     if not found:
@@ -245,6 +245,7 @@ def reassemble(records: DataFrame) -> DataFrame:
 def resolved(whole: DataFrame) -> DataFrame:
     """Reassembled records with the length and digest of the full payload, revisits through their response."""
     measured = stored(whole.withColumn("payload_bytes", F.octet_length("payload").cast("long")).drop("payload"), "records")
+    measured = measured.filter("record_id is not null").dropDuplicates(["record_id"]).unionByName(measured.filter("record_id is null"))
     responses = measured.filter("type <> 'revisit'").select(F.col("record_id").alias("_of"), F.col("payload_bytes").alias("_bytes"), F.col("payload_digest").alias("_digest"))
     revisits = measured.filter("type = 'revisit'").drop("payload_bytes", "payload_digest").join(responses, F.col("refers_to") == F.col("_of"), "left")
     differs = F.when(F.concat(F.lit("sha256:"), F.col("_digest")) != F.col("declared_digest"), "digest of the response differs")
