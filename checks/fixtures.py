@@ -52,6 +52,8 @@ def encoded_title_of(c: str) -> str:
 
 
 NS = f"case when {_div('k', 12)} % 2 = 0 then 'N' else 'S' end"
+# Links of a title come from the dumps of several languages, with different coordinates.
+LINK_LANG = "case k % 5 when 0 then 'de' when 1 then 'fr' when 2 then 'es' else 'en' end"
 EW = f"case when {_div('k', 24)} % 2 = 0 then 'E' else 'W' end"
 _DMS = (
     f"concat_ws('_', k % 90, c % 60, {_tenths('k')}, {NS}, "
@@ -78,7 +80,7 @@ def _geo_tuple(dms: str, dm: str, dec: str, dec_comma: str, title: str) -> str:
         when 5 then {dec_comma}
         when 6 then concat({dec}, '_type:City_region:DE-BY')
         when 7 then concat({dec}, '_type:city_region:XYZ_dim:10_scale:5')
-        when 8 then 'abc_N_5.5_E_type:country'
+        when 8 then 'abc_N_1234567_E_type:country'
         when 9 then '52_N'
         else '' end"""
     return f"""concat(k, ',', c, ',', {Q}, 'http://maps.example/geohack.php?pagename=', {title},
@@ -142,7 +144,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One map-link tuple per order: ``k`` (dump order), ``c``, ``lang``, ``tuple``."""
     orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey as k", "o_custkey as c")
-    keyed = spread(orders, "k").withColumn("lang", F.lit("en"))
+    keyed = spread(orders, "k").withColumn("lang", F.expr(LINK_LANG))
     return computed_once(with_steps(keyed, GEO_TUPLE_STEPS), {"tuple": F.col("tuple")})
 
 

@@ -15,14 +15,14 @@ _KEPT = f"{_M} not in (7, 9, 10, 11)"
 ITEMS = f"""
 orders_kc as (select o_orderkey as k, o_custkey as c from orders),
 items as (
-    select k, 0 as sub, {fx.GEO_TUPLE} as item from orders_kc
+    select k, {fx.LINK_LANG} as lang, 0 as sub, {fx.GEO_TUPLE} as item from orders_kc
     union all
-    select k, 1 as sub, {fx.PLAIN_TUPLE} as item from orders_kc where k % 3 = 0
+    select k, {fx.LINK_LANG} as lang, 1 as sub, {fx.PLAIN_TUPLE} as item from orders_kc where k % 3 = 0
 ),
 placed as (
-    select k, sub, item, {fx._div('k', fx.TUPLES_PER_LINE)} as line_ord,
-        row_number() over (partition by {fx._div('k', fx.TUPLES_PER_LINE)} order by k, sub) - 1 as pos,
-        count(*) over (partition by {fx._div('k', fx.TUPLES_PER_LINE)}) as n
+    select k, lang, sub, item, {fx._div('k', fx.TUPLES_PER_LINE)} as line_ord,
+        row_number() over (partition by lang, {fx._div('k', fx.TUPLES_PER_LINE)} order by k, sub) - 1 as pos,
+        count(*) over (partition by lang, {fx._div('k', fx.TUPLES_PER_LINE)}) as n
     from items
 ),
 tuples as (
@@ -45,7 +45,7 @@ def _degrees(d: str, m: str, s: str, d10: str) -> str:
 LINKS = f"""
 orders_kc as (select o_orderkey as k, o_custkey as c from orders),
 fields as (
-    select k, c, {fx.title_of('c')} as title, 'en' as language,
+    select k, c, {fx.LINK_LANG} as lang, {fx.title_of('c')} as title, 'en' as language,
         case {_M} when 1 then 'city' when 3 then 'landmark' when 6 then 'City'
             when 7 then 'city' when 8 then 'country' else '' end as poitype,
         case {_M} when 1 then 'US-CA' when 3 then 'NL' when 6 then 'DE-BY'
@@ -61,14 +61,14 @@ valued as (
         case when {_M} = 8 then null
             else {_degrees('k % 90', 'c % 60', 'k % 599', '(k % 90) * 10 + c % 10')}
                 * cast(ns as double) + 0.0 end as latitude,
-        case when {_M} = 8 then 5.5
+        case when {_M} = 8 then 1234567.0
             else {_degrees('c % 180', 'k % 60', 'c % 599', '(c % 180) * 10 + k % 10')}
                 * cast(ew as double) + 0.0 end as longitude
     from fields
 ),
 links as (select * from valued where {_KEPT}),
 last_links as (
-    select * from links qualify row_number() over (partition by title order by k desc) = 1
+    select * from links qualify row_number() over (partition by lang, title order by k desc) = 1
 )"""
 
 ARTICLES = f"""
@@ -81,7 +81,7 @@ articles as (
 JOINED = f"""{LINKS},{ARTICLES},
 joined as (
     select a.*, l.latitude, l.longitude, l.poitype, l.region
-    from articles a join last_links l on a.title = l.title
+    from articles a join last_links l on a.title = l.title and a.lang = l.lang
 )"""
 
 _URL = "'Wikipedia: ' || ' http://' || lang || '.wikipedia.org/wiki/' || replace(title, ' ', '_')"
@@ -126,14 +126,8 @@ _POI_COLUMNS = "NAME, LATITUDE, LONGITUDE, COUNTRY, REGION, CITY, REMARKS, CONTE
 
 
 def _degrees_text(x: str) -> str:
-    return f"coalesce(cast(cast({x} as decimal(12, 7)) as varchar), '')"
-
-
-def _xml(x: str) -> str:
-    pairs = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("''", "&apos;")]
-    for old, new in pairs:
-        x = f"replace({x}, '{old}', '{new}')"
-    return x
+    fixed = f"cast(try_cast({x} as decimal(12, 7)) as varchar)"
+    return f"coalesce({fixed}, cast({x} as varchar), '')"
 
 
 def _sql_text(x: str) -> str:
@@ -141,7 +135,7 @@ def _sql_text(x: str) -> str:
 
 
 def _sql_number(x: str) -> str:
-    return f"case when {x} is null then 'NULL' else {_degrees_text(x)} end"
+    return f"coalesce(cast({x} as varchar), 'NULL')"
 
 
 _NODES = f"""{POI},
@@ -216,9 +210,9 @@ def oracles() -> dict[str, str]:
         "links_keep_last_window": f"with {LINKS} select k, {link_values} from last_links",
         "pages_keep_last": """select page_id, url, regexp_extract(html, '<title>(.*?)</title>', 1) as title
             from pages qualify row_number() over (partition by title order by page_id desc) = 1""",
-        "link_scan_counts": f"""with {ITEMS} select 'en' as lang, count(*) as tuples,
-            count(*) filter (where sub = 0 and {_KEPT}) as kept from items""",
-        "link_reject_reasons": f"""with {ITEMS} select 'en' as lang,
+        "link_scan_counts": f"""with {ITEMS} select lang, count(*) as tuples,
+            count(*) filter (where sub = 0 and {_KEPT}) as kept from items group by lang""",
+        "link_reject_reasons": f"""with {ITEMS} select lang,
             case when sub = 1 then 'not_geo' when {_M} = 11 then 'corrupt'
                 when {_M} = 10 then 'no_params' when {_M} in (7, 9) then 'layout'
                 else 'kept' end as reason, count(*) as tuples from items group by 1, 2""",
@@ -226,8 +220,8 @@ def oracles() -> dict[str, str]:
             count(*) filter (where {_M} = 8) as bad_latitude, 0 as bad_longitude,
             0 as out_of_range, count(*) filter (where {_M} <> 8) as valid
             from links group by layout""",
-        "link_sql_inserts": f"""with {LINKS} select 'en' as lang, title,
-            'insert into en_externallinks values (' || {_sql_text('title')} || ',' ||
+        "link_sql_inserts": f"""with {LINKS} select lang, title,
+            'insert into ' || lang || '_externallinks values (' || {_sql_text('title')} || ',' ||
             {_sql_number('latitude')} || ',' || {_sql_number('longitude')} || ',' ||
             {_sql_text('language')} || ',' || {_sql_text('poitype')} || ',' ||
             {_sql_text('region')} || ');' as line from last_links""",
@@ -270,16 +264,17 @@ def oracles() -> dict[str, str]:
         "article_link_join": f"with {JOINED} select {match_values} from joined",
         "article_link_join_normalized": f"""with {LINKS},{ARTICLES},
             last_normal as (select * replace ({normal} as title) from links
-                qualify row_number() over (partition by {normal} order by k desc) = 1)
+                qualify row_number() over (partition by lang, {normal} order by k desc) = 1)
             select a.page_id, a.wiki, a.lang, {normal.replace('title', 'a.title')} as title,
                 l.latitude, l.longitude, l.poitype, l.region
-            from articles a join last_normal l on {normal.replace('title', 'a.title')} = l.title""",
+            from articles a join last_normal l
+            on {normal.replace('title', 'a.title')} = l.title and a.lang = l.lang""",
         "unmatched_articles": f"""with {LINKS},{ARTICLES} select page_id, title from articles a
-            where not exists (select 1 from last_links l where l.title = a.title)""",
+            where not exists (select 1 from last_links l where l.title = a.title and l.lang = a.lang)""",
         "unmatched_links": f"""with {LINKS},{ARTICLES} select k, title from last_links l
-            where not exists (select 1 from articles a where l.title = a.title)""",
+            where not exists (select 1 from articles a where l.title = a.title and l.lang = a.lang)""",
         "match_rate": f"""with {LINKS},{ARTICLES}, flagged as (
-            select lang, exists (select 1 from last_links l where l.title = a.title) as hit
+            select lang, exists (select 1 from last_links l where l.title = a.title and l.lang = a.lang) as hit
             from articles a)
             select lang, count(*) as articles, count(*) filter (where hit) as matched,
             count(*) filter (where hit) / count(*) as rate from flagged group by lang""",
@@ -291,14 +286,14 @@ def oracles() -> dict[str, str]:
         "poi_remarks": f"with {JOINED} select page_id, {_REMARKS} as REMARKS from joined",
         "poi": poi_all,
         "poi_from_dumps": poi_all,
-        "poi_all_wikis": poi_all,
+        "links_from_files": f"""with {LINKS} select lang, {link_values} from last_links""",
         "poi_clean": f"{poi_all} where CONTENT <> ''",
         "poi_counts": f"with {POI} select wiki, lang, count(*) as pois from poi group by 1, 2",
-        "poi_export": f"{poi_all} where wiki = 'wikivoyage'",
-        "poi_gpx_waypoints": f"""with {POI} select wiki, lang, page_id,
-            '<wpt lat="' || {_degrees_text('LATITUDE')} || '" lon="' || {_degrees_text('LONGITUDE')}
-            || '"><name>' || {_xml('NAME')} || '</name><desc>' || {_xml("REMARKS || ' ' || CONTENT")}
-            || '</desc></wpt>' as wpt from poi""",
+        "poi_export": f"""with {POI} select wiki, lang, page_id, NAME, LATITUDE, LONGITUDE, COUNTRY,
+            REGION, CITY, REMARKS, CONTENT || ' A & B' as CONTENT from poi where wiki = 'wikivoyage'""",
+        "poi_gpx_waypoints": f"""with {POI} select wiki, lang, {_degrees_text('LATITUDE')} as lat,
+            {_degrees_text('LONGITUDE')} as lon, NAME as name, REMARKS || ' ' || CONTENT as description
+            from poi""",
         "poi_osm_nodes": f"""with {_TAGS} select wiki, lang, node_id,
             {_degrees_text('any_value(n.LATITUDE)')} as lat,
             {_degrees_text('any_value(n.LONGITUDE)')} as lon,
@@ -307,7 +302,8 @@ def oracles() -> dict[str, str]:
             group by wiki, lang, page_id, node_id""",
         "poi_osm_tags": f"with {_TAGS} select wiki, lang, node_id, k, v from tags where v <> ''",
         "poi_sql_inserts": f"""with {POI} select wiki, lang, page_id,
-            'insert into ' || lang || '_' || wiki || ' values (' || {_sql_text('NAME')} || ',' ||
+            'insert into ' || lang || '_' || wiki || ' (TITLE, LATITUDE, LONGITUDE, COUNTRY, REGION, CITY, REMARKS, CONTENT)'
+            || ' values (' || {_sql_text('NAME')} || ',' ||
             {_sql_number('LATITUDE')} || ',' || {_sql_number('LONGITUDE')} || ',' ||
             {_sql_text('COUNTRY')} || ',' || {_sql_text('REGION')} || ',' || {_sql_text('CITY')}
             || ',' || {_sql_text('REMARKS')} || ',' || {_sql_text('CONTENT')} || ');' as line

@@ -80,5 +80,6 @@ def in_range(lat: Column, lon: Column) -> Column:
 
 
 def degrees_text(value: Column) -> Column:
-    """Fixed seven decimals, never an exponent; a missing value is empty."""
-    return F.coalesce(value.cast("decimal(12,7)").cast("string"), F.lit(""))
+    """Fixed seven decimals; a value too large for them as it prints; a missing one is empty."""
+    fixed = value.try_cast("decimal(12,7)").cast("string")
+    return F.coalesce(fixed, value.cast("string"), F.lit(""))

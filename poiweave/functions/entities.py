@@ -29,5 +29,14 @@ def decode_entities(col: Column) -> Column:
     return _replace_all(col, DECODED)
 
 
+# Fixed value: what XML 1.0 does not allow, also not as a character reference.
+_NOT_XML = r"[^\x09\x0A\x0D\x20-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]"
+
+
+def xml_characters(col: Column) -> Column:
+    """Without the characters that no XML document can hold, such as control characters."""
+    return F.regexp_replace(col, _NOT_XML, "")
+
+
 def xml_escape(col: Column) -> Column:
-    return _replace_all(col, ESCAPED)
+    return _replace_all(xml_characters(col), ESCAPED)

@@ -15,15 +15,21 @@ from pyspark.sql import functions as F
 from poiweave.functions.entities import decode_entities_sql
 from poiweave.functions.steps import with_steps
 
-TEMPLATE_PASSES = 4
 _PAIRED_TAGS = ["ref", "gallery", "math", "nowiki", "timeline"]
 
 
 class Pass(NamedTuple):
-    """Replacements that can only apply to a text holding ``marker``."""
+    """Replacements that can only apply to a text holding ``marker``.
+
+    ``closed`` matches the text up to its last closing mark.  What is behind it stays as it is: a mark
+    left open there would make the expression look through the rest of the text again for each.
+    ``nested`` repeats the replacement until nothing changes.
+    """
 
     marker: str
     replacements: tuple[tuple[str, str], ...]
+    closed: str = ""
+    nested: bool = False
 
 
 # From a line holding "{{Infobox" through the next line holding "}}" (or to the end).
@@ -33,11 +39,14 @@ INFOBOX = Pass(
 )
 MARKUP = (
     INFOBOX,
-    Pass("<!--", ((r"(?s)<!--.*?-->", ""),)),
+    Pass("<!--", ((r"(?s)<!--.*?-->", ""),), r"(?s)^.*-->"),
     Pass("/>", ((rf"(?is)<({'|'.join(_PAIRED_TAGS)})\b[^<>]*/>", ""),)),
-    Pass("</", tuple((rf"(?is)<{tag}\b[^<>]*>.*?</{tag}>", "") for tag in _PAIRED_TAGS)),
-    Pass("{{", ((r"\{\{[^{}]*\}\}", ""),) * TEMPLATE_PASSES),
-    Pass("{|", ((r"(?s)\{\|.*?\|\}", ""),)),
+    *(
+        Pass("</", ((rf"(?is)<{tag}\b[^<>]*>.*?</{tag}>", ""),), rf"(?is)^.*</{tag}>")
+        for tag in _PAIRED_TAGS
+    ),
+    Pass("{{", ((r"\{\{[^{}]*\}\}", ""),), nested=True),
+    Pass("{|", ((r"(?s)\{\|.*?\|\}", ""),), r"(?s)^.*\|\}"),
     Pass(
         "[[",
         (
@@ -48,24 +57,52 @@ MARKUP = (
     Pass(
         "[http",
         (
-            (r"\[https?://[^\s\[\]]+\s+([^\[\]]*)\]", "$1"),
-            (r"\[https?://[^\s\[\]]+\]", ""),
+            (r"\[https?://[^\s\[\]]++\s++([^\[\]]*+)\]", "$1"),
+            (r"\[https?://[^\s\[\]]++\]", ""),
         ),
     ),
     Pass("''", ((r"'{2,}", ""),)),
-    Pass("=", ((r"(?dm)^=+[ \t]*(.*?)[ \t]*=+[ \t]*$", "$1"),)),
+    Pass("=", ()),  # headings
     Pass("<", ((r"<[^<>]+>", ""),)),
 )
 
 
 def _apply(text: str, step: Pass) -> str:
     """SQL text.  A substring test on the bytes spares most texts the regular expression."""
-    replaced = text
-    for pattern, replacement in step.replacements:
-        replaced = f'regexp_replace({replaced}, r"{pattern}", r"{replacement}")'
+    if not step.replacements:
+        replaced = _headings(text)
+    elif step.nested:
+        replaced = _repeated(text, *step.replacements[0])
+    else:
+        head = f'regexp_extract({text}, r"{step.closed}", 0)' if step.closed else text
+        replaced = head
+        for pattern, replacement in step.replacements:
+            replaced = f'regexp_replace({replaced}, r"{pattern}", r"{replacement}")'
+        if step.closed:
+            replaced = f"concat({replaced}, substring({text}, length({head}) + 1))"
     return f'if(contains({text}, "{step.marker}"), {replaced}, {text})'
 
 
+def _headings(text: str) -> str:
+    """Lines between equal signs without them and the blanks inside; trimming is linear in the line."""
+    blanks = r"concat(' ', chr(9))"
+    end = f"rtrim({blanks}, x)"
+    inner = f"ltrim({blanks}, ltrim('=', rtrim({blanks}, rtrim('=', {end}))))"
+    is_heading = f"startswith(x, '=') and endswith({end}, '=') and length({end}) > 1"
+    return f"array_join(transform(split({text}, chr(10)), x -> if({is_heading}, {inner}, x)), chr(10))"
+
+
+def _repeated(text: str, pattern: str, replacement: str) -> str:
+    """As many passes as templates are nested: at most one for each opening and each closing. After the first pass
+    that changes nothing the rest only hand the text on."""
+    once = f'regexp_replace(s.t, r"{pattern}", r"{replacement}")'
+    change = f"if(s.done, s, named_struct('t', {once}, 'done', {once} = s.t))"
+    start = f"named_struct('t', {text}, 'done', false)"
+    opened, closed = (f'regexp_count({text}, r"{mark}")' for mark in (r"\{\{", r"\}\}"))
+    turns = f"sequence(1, greatest(1, least({opened}, {closed})))"
+    return f"aggregate({turns}, {start}, (s, i) -> {change}, s -> s.t)"
+
+
 def strip_infobox(body: str) -> Column:
     return F.expr(_apply(body, INFOBOX))
 
@@ -80,11 +117,6 @@ def with_plain_text(df: DataFrame, body: str, name: str) -> DataFrame:
     return with_steps(df, {**steps, name: f"trim({joined})"})
 
 
-def leftover_templates(text: Column) -> Column:
-    """Number of template openings left in place: nesting deeper than the passes reach."""
-    return F.regexp_count(text, F.lit(r"\{\{"))
-
-
 def infobox_website(body: Column) -> Column:
     """Address from the last ``| web…`` line that holds one; empty when none does."""
 
