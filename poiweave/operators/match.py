@@ -1,9 +1,8 @@
 """Joins of articles with geo-links on the exact title.
 
-Links are unique on the join key, so their rows spread evenly over the join's partitions,
-whose number follows the far larger article side.  The shuffled join therefore builds
-its hash tables from the links and does not sort article bodies.  A title that many
-articles share makes a large partition; AQE splits that on the article side.
+Links are unique on the join key, so their rows spread evenly over the join's partitions. Beyond
+the broadcast limit the join is left to Spark: its sorted form spills, whatever the size of the link table, and AQE splits
+a title that many articles share, or builds hash tables where all partitions are small enough.
 """
 
 from __future__ import annotations
@@ -29,7 +28,7 @@ def match_articles(
     """
     extra = [c for c in links.columns if c in on or c not in articles.columns]
     right = links.select(*extra)
-    right = F.broadcast(right) if small_links else right.hint("shuffle_hash")
+    right = F.broadcast(right) if small_links else right
     return articles.join(right, on, "inner")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from poiweave.schemas import PARTITION_COLUMNS
 
 BUCKET_WIDTH = 50_000
+MISSING_RANGES = 1_000
 
 
 def number_rows(
@@ -24,8 +25,9 @@ def number_rows(
     its rank within the range.  Only the range counts, one row per range, are summed up
     per group.  ``df`` is evaluated twice, so pass a stored table.
     """
-    # A missing id gets a range of its own, so that its row stays.
-    bucketed = df.withColumn("_bucket", F.expr(f"coalesce({id_column} div {width}, -1)"))
+    # Rows without an id come first, spread over ranges of their own by a hash of their columns.
+    missing = F.pmod(F.xxhash64(*[c for c in df.columns if c != id_column]), F.lit(MISSING_RANGES)) - MISSING_RANGES
+    bucketed = df.withColumn("_bucket", F.coalesce(F.expr(f"{id_column} div {width}"), missing))
     earlier = Window.partitionBy(*groups).orderBy("_bucket")
     starts = (
         bucketed.groupBy(*groups, "_bucket")
@@ -33,7 +35,7 @@ def number_rows(
         .withColumn("_start", F.sum("_rows").over(earlier) - F.col("_rows"))
         .drop("_rows")
     )
-    within = Window.partitionBy(*groups, "_bucket").orderBy(id_column)
+    within = Window.partitionBy(*groups, "_bucket").orderBy(id_column, *[c for c in ("NAME",) if c in df.columns])
     return (
         bucketed.withColumn("_rank", F.row_number().over(within))
         .join(starts, [*groups, "_bucket"])

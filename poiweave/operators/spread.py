@@ -6,13 +6,9 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spreads ``df`` by ``keys`` when its scan has fewer splits than there are cores.
+    """Hash-spreads ``df`` by ``keys`` over the shuffle partitions; AQE joins the small ones.
 
-    A gzip file is one split, and so is a Parquet file of one row group.  With enough
-    splits, the usual case on large input, the data stays where it is.  Call it on a
-    narrow plan (scan, filter, project), whose partitions are known without running it.
+    A gzip file is one split, however large, and so is a Parquet file of one row group; the work behind
+    the scan would stay in as many tasks as there are files. Call it on narrow rows that are left after a filter.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
+    return df.repartition(*keys)

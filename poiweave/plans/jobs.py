@@ -14,15 +14,17 @@ from poiweave.operators.match import KEYS, normalized
 from poiweave.operators.poi import build_poi, clean_poi, decode_poi_entities
 from poiweave.operators.prefilter import may_match
 from poiweave.operators.spread import spread
+from poiweave.schemas import LINK_SCHEMA
 from poiweave.sinks.csvfiles import write_csv
 from poiweave.sinks.gpx import write_gpx
+from poiweave.sinks.layout import replaced
 from poiweave.sinks.osm import write_osm
 from poiweave.sinks.sqlscript import write_link_sql, write_poi_sql
 from poiweave.sinks.tables import write_link_table, write_poi_table
 from poiweave.sources.articledump import read_article_dumps
-from poiweave.sources.catalog import in_catalogue
+from poiweave.sources.catalog import handled_dumps, in_catalogue
 from poiweave.sources.linkdump import link_tuples, read_link_dumps
-from poiweave.sources.tables import read_table, stored_bytes
+from poiweave.sources.tables import read_link_table, read_table, stored_bytes
 
 # Compressed bytes; about ten times that in memory.
 BROADCAST_LIMIT = 32 << 20
@@ -43,10 +45,17 @@ def import_links(
     table: str,
     sql_script: str | None = None,
     **options,
-) -> None:
-    write_link_table(latest_links(spark, dumps, **options), table)
+) -> dict[str, object]:
+    """Replaces the links of the languages that the dump files are of, and returns what was written.
+
+    A language whose dump has no map link any more has no rows afterwards.
+    """
+    langs = {lang for _, lang in handled_dumps(spark.read.text(dumps))}
+    links = latest_links(spark, dumps, **options)
+    done = replaced(links, write_link_table, table, lambda p: p["lang"] in langs, ["lang"])
     if sql_script:
-        write_link_sql(read_table(spark, table), sql_script)
+        write_link_sql(read_link_table(spark, table), sql_script)
+    return done
 
 
 def import_articles(
@@ -58,24 +67,30 @@ def import_articles(
     listed_languages_only: bool = False,
     broadcast_limit: int = BROADCAST_LIMIT,
     **options,
-) -> None:
-    """Links up to ``broadcast_limit`` bytes on disk are broadcast.
+) -> dict[str, object]:
+    """Replaces the points of the wikis and languages that the dump files are of.
+
+    Links up to ``broadcast_limit`` bytes on disk are broadcast.
 
     Larger tables are shuffled with the articles, after a bitmap of bounded size has taken
     out most articles without a link.
 
-    ``normalize_title`` needs a link table imported with the same option.
+    ``normalize_title`` compares titles with ``_`` as a space on both sides; of links that
+    differ in nothing else, one stays. Only links of the dumps' languages are read and measured.
     """
+    handled = set(handled_dumps(spark.read.text(dumps, lineSep="</page>")))
+    langs = sorted({lang for _, lang in handled})
     pages = read_article_dumps(spark, dumps)
     if listed_languages_only:
         pages = in_catalogue(pages)
+    links = read_link_table(spark, link_table, lang=langs)
     if normalize_title:
-        pages = normalized(pages)
-    links = read_table(spark, link_table)
-    small = stored_bytes(spark, link_table) <= broadcast_limit
+        pages, links = normalized(pages), keep_last(normalized(links), KEYS, LINK_SCHEMA.fieldNames()[1:])
+    small = sum(stored_bytes(spark, f"{link_table}/lang={lang}") for lang in langs) <= broadcast_limit
     if not small:
         pages = may_match(pages, links, KEYS)
-    write_poi_table(build_poi(pages, links, small_links=small, **options), poi_table)
+    poi = build_poi(pages, links, small_links=small, **options)
+    return replaced(poi, write_poi_table, poi_table, lambda p: (p["wiki"], p["lang"]) in handled)
 
 
 WRITERS = {
@@ -96,7 +111,8 @@ def export_poi(
     decode_entities: bool = True,
     drop_empty: bool = False,
 ) -> None:
-    """Writes the stored table to ``target/<format>``.
+    """Writes the stored table to ``target/<format>`` and removes what earlier exports left there of the
+    wikis and languages asked for.
 
     ``drop_empty`` leaves out rows without content, as the clean-up of CSV files does.
     """
@@ -105,5 +121,10 @@ def export_poi(
         poi = clean_poi(poi)
     elif decode_entities:
         poi = decode_poi_entities(poi)
+
+    def asked(p: dict[str, str]) -> bool:
+        wanted = ((wiki, p["wiki"]), (lang, p["lang"]))
+        return all(w is None or v in ([w] if isinstance(w, str) else w) for w, v in wanted)
+
     for name in formats:
-        WRITERS[name](poi, f"{target}/{name}")
+        replaced(poi, WRITERS[name], f"{target}/{name}", asked)

@@ -40,5 +40,8 @@ POI_TEXT_COLUMNS = [f.name for f in POI_SCHEMA if isinstance(f.dataType, T.Strin
 PARTITION_COLUMNS = ["wiki", "lang"]
 PARTITION_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in PARTITION_COLUMNS])
 
-LABEL_SCHEMA = "lang string, article_label string, wiki_label string"
-CATALOGUE_SCHEMA = "wiki string, lang string"
+# Stored tables: their files' columns and the partition columns.
+LINK_TABLE_SCHEMA = T.StructType([*LINK_SCHEMA.fields, T.StructField("lang", T.StringType())])
+POI_TABLE_SCHEMA = T.StructType(
+    [T.StructField("page_id", T.LongType()), *POI_SCHEMA.fields, *PARTITION_SCHEMA.fields]
+)

@@ -13,6 +13,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Shuffles start with many partitions and AQE joins small ones, so large runs need no setting.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
+    # Hash joins only where every partition's build side is small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
 

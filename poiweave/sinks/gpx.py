@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poiweave.functions.coordinates import degrees_text
-from poiweave.functions.entities import xml_escape
+from poiweave.functions.entities import xml_characters
 from poiweave.schemas import PARTITION_COLUMNS
 from poiweave.sinks.layout import writer
 
+# Fixed value: format name and namespace.
 ROOT = 'gpx version="1.0" creator="poiweave" xmlns="http://www.topografix.com/GPX/1/0"'
 
 
@@ -22,27 +23,11 @@ def waypoints(poi: DataFrame) -> DataFrame:
     return poi.select(
         degrees_text(F.col("LATITUDE")).alias("_lat"),
         degrees_text(F.col("LONGITUDE")).alias("_lon"),
-        F.col("NAME").alias("name"),
-        description().alias("desc"),
+        xml_characters(F.col("NAME")).alias("name"),
+        xml_characters(description()).alias("desc"),
         *PARTITION_COLUMNS,
     )
 
 
-def waypoint_fragments(poi: DataFrame) -> DataFrame:
-    """The ``wpt`` element of each row as text."""
-    fragment = F.concat(
-        F.lit('<wpt lat="'),
-        degrees_text(F.col("LATITUDE")),
-        F.lit('" lon="'),
-        degrees_text(F.col("LONGITUDE")),
-        F.lit('"><name>'),
-        xml_escape(F.col("NAME")),
-        F.lit("</name><desc>"),
-        xml_escape(description()),
-        F.lit("</desc></wpt>"),
-    )
-    return poi.select(*PARTITION_COLUMNS, "page_id", fragment.alias("wpt"))
-
-
 def write_gpx(poi: DataFrame, path: str) -> None:
     writer(waypoints(poi)).format("xml").option("rootTag", ROOT).option("rowTag", "wpt").save(path)

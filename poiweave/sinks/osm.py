@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poiweave.functions.coordinates import degrees_text
+from poiweave.functions.entities import xml_characters
 from poiweave.operators.numbering import number_rows
 from poiweave.schemas import PARTITION_COLUMNS
 from poiweave.sinks.gpx import description
 from poiweave.sinks.layout import writer
 
+# Fixed value: format name.
 ROOT = 'osm version="0.5" generator="poiweave"'
 
 
@@ -26,7 +28,7 @@ def _tags() -> Column:
         ("addr:city", F.col("CITY")),
         ("note", description()),
     ]
-    tags = F.array(*[F.struct(F.lit(k).alias("_k"), v.alias("_v")) for k, v in pairs])
+    tags = F.array(*[F.struct(F.lit(k).alias("_k"), xml_characters(v).alias("_v")) for k, v in pairs])
     return F.filter(tags, lambda tag: tag["_v"] != "")
 
 

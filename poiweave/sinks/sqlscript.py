@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from poiweave.functions.coordinates import degrees_text
 from poiweave.schemas import LINK_SCHEMA, PARTITION_COLUMNS, POI_COLUMNS
 from poiweave.sinks.layout import balanced
 
@@ -21,6 +20,11 @@ POI_FIELDS = (
 LINK_FIELDS = (
     "(TITLE TEXT, LATITUDE FLOAT, LONGITUDE FLOAT, LANGUAGE TEXT, POITYPE TEXT, REGION TEXT)"
 )
+# Columns that the inserts of the POI table name, and the indexes.
+POI_INSERT_FIELDS = "(TITLE, LATITUDE, LONGITUDE, COUNTRY, REGION, CITY, REMARKS, CONTENT)"
+POI_INDEXES = {"TITLE": "(TITLE)"}
+LINK_INDEXES = {"TITLE": "(TITLE)", "LATLON": "(LATITUDE, LONGITUDE)"}
+MAX_ROWS_PER_FILE = 1_000_000
 
 
 def _text(col: Column) -> Column:
@@ -28,15 +32,16 @@ def _text(col: Column) -> Column:
 
 
 def _number(col: Column) -> Column:
-    return F.when(col.isNull(), "NULL").otherwise(degrees_text(col))
+    """Whole precision, as the double prints."""
+    return F.coalesce(col.cast("string"), F.lit("NULL"))
 
 
-def _insert(table: Column, columns: list[str]) -> Column:
+def _insert(table: Column, columns: list[str], fields: str = "") -> Column:
+    """``fields`` is the list of columns that the statement names."""
     numbers = {"latitude", "longitude"}
     values = [(_number if c.lower() in numbers else _text)(F.col(c)) for c in columns]
-    return F.concat(
-        F.lit("insert into "), table, F.lit(" values ("), F.concat_ws(",", *values), F.lit(");")
-    )
+    opening = F.lit(f" {fields} values (" if fields else " values (")
+    return F.concat(F.lit("insert into "), table, opening, F.concat_ws(",", *values), F.lit(");"))
 
 
 def poi_table_name() -> Column:
@@ -48,7 +53,7 @@ def link_table_name() -> Column:
 
 
 def poi_inserts(poi: DataFrame) -> DataFrame:
-    line = _insert(poi_table_name(), POI_COLUMNS)
+    line = _insert(poi_table_name(), POI_COLUMNS, POI_INSERT_FIELDS)
     return poi.select(*PARTITION_COLUMNS, "page_id", line.alias("line"))
 
 
@@ -60,14 +65,13 @@ def link_inserts(links: DataFrame) -> DataFrame:
 
 
 def _write(
-    inserts: DataFrame, keys: list[str], table: Column, fields: str, path: str, gzip: bool
+    inserts: DataFrame, keys: list[str], table: Column, fields: str, path: str, gzip: bool, indexes: dict[str, str]
 ) -> None:
     definition = F.concat(
         F.lit("drop table if exists "), table, F.lit(";\ncreate table "), table, F.lit(f" {fields};")
     )
-    index = F.concat(
-        F.lit("create index "), table, F.lit("_TITLE on "), table, F.lit("(TITLE);")
-    )
+    made = [F.concat(F.lit("create index "), table, F.lit(f"_{name} on "), table, F.lit(f"{on};")) for name, on in indexes.items()]
+    index = F.concat_ws("\n", *made)
     frame = F.explode(
         F.array(
             F.struct(F.lit("1_table").alias("section"), definition.alias("line")),
@@ -80,6 +84,7 @@ def _write(
         balanced(rows.unionByName(ends), [*keys, "section"])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
         .option("compression", "gzip" if gzip else "none")
         .partitionBy(*keys, "section")
         .text(path)
@@ -87,8 +92,8 @@ def _write(
 
 
 def write_poi_sql(poi: DataFrame, path: str, gzip: bool = True) -> None:
-    _write(poi_inserts(poi), PARTITION_COLUMNS, poi_table_name(), POI_FIELDS, path, gzip)
+    _write(poi_inserts(poi), PARTITION_COLUMNS, poi_table_name(), POI_FIELDS, path, gzip, POI_INDEXES)
 
 
 def write_link_sql(links: DataFrame, path: str, gzip: bool = False) -> None:
-    _write(link_inserts(links), ["lang"], link_table_name(), LINK_FIELDS, path, gzip)
+    _write(link_inserts(links), ["lang"], link_table_name(), LINK_FIELDS, path, gzip, LINK_INDEXES)

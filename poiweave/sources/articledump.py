@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poiweave.operators.once import computed_once
-from poiweave.sources.catalog import dump_identity
+from poiweave.sources.catalog import dump_identity, handled_dumps
 
 _PAGE_END = "</page>"
 _BODY_SCHEMA = "revision array<struct<text:string>>"
 _XML = {"ignoreSurroundingSpaces": "false"}
+_CORRUPT = "_corrupt"
 
 
 def read_article_dumps(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -21,7 +22,9 @@ def read_article_dumps(spark: SparkSession, paths: str | list[str]) -> DataFrame
     parsed after the join, for the pages that have a link.
     """
     identity = dump_identity(F.col("_metadata.file_path"))
-    records = spark.read.text(paths, lineSep=_PAGE_END).select(
+    files = spark.read.text(paths, lineSep=_PAGE_END)
+    handled_dumps(files)
+    records = files.select(
         identity["lang"].alias("lang"), identity["wiki"].alias("wiki"), "value"
     )
     return pages_from_records(records)
@@ -36,14 +39,14 @@ def _title(page: Column) -> Column:
 
 
 def pages_from_records(records: DataFrame) -> DataFrame:
-    """Keeps the records that hold a page; drops file header and trailer."""
-    page = F.concat(
-        F.lit("<page>"), F.substring_index("value", "<page>", -1), F.lit(_PAGE_END)
-    )
+    """Keeps the records that hold a page; drops file header and trailer.
+
+    ``page`` is the record as it was read; it is cut and closed when its body is parsed.
+    """
     carried = [c for c in records.columns if c != "value"]
     found = records.filter(F.contains("value", F.lit("<title>")))
     return computed_once(
-        found.select(*carried, page.alias("page")),
+        found.select(*carried, F.col("value").alias("page")),
         {
             "page_id": F.regexp_extract("page", r"<id>(\d+)</id>", 1).try_cast("bigint"),
             "title": _title(F.col("page")),
@@ -53,7 +56,23 @@ def pages_from_records(records: DataFrame) -> DataFrame:
 
 
 def with_body(pages: DataFrame) -> DataFrame:
-    """Replaces the raw ``page`` by ``body``, the text of its last revision."""
-    parsed = F.from_xml("page", _BODY_SCHEMA, _XML)
-    text = F.try_element_at(parsed["revision"], F.lit(-1))["text"]
-    return computed_once(pages, {"body": F.coalesce(text, F.lit(""))}, drop=("page",))
+    """Replaces the raw ``page`` by ``body``, the text of its last revision.
+
+    A page that is no well-formed XML has an empty body here; ``unparsed_pages`` counts them.
+    """
+    return computed_once(pages, {"body": F.coalesce(_text(), F.lit(""))}, drop=("page",))
+
+
+def _parsed() -> Column:
+    whole = F.concat(F.lit("<page>"), F.substring_index("page", "<page>", -1), F.lit(_PAGE_END))
+    return F.from_xml(whole, f"{_BODY_SCHEMA}, {_CORRUPT} string", {**_XML, "columnNameOfCorruptRecord": _CORRUPT})
+
+
+def _text() -> Column:
+    return F.try_element_at(_parsed()["revision"], F.lit(-1))["text"]
+
+
+def unparsed_pages(pages: DataFrame) -> DataFrame:
+    """Pages of each wiki and language, and how many of them no XML reader takes."""
+    broken = _parsed()[_CORRUPT].isNotNull()
+    return pages.groupBy("wiki", "lang").agg(F.count("*").alias("pages"), F.count_if(broken).alias("unparsed"))

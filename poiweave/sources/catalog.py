@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+import urllib.parse
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poiweave.functions.steps import with_steps
-from poiweave.schemas import CATALOGUE_SCHEMA, LABEL_SCHEMA
 
 # A dump is a file of this name, several numbered ones, or a directory of parts.
 _DUMP_NAME = (
-    r"([^/]+?)(wikivoyage|wiki)-latest-(externallinks|pages-articles)\d*\.(?:sql|xml)"
+    r"([^/]+?)(wikivoyage|wiki)-(?:latest|\d{8})-(externallinks|pages-articles)(\d*)\.(?:sql|xml)"
     r"[^/]*(?:/[^/]*)?$"
 )
 
@@ -50,6 +52,28 @@ def dump_identity(path: Column) -> dict[str, Column]:
     }
 
 
+def dump_number(path: Column) -> Column:
+    """Number of a dump that comes in several files; 0 for a single one."""
+    return F.coalesce(F.regexp_extract(path, _DUMP_NAME, 4).try_cast("int"), F.lit(0))
+
+
+def handled_dumps(files: DataFrame) -> list[tuple[str, str]]:
+    """Wiki and language of every file that a scan reads; ValueError for names that cannot be read.
+
+    Only the names are looked at, on the driver, before any row is.
+    """
+    found, strange = set(), []
+    for path in files.inputFiles():
+        name = re.search(_DUMP_NAME, urllib.parse.unquote(path))
+        if name is None:
+            strange.append(path)
+        else:
+            found.add(("wikipedia" if name[2] == "wiki" else name[2], name[1]))
+    if strange:
+        raise ValueError(f"no language in the names of {len(strange)} dump files, such as {strange[0]}")
+    return sorted(found)
+
+
 def with_dump_identity(df: DataFrame, path: str) -> DataFrame:
     return df.withColumns(dump_identity(F.col(path)))
 
@@ -59,15 +83,6 @@ def link_dump_name(lang: Column) -> Column:
     return F.concat(lang, F.lit("wiki-latest-externallinks.sql.gz"))
 
 
-def language_labels(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LABELS, LABEL_SCHEMA)
-
-
-def language_catalogue(spark: SparkSession) -> DataFrame:
-    rows = [(wiki, lang) for wiki, codes in CATALOGUE.items() for lang in codes.split()]
-    return spark.createDataFrame(rows, CATALOGUE_SCHEMA)
-
-
 def _text(value: str) -> str:
     return "'" + value.replace("'", "\\'") + "'"
 

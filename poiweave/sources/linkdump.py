@@ -5,22 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poiweave.sources.catalog import dump_identity
+from poiweave.sources.catalog import dump_identity, dump_number, handled_dumps
 
 
 def read_link_dumps(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``INSERT`` lines of all matching dumps: ``lang``, ``value``, ``line_ord``.
 
     ``line_ord`` orders lines within a language as they stand in the files, also when
-    a file is read in several splits: file, start of the split, line within the task.
+    a file is read in several splits: number of the dump file, file, start of the split, line
+    within the task; a dump in files 1 to 10 ends with file 10, and parts of a directory follow by name.
     It is taken straight after the read, before anything can move rows between tasks.
     """
+    files = spark.read.text(paths)
+    handled_dumps(files)
     return (
-        spark.read.text(paths)
-        .select(
+        files.select(
             "value",
             dump_identity(F.col("_metadata.file_path"))["lang"].alias("lang"),
             F.struct(
+                dump_number(F.col("_metadata.file_path")).alias("number"),
                 F.col("_metadata.file_path").alias("file"),
                 F.col("_metadata.file_block_start").alias("block"),
                 F.monotonically_increasing_id().alias("line"),

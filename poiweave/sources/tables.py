@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 
-from poiweave.schemas import PARTITION_SCHEMA, POI_COLUMNS, POI_SCHEMA, POI_TEXT_COLUMNS
+from poiweave.schemas import LINK_TABLE_SCHEMA, PARTITION_SCHEMA, POI_TABLE_SCHEMA, POI_COLUMNS, POI_SCHEMA, POI_TEXT_COLUMNS
 
 BAD_ROW = "_bad_row"
 
@@ -56,8 +56,23 @@ def read_table(
     wiki: str | list[str] | None = None,
     lang: str | list[str] | None = None,
 ) -> DataFrame:
-    """Stored Parquet table; ``wiki`` and ``lang`` prune its partitions."""
-    df = spark.read.parquet(path)
+    """Stored points of interest; ``wiki`` and ``lang`` prune the partitions.
+
+    The schema is explicit, so a table without rows can be read.
+    """
+    return _pruned(spark.read.schema(POI_TABLE_SCHEMA).parquet(path), wiki, lang)
+
+
+def read_link_table(
+    spark: SparkSession, path: str, lang: str | list[str] | None = None
+) -> DataFrame:
+    """Stored links; ``lang`` prunes the partitions."""
+    return _pruned(spark.read.schema(LINK_TABLE_SCHEMA).parquet(path), None, lang)
+
+
+def _pruned(
+    df: DataFrame, wiki: str | list[str] | None, lang: str | list[str] | None
+) -> DataFrame:
     for column, wanted in (("wiki", wiki), ("lang", lang)):
         if wanted is not None:
             df = df.filter(df[column].isin([wanted] if isinstance(wanted, str) else wanted))
@@ -68,4 +83,6 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     """Bytes that a stored table takes on disk."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(location):
+        return 0
     return system.getContentSummary(location).getLength()
