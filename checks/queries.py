@@ -28,13 +28,13 @@ from poiweave.sinks.tables import write_poi_table
 from poiweave.sources import catalog
 from poiweave.sources.articledump import pages_from_records, with_body
 from poiweave.sources.linkdump import link_tuples as split_tuples
-from poiweave.sources.tables import read_poi_csv, read_table
+from poiweave.plans import jobs
+from poiweave.sources.tables import read_link_table, read_poi_csv, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
-# The test input has one link dump, so its joins use the title alone.
-ON = ["title"]
+ON = ["lang", "title"]
 LINK_VALUES = ["title", "latitude", "longitude", "language", "poitype", "region"]
 
 
@@ -48,8 +48,16 @@ def registered() -> dict[str, Query]:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder of the session, or a local one where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
+    """A new path in the shared folder of the session, ``spark.checkpoint.dir``.
+
+    Where it is unset, only a local master gets a folder of this machine, which all its tasks see.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="run-")
+        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/poiweave-{name}-{uuid.uuid4().hex}"
 
 
@@ -340,12 +348,15 @@ def poi_from_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def poi_all_wikis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    articles = fx.articles(spark, sf_dir)
-    encyclopedia = articles.filter(F.col("wiki") == "wikipedia")
-    travel_guide = articles.filter(F.col("wiki") == "wikivoyage")
-    both = encyclopedia.unionByName(travel_guide)
-    return pt.build_poi(both, _last_links(spark, sf_dir), on=ON)
+def links_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The link job over gz files that Spark wrote: file order, last per title, stored table."""
+    folder, table = scratch_path(spark, "dumps"), scratch_path(spark, "links")
+    lines = fx.link_lines(spark, sf_dir).repartitionByRange(4, "line_ord").sortWithinPartitions("lang", "line_ord")
+    for lang in ("de", "en", "es", "fr"):  # one dump a language, in parts by order of lines
+        part = lines.filter(F.col("lang") == lang).select("value")
+        part.write.option("compression", "gzip").text(f"{folder}/{lang}wiki-latest-externallinks.sql")
+    jobs.import_links(spark, f"{folder}/*", table)
+    return read_link_table(spark, table).select("lang", *LINK_VALUES)
 
 
 @query
@@ -376,24 +387,24 @@ def poi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def poi_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    travel_guide = poi(spark, sf_dir).filter(F.col("wiki") == "wikivoyage")
-    return pt.decode_poi_entities(travel_guide)
+    """The travel guide of a stored table whose contents hold an entity, decoded."""
+    path = scratch_path(spark, "poi")
+    write_poi_table(poi(spark, sf_dir).withColumn("CONTENT", F.concat("CONTENT", F.lit(" A &amp; B"))), path)
+    return pt.decode_poi_entities(read_table(spark, path, wiki="wikivoyage"))
 
 
 @query
 def poi_gpx_waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gpx.waypoint_fragments(poi(spark, sf_dir))
-
-
-def _stored_poi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "poi")
-    write_poi_table(poi(spark, sf_dir), path)
-    return read_table(spark, path)
+    """The columns that the writer turns into elements."""
+    points = gpx.waypoints(poi(spark, sf_dir))
+    return points.select(
+        *PARTITION_COLUMNS, F.col("_lat").alias("lat"), F.col("_lon").alias("lon"), "name", F.col("desc").alias("description")
+    )
 
 
 @query
 def poi_osm_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = osm.osm_nodes(_stored_poi(spark, sf_dir))
+    nodes = osm.osm_nodes(poi(spark, sf_dir))
     return nodes.select(
         *PARTITION_COLUMNS,
         F.col("_id").alias("node_id"),
@@ -405,7 +416,7 @@ def poi_osm_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def poi_osm_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return osm.osm_tags(_stored_poi(spark, sf_dir))
+    return osm.osm_tags(poi(spark, sf_dir))
 
 
 @query

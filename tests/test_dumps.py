@@ -15,9 +15,9 @@ from poiweave.plans import jobs
 from poiweave.schemas import POI_COLUMNS
 from poiweave.sinks.csvfiles import write_csv
 from poiweave.sinks.sqlscript import write_link_sql, write_poi_sql
-from poiweave.sources.articledump import read_article_dumps, with_body
+from poiweave.sources.articledump import read_article_dumps, unparsed_pages, with_body
 from poiweave.sources.linkdump import link_tuples, read_link_dumps
-from poiweave.sources.tables import read_poi_csv, read_table
+from poiweave.sources.tables import read_link_table, read_poi_csv, read_table
 
 GEO = "{n},7,'http://t/geohack.php?pagename={title}&language=en&params={params}','http://t.'"
 
@@ -90,7 +90,7 @@ def world(spark, tmp_path_factory):
 
 
 def test_link_table(spark, world):
-    rows = {(r.lang, r.title): r for r in read_table(spark, world["links"]).collect()}
+    rows = {(r.lang, r.title): r for r in read_link_table(spark, world["links"]).collect()}
     assert len(rows) == 7
     assert rows["en", "Old Town"].region == "NL-ZH"  # the later line
     assert (rows["nl", "Old Town"].latitude, rows["nl", "Old Town"].longitude) == (50.5, 4.25)
@@ -135,8 +135,8 @@ def test_rerun_replaces_only_its_languages(spark, world, tmp_path):
     for _ in range(2):
         jobs.import_links(spark, f"{folder}/*-externallinks.sql.gz", table)
         jobs.import_links(spark, f"{folder}/nlwiki-latest-externallinks.sql.gz", table)
-    assert read_table(spark, table).count() == 7
-    assert read_table(spark, table, lang="nl").count() == 1
+    assert read_link_table(spark, table).count() == 7
+    assert read_link_table(spark, table, lang="nl").count() == 1
 
 
 def test_bz2_is_read_in_splits(spark, tmp_path):
@@ -275,7 +275,7 @@ def test_poi_sql(spark, world, tmp_path, zipped):
 
 
 def test_link_sql(spark, world, tmp_path):
-    write_link_sql(read_table(spark, world["links"]), str(tmp_path))
+    write_link_sql(read_link_table(spark, world["links"]), str(tmp_path))
     con = run_script(tmp_path)
     assert con.execute("select count(*) from en_externallinks").fetchone() == (6,)
     assert con.execute("select latitude, longitude from nl_externallinks").fetchall() == [(50.5, 4.25)]
@@ -314,3 +314,59 @@ def test_listed_languages_only(spark, world, tmp_path):
             spark, f"{folder}/*.bz2", f"{folder}/links", poi, listed_languages_only=flag
         )
         assert len(parts(poi, "part-*.parquet")) == expected
+
+
+def test_a_language_without_links_any_more_has_no_rows(spark, tmp_path):
+    folder = str(tmp_path)
+    link_dump(folder, "en", [[GEO.format(n=1, title="A", params="1_N_2_E")]])
+    link_dump(folder, "nl", [[GEO.format(n=1, title="B", params="1_N_2_E")]])
+    article_dump(folder, "enwiki", [page(1, "A", "Text.")])
+    article_dump(folder, "nlwiki", [page(1, "B", "no stop")])
+    links, poi, out = f"{folder}/links", f"{folder}/poi", f"{folder}/out"
+    assert jobs.import_links(spark, f"{folder}/*.gz", links)["rows"] == 2
+    jobs.import_articles(spark, f"{folder}/*.bz2", links, poi)
+    formats = ("csv", "gpx", "osm", "sql")
+    jobs.export_poi(spark, poi, out, formats)
+    jobs.export_poi(spark, poi, out, formats, drop_empty=True)
+    for name in formats:
+        assert [p for p in glob.glob(f"{out}/{name}/wiki=wikipedia/*") if "lang=" in p] == [f"{out}/{name}/wiki=wikipedia/lang=en"]
+    link_dump(folder, "nl", [["2,7,'http://plain/','x'"]])
+    done = jobs.import_links(spark, f"{folder}/nl*.gz", links)
+    assert done == {"rows": 0, "partitions": []}
+    assert [r.lang for r in read_link_table(spark, links).collect()] == ["en"]
+    jobs.import_articles(spark, f"{folder}/nl*.bz2", links, poi)
+    assert [r.lang for r in read_table(spark, poi).collect()] == ["en"]
+    link_dump(folder, "en", [["2,7,'http://plain/','x'"]])
+    jobs.import_links(spark, f"{folder}/en*.gz", links)
+    assert read_link_table(spark, links).count() == 0
+
+
+def test_the_last_of_numbered_dumps_wins(spark, tmp_path):
+    for number in (2, 10):
+        with gzip.open(f"{tmp_path}/enwiki-20150501-externallinks{number}.sql.gz", "wt") as f:
+            link = GEO.format(n=1, title="A", params=f"{number}_N_2_E")
+            f.write(f"INSERT INTO `externallinks` VALUES ({link});\n")
+    (row,) = jobs.latest_links(spark, f"{tmp_path}/*.gz").collect()
+    assert row.latitude == 10.0
+
+
+def test_a_name_without_language_is_refused(spark, tmp_path):
+    with gzip.open(f"{tmp_path}/links.sql.gz", "wt") as f:
+        f.write("INSERT INTO x VALUES (1);\n")
+    with pytest.raises(ValueError, match="no language"):
+        jobs.import_links(spark, f"{tmp_path}/*.gz", f"{tmp_path}/t")
+    assert not os.path.exists(f"{tmp_path}/t")
+
+
+def test_no_row_aborts_an_export(spark, tmp_path):
+    folder = str(tmp_path)
+    article_dump(folder, "enwiki", [page(1, "A", "x %01 y."), page(2, "Bad", "a < b & c.")])
+    link_dump(folder, "en", [[GEO.format(n=1, title="A", params="1234567_N_5_E"), GEO.format(n=2, title="Bad", params="1_N_5_E")]])
+    jobs.import_links(spark, f"{folder}/*.gz", f"{folder}/links")
+    jobs.import_articles(spark, f"{folder}/*.bz2", f"{folder}/links", f"{folder}/poi")
+    jobs.export_poi(spark, f"{folder}/poi", f"{folder}/out", ("csv", "gpx", "osm", "sql"))
+    for name, tag in (("gpx", "wpt"), ("osm", "node")):
+        (file,) = glob.glob(f"{folder}/out/{name}/*/*/part-*")
+        assert [e.get("lat") for e in ET.parse(file).getroot() if e.tag.endswith(tag)] == ["1234567.0"]
+    (counts,) = unparsed_pages(read_article_dumps(spark, f"{folder}/*.bz2")).collect()
+    assert (counts.pages, counts.unparsed) == (2, 1)

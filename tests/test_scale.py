@@ -13,7 +13,7 @@ from poiweave.operators.prefilter import may_match
 from poiweave.sinks.tables import write_link_table
 from poiweave.sources.articledump import pages_from_records
 from poiweave.sources.linkdump import link_tuples
-from poiweave.sources.tables import read_table, stored_bytes
+from poiweave.sources.tables import read_link_table, stored_bytes
 
 
 def plan(df):
@@ -59,7 +59,7 @@ def test_stored_links_are_pruned_and_measured(spark, sf_dir, tmp_path):
     path = str(tmp_path / "links")
     write_link_table(both, path)
     assert stored_bytes(spark, path) > 1000
-    text = plan(read_table(spark, path, lang="nl").filter(F.col("latitude") > 10).select("title"))
+    text = plan(read_link_table(spark, path, lang="nl").filter(F.col("latitude") > 10).select("title"))
     assert "PartitionFilters: [isnotnull(lang" in text and "PushedFilters: [IsNotNull(latitude)" in text
     assert "ReadSchema: struct<title:string,latitude:double>" in text
 

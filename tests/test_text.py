@@ -2,6 +2,8 @@
 
 import re
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +13,6 @@ from poiweave.functions.entities import decode_entities
 from poiweave.functions.steps import with_steps
 from poiweave.functions.wikitext import (
     infobox_website,
-    leftover_templates,
     strip_infobox,
     with_plain_text,
 )
@@ -32,7 +33,10 @@ PLAIN = [
     ('a<ref name="x"/>b<ref>n\n</ref>c<REF a=1>m</Ref>d', "abcd"),
     ("a<math>x<y</math>b<gallery>\nf\n</gallery>c", "abc"),
     ("a {{t|{{u|{{v}}}}}} b", "a b"),
-    ("{{1{{2{{3{{4{{5}}}}}}}}}} z", "{{1}} z"),
+    ("{{1{{2{{3{{4{{5}}}}}}}}}} z", "z"),
+    ("{{" * 10 + "x" + "}}" * 10 + " z {{open", "z {{open"),
+    ("a <ref>b</ref> c <ref>open", "a c open"),
+    ("== a ==\n=b\n===\n= =\n=c= \n==d= =", "a =b c d="),
     ("a{| class=x\n| cell\n|}b", "ab"),
     ("[http://x.y label text] [https://x.y/z]", "label text"),
     ("== Head ==\nText\n===Sub===\nmore", "Head Text Sub more"),
@@ -83,8 +87,12 @@ def test_long_page_does_not_overflow(spark):
     assert got == "word b " * 50_000 + "end."
 
 
-def test_leftover_templates(spark):
-    assert apply(spark, "{{1}} {{2", lambda d: d.select(leftover_templates(F.col("body")))) == 2
+@pytest.mark.parametrize("mark", ["{|", "<ref>", "<!--", "=", "{{", "[http://a ", "[["])
+def test_a_megabyte_of_open_marks_is_linear(spark, mark):
+    body = mark * (1_000_000 // len(mark)) + "x"
+    began = time.monotonic()
+    apply(spark, body, lambda d: with_plain_text(d, "body", "t").select(F.length("t")))
+    assert time.monotonic() - began < 10
 
 
 def content(spark, body, **options):
