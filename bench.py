@@ -121,7 +121,7 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    folder = scratch_path(spark, "bench")
+    folder = os.environ.get("BENCH_FOLDER") or scratch_path(spark, "bench")
     pages = write_dumps(spark, folder)
     link_table, poi_table = f"{folder}/links", f"{folder}/poi"
     few_links = f"{folder}/few_links"

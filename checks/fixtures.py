@@ -115,8 +115,9 @@ def body_of(doc: str = "doc_id", text: str = "text") -> str:
         when 1 then '{{{{Infobox x' || {NL} || '| web = [http://w.example/' || {_str(doc)} || ' site]'
             || {NL} || '}}}}' || {NL} || {text}
         when 2 then {q3} || 'Bold' || {q3} || ' [[Place 1|first]] and [[Second]]. ' || {text}
-        when 3 then '<!-- c -->' || {text} || '<ref name="a">note</ref>'
-        when 4 then '{{{{a {{{{b}}}} c}}}}' || {text} || ' [http://e.example label]'
+        when 3 then '<!-- c -->' || {text} || '<ref name="a">note</ref>' || {NL} || '== Head ==' || {NL}
+            || '{{| a' || {NL} || '|}}' || '<nowiki>x</nowiki>'
+        when 4 then repeat('{{{{a ', 6) || 'b' || repeat(' c}}}}', 6) || {text} || ' [http://e.example label]'
         else '#REDIRECT [[Place 1]]' end"""
 
 

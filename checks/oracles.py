@@ -1,8 +1,7 @@
 """DuckDB SQL for the registered queries.
 
 Nothing here parses a link: coordinates, types and regions come from the integer keys in
-closed form, and points of interest from the raw text of ``documents``.  Only the text
-passes of ``article_plain_text`` repeat the regular expressions, in DuckDB's dialect.
+closed form, and plain text and points of interest from the raw text of ``documents``, by kind of markup.
 """
 
 from __future__ import annotations
@@ -111,8 +110,9 @@ def _cut(x: str) -> str:
 
 # The readable text of each kind of body, without looking at its markup.
 _READABLE = """case page_id % 6 when 0 then text when 1 then text
-    when 2 then 'Bold first and Second. ' || text when 3 then text
+    when 2 then 'Bold first and Second. ' || text when 3 then text || ' Head'
     when 4 then text || ' label' end"""
+_PLAIN = f"case when page_id % 6 = 5 then '#REDIRECT Place 1' else {_squeeze(_entities(_READABLE))} end"
 _CONTENT = _cut(f"replace(substring({_squeeze(_entities(_READABLE))}, 1, 600), '|', '')")
 
 POI = f"""{JOINED},
@@ -158,30 +158,6 @@ _TAGS = _NODES + ",\ntags as (" + "\n    union all\n".join(
 ) + ")"
 
 
-def _plain_text() -> str:
-    """The text passes in DuckDB's dialect, over the whole body."""
-    tags = ["ref", "gallery", "math", "nowiki", "timeline"]
-    passes = [
-        (r"(?s)(^|\n)[^\n]*\{\{Infobox[^\n]*(\n.*?\}\}[^\n]*|\n.*$|$)", "chr(10)"),
-        (r"(?s)<!--.*?-->", "''"),
-        (rf"(?is)<({'|'.join(tags)})\b[^<>]*/>", "''"),
-        *((rf"(?is)<{t}\b[^<>]*>.*?</{t}>", "''") for t in tags),
-        *([(r"\{\{[^{}]*\}\}", "''")] * 4),
-        (r"(?s)\{\|.*?\|\}", "''"),
-        (r"(?i)\[\[(file|image|category):[^\[\]]*\]\]", "''"),
-        (r"\[\[(?:[^\[\]]*\|)?([^\[\]|]*)\]\]", r"'\1'"),
-        (r"\[https?://[^\s\[\]]+\s+([^\[\]]*)\]", r"'\1'"),
-        (r"\[https?://[^\s\[\]]+\]", "''"),
-        (r"''{2,}", "''"),
-        (r"(?m)^=+[ \t]*(.*?)[ \t]*=+[ \t]*$", r"'\1'"),
-        (r"<[^<>]+>", "''"),
-    ]
-    text = "body"
-    for pattern, replacement in passes:
-        text = f"regexp_replace({text}, '{pattern}', {replacement}, 'g')"
-    return _squeeze(_entities(text))
-
-
 def oracles() -> dict[str, str]:
     link_values = "title, latitude, longitude, language, poitype, region"
     match_values = "page_id, wiki, lang, title, latitude, longitude, poitype, region"
@@ -250,7 +226,7 @@ def oracles() -> dict[str, str]:
             where page_id % 6 <> 5 and body <> ''""",
         "infobox_strip": f"""with {ARTICLES} select page_id, case when page_id % 6 = 1
             then chr(10) || chr(10) || text else body end as stripped from articles""",
-        "article_plain_text": f"""with {ARTICLES} select page_id, {_plain_text()} as plain
+        "article_plain_text": f"""with {ARTICLES} select page_id, {_PLAIN} as plain
             from articles""",
         "content_truncate": f"""select doc_id, replace(case when doc_id % 8 = 0
             then 'xy' || chr(92) || 'n' || chr(34) || 'z' || substring(text, 1, 591)
