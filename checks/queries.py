@@ -359,6 +359,18 @@ def links_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_link_table(spark, table).select("lang", *LINK_VALUES)
 
 
+@query
+def poi_all_wikis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The union of two stored tables, one of the encyclopedia and one of the travel guide."""
+    tables = []
+    for wiki in ("wikipedia", "wikivoyage"):
+        path = scratch_path(spark, wiki)
+        articles = fx.articles(spark, sf_dir).filter(F.col("wiki") == wiki)
+        write_poi_table(pt.build_poi(articles, _last_links(spark, sf_dir), on=ON), path)
+        tables.append(read_table(spark, path))
+    return tables[0].unionByName(tables[1])
+
+
 @query
 def poi_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = poi(spark, sf_dir)
