@@ -8,9 +8,9 @@ and the pair is dropped when that probability falls below ``miss``. Survivors ar
 their full sets, so every link is exact.
 
 Groups of a band are never expanded into pairs. Two rounds compare each member with the group's
-hub (the member that shares most bands with others) and merge what links. What is left of a group,
-members of different components, is compared in blocks of ``block`` members, a pair of blocks a task row,
-which emits only pairs that survive the pruning. So no partner or candidate is capped.
+hub (the member that shares most bands with others) and merge what links. What is left of groups,
+members of different components, is compared in blocks of ``block`` members: each pair of blocks is a row that holds both blocks'
+signatures and sets, is pruned and verified in its task, and gives only the links that join something. So no partner or candidate is capped.
 
 Defined cases: a null or blank text has an empty set and links with nothing; fewer than four words are
 one shingle; repeated rows and ids each get a row, and rows of one id are one document, whose set is that of the row
@@ -37,6 +37,8 @@ HASHES = BANDS * ROWS
 MISS = 1e-7
 BATCH = 16
 BLOCK = 256
+LONG = 2000  # shingles of a member that fills its share of a block
+COLUMNS = 16384
 HUB_ROUNDS = 2
 
 _SEEDS = np.random.default_rng(7).integers(1, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -164,21 +166,65 @@ def _pruned(batches):
         yield pa.RecordBatch.from_arrays([ar.column(batch, "a").filter(keep), ar.column(batch, "b").filter(keep), pa.array(found[found >= 0], pa.int64())], ["a", "b", "matches"])
 
 
-def _block_pairs(batches):
-    for batch in batches:
-        for i in range(batch.num_rows):
-            one, two = ar.column(batch, "one")[i].values, ar.column(batch, "two")[i].values
-            ids = [np.asarray(x.field("doc_id")) for x in (one, two)]
-            comp = [np.asarray(x.field("component")) for x in (one, two)]
-            sig = [_matrix(x.field("signature")) for x in (one, two)]
-            for j in range(len(ids[0])):
-                other = np.flatnonzero((comp[1] != comp[0][j]) & (ids[1] > ids[0][j] if ar.column(batch, "same")[i].as_py() else ids[1] != ids[0][j]))
-                found = surviving(np.broadcast_to(sig[0][j], (len(other), HASHES)), sig[1][other])
-                hit = other[found >= 0]
-                if len(hit):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(ids[0][j], ids[1][hit])), pa.array(np.maximum(ids[0][j], ids[1][hit])), pa.array(found[found >= 0], pa.int64())], ["a", "b", "matches"]
-                    )
+def _intersections(sets: list[list[np.ndarray]]) -> np.ndarray:
+    """Sizes of the intersections of all sets on one side with all on the other, a range of columns at a time."""
+    lengths = [[len(x) for x in side] for side in sets]
+    flat = [np.concatenate(side) if side else np.zeros(0, np.int64) for side in sets]
+    rows = [np.repeat(np.arange(len(n)), n) for n in lengths]
+    common = np.intersect1d(*flat)
+    out = np.zeros((len(sets[0]), len(sets[1])), np.float32)
+    at = [np.searchsorted(common, f) for f in flat]
+    known = [np.isin(f, common) for f in flat]
+    for lo in range(0, len(common), COLUMNS):
+        hi = min(lo + COLUMNS, len(common))
+        sides = []
+        for k in (0, 1):
+            here = known[k] & (at[k] >= lo) & (at[k] < hi)
+            dense = np.zeros((len(sets[k]), hi - lo), np.float32)
+            dense[rows[k][here], at[k][here] - lo] = 1
+            sides.append(dense)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def _block_links(percent: int):
+    """Verified links between members of two blocks in different components, no more than join what they join."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                sides = [ar.column(batch, n)[i].values for n in ("one", "two")]
+                ids, comp = ([np.asarray(x.field(n)) for x in sides] for n in ("doc_id", "component"))
+                sig = [_matrix(x.field("signature")) for x in sides]
+                left, right = np.nonzero(comp[0][:, None] != comp[1][None, :])
+                found = [surviving(sig[0][left[k : k + 8192]], sig[1][right[k : k + 8192]]) >= 0 for k in range(0, len(left), 8192)]
+                alive = np.concatenate(found) if found else np.zeros(0, bool)
+                left, right = left[alive], right[alive]
+                if not len(left):
+                    continue
+                some = [np.unique(left), np.unique(right)]
+                sets = [[np.asarray(x.field("shingles")[int(k)].values) for k in rows] for x, rows in zip(sides, some)]
+                a, b = np.searchsorted(some[0], left), np.searchsorted(some[1], right)
+                common = _intersections(sets)[a, b]
+                size = [np.array([len(x) for x in side]) for side in sets]
+                linked = 100 * common >= percent * (size[0][a] + size[1][b] - common)
+                parent: dict[int, int] = {}
+
+                def root(x: int) -> int:
+                    while parent.get(x, x) != x:
+                        x = parent[x]
+                    return x
+
+                pairs = []
+                for x, y in zip(ids[0][left[linked]].tolist(), ids[1][right[linked]].tolist()):
+                    rx, ry = root(x), root(y)
+                    if rx != ry:
+                        parent[rx] = ry
+                        pairs.append((x, y))
+                if pairs:
+                    yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
+
+    return run
 
 
 PAIRS = "a long, b long, matches long"
@@ -233,12 +279,15 @@ def near_groups(docs: DataFrame, percent: int = 80, block: int = BLOCK, hub_roun
         found = stored(_survivors(pairs, nodes), "pairs")
         # Most documents link to their most similar hub; only ends still apart are verified after that.
         best = found.groupBy("a").agg(F.max_by("b", F.struct("matches", "b")).alias("b"))
-        new = stored(_verified(best, full, percent), "links")
-        links = new if links is None else links.union(new)
-        labels = components(labels, links)
-        more = stored(_verified(_between(found.select("a", "b"), labels).join(best, ["a", "b"], "left_anti"), full, percent), "links")
-        links = links.union(more)
-        labels = components(labels, links)
+        first = stored(_verified(best, full, percent), "links")
+        # A pair is left out where the links so far already join its ends through a hub.
+        star = first.select(F.col("a").alias("id"), F.col("b").alias("hub"))
+        left, right = star.select(F.col("id").alias("a"), F.col("hub").alias("of_a")), star.select(F.col("id").alias("b"), F.col("hub").alias("of_b"))
+        open_pairs = found.select("a", "b").join(left, "a", "left").join(right, "b", "left")
+        open_pairs = open_pairs.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+        more = _verified(open_pairs.join(best, ["a", "b"], "left_anti"), full, percent)
+        links = stored((first if links is None else links.union(first)).union(more), "links")
+        labels = stored(components(labels, links), "labels")
         # The hub has met everyone in its group; a group goes on while the rest lies in several components.
         rest = open_groups.join(hubs, "band").filter("doc_id <> hub").drop("hub").join(labels, "doc_id")
         several = rest.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("band")
@@ -246,9 +295,7 @@ def near_groups(docs: DataFrame, percent: int = 80, block: int = BLOCK, hub_roun
         if open_groups.isEmpty():
             break
     else:
-        found = stored(_apart(open_groups, labels, nodes, block).distinct(), "pairs")
-        links = links.union(stored(_verified(found, full, percent), "links"))
-        labels = components(labels, links)
+        labels = components(labels, links.union(stored(_apart(open_groups, labels, nodes, full, percent, block), "links")))
 
     by_class = classes.join(labels, classes.rep == labels.doc_id, "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     of_rep = one.join(by_class, "set_key", "left").select(F.col("doc_id").alias("id"), "component")
@@ -261,16 +308,25 @@ def near_groups(docs: DataFrame, percent: int = 80, block: int = BLOCK, hub_roun
     )
 
 
-def _apart(open_groups: DataFrame, labels: DataFrame, nodes: DataFrame, block: int) -> DataFrame:
-    """Pairs in different components that survive the pruning, from groups cut into blocks."""
-    rows = open_groups.join(labels, "doc_id").join(nodes, "doc_id").select("band", "doc_id", "component", "signature")
-    sizes = open_groups.groupBy("band").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    dealt = rows.join(sizes, "band").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    packed = stored(dealt.groupBy("band", "part", "blocks").agg(F.collect_list(F.struct("doc_id", "component", "signature")).alias("rows")), "blocks")
-    left = packed.select("band", F.col("part").alias("p"), F.col("rows").alias("one"))
-    right = packed.select("band", F.col("part").alias("q"), F.col("rows").alias("two"))
-    both = left.join(right, "band").filter("p <= q")
-    return both.repartition(F.hash("band", "p", "q")).select("one", "two", (F.col("p") == F.col("q")).alias("same")).mapInArrow(_block_pairs, PAIRS).select("a", "b")
+def _apart(open_groups: DataFrame, labels: DataFrame, nodes: DataFrame, full: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links between members of open groups in different components.
+
+    Groups that share members are taken together, so a pair is compared once, whatever the number of its bands. Blocks hold
+    ``block`` members, fewer of long sets, and each pair of blocks is a row with both blocks' signatures and sets.
+    """
+    heads = open_groups.groupBy("band").agg(F.min("doc_id").alias("b"))
+    shared = open_groups.join(heads, "band").select(F.col("doc_id").alias("a"), "b").filter("a <> b").distinct()
+    members = open_groups.select("doc_id").distinct().withColumn("component", F.col("doc_id"))
+    together = stored(components(members, shared).withColumnRenamed("component", "together"), "together")
+    rows = together.join(labels, "doc_id").join(nodes, "doc_id").join(full, "doc_id")
+    amount = F.greatest(F.count("*") / block, F.sum(F.size("shingles")) / (block * LONG))
+    sizes = rows.groupBy("together").agg(F.ceil(amount).cast("int").alias("blocks"))
+    dealt = rows.join(sizes, "together").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    packed = stored(dealt.groupBy("together", "part").agg(F.collect_list(F.struct("doc_id", "component", "signature", "shingles")).alias("rows")), "blocks")
+    left = packed.select("together", F.col("part").alias("p"), F.col("rows").alias("one"))
+    right = packed.select("together", F.col("part").alias("q"), F.col("rows").alias("two"))
+    both = left.join(right, "together").filter("p <= q")
+    return both.repartition(F.hash("together", "p", "q")).select("one", "two").mapInArrow(_block_links(percent), "a long, b long")
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:

@@ -42,24 +42,21 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """``(doc_id, component)``: the smallest id that links reach from each node.
 
     ``nodes`` has ``doc_id`` and a starting ``component`` (an id of the same component);
-    ``links`` has ``a`` and ``b``. Each round takes the smallest component among neighbours, then follows
-    that component's own; a hub costs each task one row, as the minimum is taken before
-    the shuffle. Ends when a round changes nothing.
+    ``links`` has ``a`` and ``b``. Each round gives a node the smallest component among its own and its
+    neighbours', then that component's own; a hub costs each task one row, as the minimum is taken before
+    the shuffle. Only nodes with links take part. Ends when a round changes nothing.
     """
-    both = stored(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = stored(nodes.select("doc_id", "component"), "labels")
+    both = stored(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+    labels = stored(nodes.join(both.select(F.col("a").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "component"), "labels")
     while True:
-        seen = both.join(labels.withColumnRenamed("doc_id", "b"), "b").groupBy("a").agg(F.min("component").alias("near"))
-        # The least neighbour of any member counts for the whole component.
-        hooks = labels.join(seen, labels.doc_id == seen.a).groupBy("component").agg(F.min("near").alias("near")).filter("near < component")
-        hooks = stored(hooks, "hooks")
-        if hooks.isEmpty():
-            return labels
-        while True:
-            up = hooks.select(F.col("component").alias("near"), F.col("near").alias("next"))
-            jumped = stored(hooks.join(up, "near", "left").select("component", F.coalesce("next", "near").alias("near"), F.col("next").isNotNull().alias("moved")), "hooks")
-            done = jumped.filter("moved").isEmpty()
-            hooks = jumped.select("component", "near")
-            if done:
-                break
-        labels = stored(labels.join(hooks, "component", "left").select("doc_id", F.coalesce("near", "component").alias("component")), "labels")
+        near = both.join(labels.withColumnRenamed("doc_id", "b"), "b").groupBy("a").agg(F.min("component").alias("near"))
+        lower = labels.join(near, labels.doc_id == near.a).select("doc_id", "component", F.least("component", "near").alias("next"))
+        # What a component's members have found holds for its other members too.
+        roots = lower.groupBy("component").agg(F.min("next").alias("root"))
+        found = lower.join(roots, "component").select("doc_id", "component", "root")
+        labels = stored(found.select("doc_id", F.col("root").alias("component"), (F.col("root") < F.col("component")).alias("moved")), "labels")
+        if labels.filter("moved").isEmpty():
+            break
+        labels = labels.select("doc_id", "component")
+    reached = labels.select(F.col("doc_id").alias("_id"), F.col("component").alias("_component"))
+    return nodes.join(reached, nodes.doc_id == F.col("_id"), "left").select("doc_id", F.coalesce("_component", "component").alias("component"))
