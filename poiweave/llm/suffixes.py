@@ -30,6 +30,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -239,6 +240,13 @@ def _merged(bytes_: np.ndarray, size: np.ndarray, owner: np.ndarray):
     return number, first, least
 
 
+_SPAN_KINDS = (np.int64, np.uint32, np.int32, np.int32)
+
+
+def _span_columns(table: pa.Table) -> list[np.ndarray]:
+    return [_column(table, n, kind) for n, kind in zip(("owner", "tag", "first", "last"), _SPAN_KINDS)]
+
+
 class _Spans:
     """Spans to remove, packed by group of documents."""
 
@@ -252,9 +260,9 @@ class _Spans:
     def rows(self) -> list[tuple]:
         if not self.found:
             return []
-        owner, tag, first, last = (np.concatenate(x) for x in zip(*self.found))
+        owner, tag, first, last = _joined(*(np.concatenate(x) for x in zip(*self.found)))
         g = group_of(owner, tag, self.groups)
-        return [(k, owner[i].astype(np.int64).tobytes(), tag[i].astype(np.uint32).tobytes(), first[i].astype(np.int64).tobytes(), last[i].astype(np.int64).tobytes()) for k, i in _split(g)]
+        return [(k, *(x[i].astype(kind).tobytes() for x, kind in zip((owner, tag, first, last), _SPAN_KINDS))) for k, i in _split(g)]
 
 
 def group_of(ids: np.ndarray, groups: int) -> np.ndarray:
@@ -322,8 +330,9 @@ def _undecided(bucket, body, size, owner, tag, place, salt: int, spans: _Spans)
     later = owner > least[number]
     spans.add(owner[later], tag[later], place[later], place[later] + size[later])
     keep = np.flatnonzero(~later)
+    pack = zstandard.ZstdCompressor(level=3).compress
     return [
-        (b, salt, body[i].tobytes(), size[i].tobytes(), owner[i].astype(np.int64).tobytes(), tag[i].astype(np.uint32).tobytes(), place[i].astype(np.int64).tobytes())
+        (b, salt, pack(body[i].tobytes()), size[i].tobytes(), owner[i].astype(np.int64).tobytes(), tag[i].astype(np.uint32).tobytes(), place[i].astype(np.int32).tobytes())
         for b, i in ((b, keep[i]) for b, i in _split(bucket[keep]))
     ]
 
@@ -332,13 +341,13 @@ def _unpacked(table: pa.Table):
     size = _column(table, "size", np.uint8)
     per = _sizes(table, "size", 1)
     body = np.zeros((len(size), WIDE), np.uint8)
-    at = 0
+    at, unpack = 0, zstandard.ZstdDecompressor().decompress
     for n, raw in zip(per, table.column("bytes")):
         if n:
-            part = np.frombuffer(raw.as_py(), np.uint8).reshape(n, -1)
+            part = np.frombuffer(unpack(raw.as_py()), np.uint8).reshape(n, -1)
             body[at : at + n, : part.shape[1]] = part
             at += n
-    return body, size, _column(table, "owner", np.int64), _column(table, "tag", np.uint32), _column(table, "place", np.int64)
+    return body, size, _column(table, "owner", np.int64), _column(table, "tag", np.uint32), _column(table, "place", np.int32).astype(np.int64)
 
 
 def _decided(table: pa.Table, groups: int) -> _Spans:
@@ -406,8 +415,9 @@ def _last_merge(groups: int):
     def run(key, table):
         bucket = key[0].as_py()
         if bucket < 0:
-            rows = table.select(["owner", "tag", "first", "last"])
-            return rows.add_column(0, "g", pa.array(np.full(rows.num_rows, -1 - bucket), pa.int32()))
+            spans = _Spans(groups)
+            spans.add(*_span_columns(table))
+            return _table(spans.rows(), SPANS)
         return _table(_decided(table, groups).rows(), SPANS)
 
     return run
@@ -417,14 +427,16 @@ def _joined(owner, tag, first, last):
     """Overlapping spans of one document as one."""
     order = np.lexsort((first, tag, owner))
     owner, tag, first, last = owner[order], tag[order], first[order], last[order]
-    fresh = np.r_[True, (owner[1:] != owner[:-1]) | (tag[1:] != tag[:-1]) | (first[1:] > last[:-1])] if len(owner) else np.zeros(0, bool)
+    if not len(owner):
+        return owner, tag, first, last
+    # Ends rise with starts here: contexts and windows have one length, or were joined before, but for those cut at a text's end.
+    fresh = np.r_[True, (owner[1:] != owner[:-1]) | (tag[1:] != tag[:-1]) | (first[1:] > last[:-1])]
     begin = np.flatnonzero(fresh)
-    return owner[begin], tag[begin], first[begin], np.maximum.reduceat(last, begin) if len(begin) else last
+    return owner[begin], tag[begin], first[begin], np.maximum.reduceat(last, begin)
 
 
 def _apply(key, texts, spans):
-    owner, tag = _column(spans, "owner", np.int64), _column(spans, "tag", np.uint32)
-    first, last = _column(spans, "first", np.int64), _column(spans, "last", np.int64)
+    owner, tag, first, last = _span_columns(spans)
     order = np.lexsort((first, tag, owner))
     owner, tag, first, last = owner[order], tag[order], first[order], last[order]
     out = []
