@@ -3,7 +3,8 @@
 The lexicon is learned from labelled rows: whole words and word beginnings that occur in toxic documents far more
 often than in others. Its entries stand in a trie; the product of the trie with the Levenshtein
 automaton of each entry is made deterministic as it is used, so a word is read once, whatever the number of
-entries. Entries of five letters and more match within one edit, of nine and more within two.
+entries. Entries of five letters and more match within one edit, of nine and more within two, unless the word found is an ordinary
+word of the labelled documents.
 
 The window around each hit tells abuse from quotation: a hit between quotation marks, or next to a reporting
 word, counts as quoted. A logistic model over the document's hits gives the score.
@@ -32,6 +33,10 @@ SAMPLE = 12000
 LEXICON = 2000
 THRESHOLD = 0.3
 LEAST_DOCS = 4
+LEAST_SHARE = 0.01  # of the toxic documents, for a term
+INNOCENT = 20_000
+# Weights before any data: a word one or two edits away says less than the term itself.
+PRIOR = (0.0, 0.0, 3.0, 5.0, 0.0, 0.0)
 LEAST_G = 25.0
 LEAST_RATIO = 10.0
 BEGINNINGS = (4, 5, 6)
@@ -149,8 +154,11 @@ FEATURES = 6
 class Reader:
     """Measures of a document's hits; keeps a bounded memory of words already read."""
 
-    def __init__(self, entries: list[str]):
-        self.automaton, self.known = Automaton(entries), {}
+    def __init__(self, entries: list[str], innocent: frozenset[str] = frozenset()):
+        self.automaton, self.innocent, self.known = Automaton(entries), innocent, {}
+
+    def closest(self, word: str) -> tuple[int, int] | None:
+        return None if word in self.innocent else self.automaton.match(word)
 
     def hits(self, text: str) -> list[tuple[str, int, int, int, int]]:
         """Word, start, end, entry and edits of each hit."""
@@ -160,12 +168,12 @@ class Reader:
             if word not in self.known:
                 if len(self.known) >= CACHE:
                     self.known.clear()
-                self.known[word] = self.automaton.match(word)
+                self.known[word] = self.closest(word)
             if self.known[word] is not None:
                 found.add(word)
         if not found:
             return []
-        return [(m[0], m.start(), m.end(), *self.automaton.match(m[0])) for m in _WORD.finditer(low) if m[0] in found]
+        return [(m[0], m.start(), m.end(), *self.closest(m[0])) for m in _WORD.finditer(low) if m[0] in found]
 
     def measures(self, text: str) -> list[float]:
         hits = self.hits(text)
@@ -191,21 +199,29 @@ class Model:
     entries: list[str]
     weights: np.ndarray
     bias: float
+    innocent: frozenset[str] = frozenset()
+
+
+def _terms(word: str) -> list[str]:
+    return [word, *(word[:k] + _MORE for k in BEGINNINGS if len(word) > k)] if 3 <= len(word) <= 40 else []
+
+
+def _toxic_terms(batches):
+    """Each term of a toxic document with the word before its first place: copies of a document add no new pair."""
+    for batch in batches:
+        found = set()
+        for text in ar.column(batch, "text").to_pylist():
+            own = words_of(text or "")
+            found |= {t: before for before, w in reversed([*zip(["", *own], own)]) for t in _terms(w)}.items()
+        yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.string()), pa.array([b for _, b in found], pa.string())], ["term", "before"])
 
 
-def _term_counts(batches):
+def _clean_terms(batches):
     for batch in batches:
-        toxic, clean = Counter(), Counter()
-        for text, label in zip(ar.column(batch, "text").to_pylist(), ar.column(batch, "label").to_pylist()):
-            own = {w for w in words_of(text or "") if 3 <= len(w) <= 40}
-            own |= {w[:k] + _MORE for w in own for k in BEGINNINGS if len(w) > k}
-            (toxic if label else clean).update(own)
-        names = list(toxic)  # a term that only clean documents have is no entry
-        rest = [w for w in clean if w not in toxic]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names + rest), pa.array([toxic[w] for w in names] + [0] * len(rest), pa.int64()), pa.array([clean[w] for w in names] + [clean[w] for w in rest], pa.int64())],
-            ["term", "toxic", "clean"],
-        )
+        count = Counter()
+        for text in ar.column(batch, "text").to_pylist():
+            count.update({t for w in set(words_of(text or "")) for t in _terms(w)})
+        yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["term", "clean"])
 
 
 def pick_entries(terms: list[tuple[str, int, int]]) -> list[str]:
@@ -227,19 +243,46 @@ def pick_entries(terms: list[tuple[str, int, int]]) -> list[str]:
 
 
 def learn_entries(sample: DataFrame, toxic: int, clean: int, most: int = LEXICON) -> list[str]:
-    """The terms whose share among toxic documents is far above that among others (G test)."""
-    counts = sample.mapInArrow(_term_counts, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    """The terms whose share among toxic documents is far above that among others (G test).
+
+    A term counts once in a document, and once for each word before it, so that copies of a document do not make
+    terms of its words.
+    """
+    seen = sample.filter("label = 1").select("text").mapInArrow(_toxic_terms, "term string, before string").distinct().groupBy("term").agg(F.least(F.count("*"), F.lit(toxic)).alias("toxic"))
+    seen = seen.filter(F.col("toxic") >= max(LEAST_DOCS, LEAST_SHARE * toxic))
+    others = sample.filter("label = 0").select("text").mapInArrow(_clean_terms, "term string, clean long").groupBy("term").agg(F.sum("clean").alias("clean"))
+    counts = seen.join(others, "term", "left").withColumn("clean", F.coalesce("clean", F.lit(0)))
     t, c, n = F.col("toxic"), F.col("clean"), toxic + clean
     et, ec = (t + c) * (toxic / n), (t + c) * (clean / n)
     g = 2 * (t * F.log(t / et) + F.when(c > 0, c * F.log(c / ec)).otherwise(0.0))
     ratio = ((t + 0.5) / (toxic + 1)) / ((c + 0.5) / (clean + 1))
-    rows = counts.filter(t >= LEAST_DOCS).withColumn("g", g).filter((F.col("g") >= LEAST_G) & (ratio >= LEAST_RATIO)).orderBy(F.desc("g"), "term").limit(most).collect()
+    rows = counts.withColumn("g", g).filter((F.col("g") >= LEAST_G) & (ratio >= LEAST_RATIO)).orderBy(F.desc("g"), "term").limit(most).collect()
     return pick_entries([(r.term, r.toxic, r.clean) for r in rows])
 
 
-def _measured(entries: list[str]):
+def _near_words(entries: list[str]):
     def run(batches):
         reader = Reader(entries)
+        for batch in batches:
+            count = Counter()
+            for text, label in zip(ar.column(batch, "text").to_pylist(), ar.column(batch, "label").to_pylist()):
+                count.update((h[0], label) for h in {h[0]: h for h in reader.hits(text or "") if h[4]}.values())
+            names = sorted({w for w, _ in count})
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([count[w, v] for w in names], pa.int64()) for v in (1, 0))], ["word", "toxic", "clean"])
+
+    return run
+
+
+def learn_innocent(sample: DataFrame, entries: list[str], toxic: int, clean: int) -> frozenset[str]:
+    """Words near an entry that are ordinary words: no more frequent in toxic documents than in others."""
+    counts = sample.mapInArrow(_near_words(entries), "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    found = counts.filter(F.col("toxic") * clean <= 3 * F.col("clean") * toxic).orderBy(F.desc("clean"), "word").limit(INNOCENT)
+    return frozenset(r.word for r in found.collect())
+
+
+def _measured(entries: list[str], innocent: frozenset[str]):
+    def run(batches):
+        reader = Reader(entries, innocent)
         for batch in batches:
             rows = [reader.measures(x or "") for x in ar.column(batch, "text").to_pylist()]
             yield pa.RecordBatch.from_arrays([ar.column(batch, "label"), pa.array(rows, pa.list_(pa.float64()))], ["label", "x"])
@@ -256,21 +299,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = LE
     entries = learn_entries(rows, toxic, clean, most) if toxic and clean else []
     if not entries:
         return Model([], np.zeros(FEATURES), float(np.log(max(rate, 1e-6) / max(1 - rate, 1e-6))) if toxic + clean else -50.0)
-    got = rows.mapInArrow(_measured(entries), "label int, x array<double>").collect()
+    innocent = learn_innocent(rows, entries, toxic, clean)
+    got = rows.mapInArrow(_measured(entries, innocent), "label int, x array<double>").collect()
     x, y = np.array([r.x for r in got]), np.array([r.label for r in got], np.float64)
     w = np.where(y == 1, rate / toxic, (1 - rate) / clean) * len(y)
     x1, theta = np.c_[x, np.ones(len(x))], np.zeros(FEATURES + 1)
-    keep = 0.05 * np.r_[np.ones(FEATURES), 1e-3]
+    keep, prior = 0.05 * np.r_[np.ones(FEATURES), 1e-3], np.r_[PRIOR, 0.0]
     for _ in range(30):
         p = 1 / (1 + np.exp(-x1 @ theta))
         h = (x1 * (w * p * (1 - p))[:, None]).T @ x1 + np.diag(keep)
-        theta = theta + np.clip(np.linalg.solve(h, x1.T @ (w * (y - p)) - keep * theta), -2, 2)
-    return Model(entries, theta[:-1], float(theta[-1]))
+        theta = theta + np.clip(np.linalg.solve(h, x1.T @ (w * (y - p)) - keep * (theta - prior)), -2, 2)
+    return Model(entries, theta[:-1], float(theta[-1]), innocent)
 
 
 def _scores(model: Model):
     def run(batches):
-        reader = Reader(model.entries)
+        reader = Reader(model.entries, model.innocent)
         for batch in batches:
             x = np.array([reader.measures(t or "") for t in ar.column(batch, "text").to_pylist()]).reshape(-1, FEATURES)
             score = 1 / (1 + np.exp(-np.clip(x @ model.weights + model.bias, -50, 50)))
