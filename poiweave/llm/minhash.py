@@ -7,8 +7,8 @@ posterior of its similarity (uniform prior, binomial likelihood) says whether th
 and the pair is dropped when that probability falls below ``miss``. Survivors are verified on
 their full sets, so every link is exact.
 
-Groups of a band are never expanded into pairs. Two rounds compare each member with the group's
-hub (the member that shares most bands with others) and merge what links. What is left of groups,
+Groups of a band are never expanded into pairs. A first round compares each member with the group's
+hub (the member that shares most bands with others) and merges what links. What is left of groups,
 members of different components, is compared in blocks of ``block`` members: each pair of blocks is a row that holds both blocks'
 signatures and sets, is pruned and verified in its task, and gives only the links that join something. So no partner or candidate is capped.
 
@@ -32,14 +32,14 @@ from poiweave.llm.shared import components, stored
 
 WORDS = 4
 THRESHOLD = 0.8
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 40, 6
 HASHES = BANDS * ROWS
 MISS = 1e-7
 BATCH = 16
 BLOCK = 256
 LONG = 2000  # shingles of a member that fills its share of a block
 COLUMNS = 16384
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
 
 _SEEDS = np.random.default_rng(7).integers(1, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
 _WORD_FACTORS = np.random.default_rng(11).integers(1, 1 << 63, 8, dtype=np.uint64) | np.uint64(1)
