@@ -1,6 +1,7 @@
 """Near-duplicates: MinHash bands, sequential Bayesian pruning, exact verification.
 
-A document's set holds its distinct 4-word shingles. Equal sets form a class, represented by
+A document's set holds its distinct shingles of ``words`` words: four in the query op3, whose contract says so, five
+where near-copies are dropped from a corpus. Equal sets form a class, represented by
 its smallest id. Signatures of the representatives are banded; documents that share a band are
 candidates. A candidate pair is compared in batches of signature values: after each batch the
 posterior of its similarity (uniform prior, binomial likelihood) says whether the pair can still reach the threshold,
@@ -12,7 +13,7 @@ hub (the member that shares most bands with others) and merges what links. What
 members of different components, is compared in blocks of ``block`` members: each pair of blocks is a row that holds both blocks'
 signatures and sets, is pruned and verified in its task, and gives only the links that join something. So no partner or candidate is capped.
 
-Defined cases: a null or blank text has an empty set and links with nothing; fewer than four words are
+Defined cases: a null or blank text has an empty set and links with nothing; fewer words than a shingle has are
 one shingle; repeated rows and ids each get a row, and rows of one id are one document, whose set is that of the row
 with the largest set key; rows without an id have their own component null and are kept; other columns are ignored.
 """
@@ -31,6 +32,7 @@ from poiweave.llm import arrays as ar
 from poiweave.llm.shared import components, stored
 
 WORDS = 4
+CORPUS_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 40, 6
 HASHES = BANDS * ROWS
@@ -93,9 +95,9 @@ def _keys(values: np.ndarray, counts: np.ndarray) -> list[bytes | None]:
     return [hashlib.blake2b(values[e - c : e].tobytes(), digest_size=16).digest() if c else None for e, c in zip(ends, counts)]
 
 
-def _sets(batches):
+def _set_rows(batches, words: int):
     for rows, data, at in ar.slices(batches):
-        values, counts = shingle_hashes(data, at)
+        values, counts = shingle_hashes(data, at, words)
         full = counts > 0
         sig = np.zeros((len(counts), HASHES), np.uint64)
         if full.any():
@@ -114,12 +116,15 @@ def _sets(batches):
         )
 
 
-def _full_sets(batches):
-    for rows, data, at in ar.slices(batches):
-        values, counts = shingle_hashes(data, at)
-        mine = pa.array([k == w for k, w in zip(_keys(values, counts), ar.column(rows, "set_key").to_pylist())])
-        ids, found = ar.column(rows, "doc_id").cast(pa.int64()), ar.lists(values.view(np.int64), counts, pa.int64())
-        yield pa.RecordBatch.from_arrays([ids.filter(mine), found.filter(mine)], ["doc_id", "shingles"])
+def _full_sets(words: int):
+    def run(batches):
+        for rows, data, at in ar.slices(batches):
+            values, counts = shingle_hashes(data, at, words)
+            mine = pa.array([k == w for k, w in zip(_keys(values, counts), ar.column(rows, "set_key").to_pylist())])
+            ids, found = ar.column(rows, "doc_id").cast(pa.int64()), ar.lists(values.view(np.int64), counts, pa.int64())
+            yield pa.RecordBatch.from_arrays([ids.filter(mine), found.filter(mine)], ["doc_id", "shingles"])
+
+    return run
 
 
 def least_matches(threshold: float = THRESHOLD, miss: float = MISS, hashes: int = HASHES) -> list[int]:
@@ -253,10 +258,10 @@ def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").filter("comp_a <> comp_b").select(*pairs.columns)
 
 
-def near_groups(docs: DataFrame, percent: int = 80, block: int = BLOCK, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
+def near_groups(docs: DataFrame, percent: int = 80, block: int = BLOCK, hub_rounds: int = HUB_ROUNDS, words: int = WORDS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = stored(texts.mapInArrow(_sets, SET_SCHEMA), "sets")
+    sets = stored(texts.mapInArrow(lambda batches: _set_rows(batches, words), SET_SCHEMA), "sets")
     one = sets.filter("doc_id is not null").groupBy("doc_id").agg(F.max("set_key").alias("set_key"))
     classes = one.filter("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     reps = sets.join(classes, (sets.doc_id == classes.rep) & (sets.set_key == classes.set_key), "left_semi").dropDuplicates(["doc_id"])
@@ -266,7 +271,7 @@ def near_groups(docs: DataFrame, percent: int = 80, block: int = BLOCK, hub_roun
     score = members.groupBy("doc_id").agg(F.sum("size").alias("score"))
     members = stored(members.join(score, "doc_id"), "members")
     nodes = stored(reps.select("doc_id", "signature").join(score.select("doc_id"), "doc_id", "left_semi"), "nodes")
-    full = stored(texts.join(reps.join(score.select("doc_id"), "doc_id", "left_semi").select("doc_id", "set_key"), "doc_id").mapInArrow(_full_sets, "doc_id long, shingles array<long>"), "full")
+    full = stored(texts.join(reps.join(score.select("doc_id"), "doc_id", "left_semi").select("doc_id", "set_key"), "doc_id").mapInArrow(_full_sets(words), "doc_id long, shingles array<long>"), "full")
 
     labels = nodes.select("doc_id", F.col("doc_id").alias("component"))
     links = None
@@ -329,7 +334,7 @@ def _apart(open_groups: DataFrame, labels: DataFrame, nodes: DataFrame, full: Da
     return both.repartition(F.hash("together", "p", "q")).select("one", "two").mapInArrow(_block_links(percent), "a long, b long")
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
+def drop_near_copies(docs: DataFrame, words: int = CORPUS_WORDS) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component; repeated rows of that id stay once."""
-    gone = near_groups(docs).filter("not kept").select(F.col("doc_id").alias("_gone"))
+    gone = near_groups(docs, words=words).filter("not kept").select(F.col("doc_id").alias("_gone"))
     return docs.join(gone, docs.doc_id == F.col("_gone"), "left_anti")

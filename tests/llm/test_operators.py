@@ -177,6 +177,17 @@ def test_near_groups_equal_brute_force(spark, corpus):
     assert got == sorted(expected, key=repr)
 
 
+def test_dropping_near_copies_takes_shingles_of_five_words(spark):
+    """Four edits in 165 words: similar by four-word shingles, not by five-word ones."""
+    words = prose(165, 31).split()
+    edited = [f"edit{k}" if k in (20, 60, 100, 140) else w for k, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(edited)), (3, " ".join([*words[:-1], "end"]))]
+    fours, fives = ([{tuple(t.split()[k : k + n]) for k in range(len(t.split()) - n + 1)} for _, t in rows[:2]] for n in (4, 5))
+    assert len(fours[0] & fours[1]) >= 0.8 * len(fours[0] | fours[1]) and len(fives[0] & fives[1]) < 0.8 * len(fives[0] | fives[1])
+    assert {r.doc_id for r in minhash.drop_near_copies(frame(spark, rows)).collect()} == {1, 2}
+    assert {r.doc_id for r in minhash.near_groups(frame(spark, rows)).collect() if r.kept} == {1}
+
+
 def test_blocks_find_what_hubs_leave(spark):
     """A chain of edits: only neighbours are similar, so hubs do not meet all links."""
     words = prose(100, 1).split()
