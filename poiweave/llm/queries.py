@@ -51,7 +51,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = warc.round_trip(spark, _table(spark, sf_dir, "pages"))
+    done = warc.round_trip(spark, _table(spark, sf_dir, "pages"), every_row=True)
     return done.select(
         warc.page_id_of(F.col("record_id")).alias("page_id"),
         "payload_bytes",

@@ -10,7 +10,8 @@ source table. Revisit records carry no payload; reading takes its length and dig
 to. A payload that fills a third of the pages is merged in each task, then by salt, then once.
 
 Defined cases: null html is empty; null ids get records with an id of their own and never serve as
-the response of others; repeated rows (one id, one payload) are one record; broken or incomplete records are
+the response of others; repeated rows (one id, one payload) are one record, or, with ``every_row``, a record each, the
+first of which serves as the response of others; broken or incomplete records are
 returned with ``error`` set and no payload; empty tables give no archive rows.
 """
 
@@ -20,7 +21,7 @@ import gzip
 import hashlib
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from poiweave.llm import arrays as ar
@@ -60,9 +61,26 @@ def plan_records(pages: DataFrame, salts: int = SALTS) -> DataFrame:
     ).drop("first", "salt")
 
 
-def _record_id(page: Column) -> Column:
+def with_turns(planned: DataFrame) -> DataFrame:
+    """The planned rows with ``turn``: 1, 2, ... among rows of one id and payload.
+
+    Only rows that are repeated are brought together, equal ones merged in each task first and dealt anew afterwards.
+    """
+    own = ["page_id", "payload_digest"]
+    repeated = stored(planned.filter("page_id is not null").groupBy(*own).agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "repeated")
+    if repeated.isEmpty():
+        return planned.withColumn("turn", F.lit(1))
+    once = planned.join(repeated, own, "left_anti").withColumn("turn", F.lit(1))
+    again = planned.join(repeated, own, "left_semi").groupBy(*planned.columns).agg(F.count("*").cast("int").alias("times"))
+    before = F.coalesce(F.sum("times").over(Window.partitionBy(*own).orderBy("url").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int")
+    turns = again.withColumn("before", before).select(*planned.columns, F.explode(F.sequence(F.col("before") + 1, F.col("before") + F.col("times"))).alias("turn"))
+    return once.unionByName(turns.repartition(F.col("page_id"), F.col("payload_digest"), F.col("turn")))
+
+
+def _record_id(page: Column, turn: Column | None = None) -> Column:
     own = F.coalesce(page.cast("string"), F.concat(F.lit("none-"), F.expr("uuid()")))
-    return F.concat(F.lit("<urn:page:"), own, F.lit(":"), F.substring("payload_digest", 1, 16), F.lit(">"))
+    later = F.lit("") if turn is None else F.when(turn > 1, F.concat(F.lit(":turn-"), turn.cast("string"))).otherwise(F.lit(""))
+    return F.concat(F.lit("<urn:page:"), own, F.lit(":"), F.substring("payload_digest", 1, 16), later, F.lit(">"))
 
 
 def page_id_of(record_id: Column) -> Column:
@@ -135,7 +153,8 @@ def _encode(segment_bytes: int, chunk_bytes: int):
 
 def write_archives(planned: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES) -> None:
     """Write the planned records as archives of bounded size. Spark's text writer puts a line break after each record."""
-    ready = planned.select("record_type", "url", "payload", "payload_digest", _record_id(F.col("page_id")).alias("record_id"), F.when(F.col("refers_to").isNotNull(), _record_id(F.col("refers_to"))).alias("refers_id"))
+    turn = F.col("turn") if "turn" in planned.columns else None
+    ready = planned.select("record_type", "url", "payload", "payload_digest", _record_id(F.col("page_id"), turn).alias("record_id"), F.when(F.col("refers_to").isNotNull(), _record_id(F.col("refers_to"))).alias("refers_id"))
     records = ready.mapInArrow(_encode(segment_bytes, chunk_bytes), "record binary")
     # The bytes go to the file as they are: a string column is what the writer takes.
     records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\r\n").option("compression", "gzip").option("maxRecordsPerFile", ARCHIVE_ROWS).text(path)
@@ -255,8 +274,9 @@ def resolved(whole: DataFrame) -> DataFrame:
     return measured.filter("type <> 'revisit' or type is null").withColumn("error", F.coalesce("error", checked)).unionByName(done)
 
 
-def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Write all pages as archives in the shared folder and read them back."""
+def round_trip(spark: SparkSession, pages: DataFrame, every_row: bool = False) -> DataFrame:
+    """Write all pages as archives in the shared folder and read them back; with ``every_row`` one record per row."""
     path = new_path(spark, "warc")
-    write_archives(plan_records(pages), path)
+    planned = plan_records(pages)
+    write_archives(with_turns(planned) if every_row else planned, path)
     return resolved(reassemble(read_records(spark, path)))

@@ -275,6 +275,21 @@ def test_warc_round_trip(spark):
     assert sorted(map(tuple, got)) == sorted(expected)
 
 
+def test_warc_gives_a_row_for_each_repeated_row(spark):
+    long = "<p>" + "ü€x" * 9000 + "</p>"
+    rows = [(1, "u", long), (1, "u", long), (1, "v", long), (2, "w", long), (2, "w", long), (3, "u", "x"), (3, "u", "x"), (4, "u", "y" * 200), (None, "u", long), (None, "u", long), (5, "a", None), (5, "a", ""), (5, None, "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = warc.round_trip(spark, pages, every_row=True)
+    got = whole.select(warc.page_id_of(F.col("record_id")), "target", "payload_bytes", "payload_digest", "type", warc.page_id_of(F.col("refers_to")), "error").collect()
+    expected = []
+    for i, url, html in rows:
+        body = (html or "").encode()
+        later = i == 2
+        expected.append((i, url or "", len(body), hashlib.sha256(body).hexdigest(), "revisit" if later else "response", 1 if later else None, None))
+    assert Counter(map(tuple, got)) == Counter(expected)
+    assert whole.select("record_id").distinct().count() == len(rows)
+
+
 def test_warc_segments_are_verified(spark):
     page = {"record_type": "response", "record_id": "<urn:page:1:ab>", "url": "u", "payload_digest": "d", "payload": "z" * 5000}
     parts = warc.records_of(page, 1000, 300)
