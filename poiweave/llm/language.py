@@ -6,7 +6,8 @@ are smoothed in a hierarchy: all pages, then the registered domain, then the hos
 ``STRENGTH`` pages for the next; their counts are sums of the text's own posteriors, aggregated before the shuffle, so a host that holds a third
 of all pages costs each task one row.
 
-The trigram model is fitted on at most ``SAMPLE`` documents whose language is given. Long texts do not overrule other
+The trigram model has a class for every language given in the documents. It is fitted on ``SAMPLE`` documents dealt evenly over
+the languages, but up to ``EACH`` of every language, however rare it is or many they are. Long texts do not overrule other
 evidence at will: likelihoods count ``WEIGHT`` of their size, as neighbouring trigrams are not independent.
 
 Defined cases: null or empty text, markup, address or host are no evidence; with no evidence at all the prior over all rows decides, ties go to
@@ -19,13 +20,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from poiweave.llm import arrays as ar
 from poiweave.llm.shared import stored
 
 SAMPLE = 4000
+EACH = 100
 BUCKETS = 1 << 16
 WEIGHT = 0.2
 DECLARED = 0.9
@@ -68,12 +70,19 @@ def _counted(batches):
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Trigram counts by language from a bounded sample of documents, chosen by hash."""
-    known = docs.filter("lang is not null and lang <> '' and doc_id is not null").select("doc_id", F.lower(F.substring("lang", 1, 2)).alias("lang"))
-    ids = known.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(sample)
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id").select("lang", "text")
-    counts = texts.mapInArrow(_counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
-    languages = sorted({r.lang for r in counts}) or ["und"]
+    """Trigram counts by language from a bounded sample of each language's documents, chosen by hash."""
+    spark = docs.sparkSession
+    text = F.col("text").cast("string")
+    key = F.coalesce(F.col("doc_id").cast("string"), text, F.lit(""))
+    known = docs.filter("lang is not null and lang <> ''").select(F.lower(F.substring("lang", 1, 2)).alias("lang"), key.alias("key"), text.alias("text"), F.xxhash64(key).alias("hash"))
+    every = known.groupBy("lang").agg(F.count("*").alias("n"), F.min("hash").alias("low")).collect()
+    languages = sorted(r.lang for r in every) or ["und"]
+    each = max(EACH, sample // len(languages))
+    # Twice as many as wanted lie below the bound, and the first one always does, so the ranking has few rows to sort.
+    bounds = [(r.lang, max(r.low, min((1 << 63) - 1, -(1 << 63) + (2 * each << 64) // r.n))) for r in every]
+    bound = F.broadcast(spark.createDataFrame(bounds, "lang string, bound long"))
+    ranked = known.join(bound, "lang").filter("hash <= bound").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("hash", "key", "text")))
+    counts = ranked.filter(F.col("rank") <= each).select("lang", "text").mapInArrow(_counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
     table = np.full((BUCKETS, len(languages)), 0.5)
     place = {x: k for k, x in enumerate(languages)}
     for r in counts:

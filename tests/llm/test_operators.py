@@ -409,6 +409,16 @@ def test_language_fuses_evidence(spark, sf_dir):
     assert language.identify(language.page_evidence(pages.limit(0)), model).count() == 0
 
 
+def test_every_language_is_a_class(spark):
+    rows = [(k, prose(6, k), "en" if k % 2 else "de") for k in range(3000)] + [(9000, "kaksi kolme viisi kuusi", "fi"), (9001, "", "sv"), (None, "cinque sette otto nove", "it")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, sample=40)
+    assert model.languages == ["de", "en", "fi", "it", "sv"]
+    odd = docs.filter("lang in ('fi', 'it')").withColumn("source", F.lit(None).cast("string"))
+    assert {r.text_lang for r in language.identify(language.document_evidence(odd), model).collect()} == {"fi", "it"}
+    assert language.fit(docs.limit(0)).languages == ["und"]
+
+
 # --- classifiers -----------------------------------------------------------------------------------
 
 
