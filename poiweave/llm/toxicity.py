@@ -33,7 +33,6 @@ SAMPLE = 12000
 LEXICON = 2000
 THRESHOLD = 0.3
 LEAST_DOCS = 4
-LEAST_SHARE = 0.01  # of the toxic documents, for a term
 INNOCENT = 20_000
 # Weights before any data: a word one or two edits away says less than the term itself.
 PRIOR = (0.0, 0.0, 3.0, 5.0, 0.0, 0.0)
@@ -63,13 +62,14 @@ class Automaton:
     """Product of the lexicon trie and the Levenshtein automata, made deterministic on demand."""
 
     def __init__(self, entries: list[str]):
-        self.children: list[dict[str, int]] = [{}]
-        self.ends: list[tuple[int, bool, int] | None] = [None]
-        self.most = [0]
+        # Words hang from node 0 and beginnings from node 1, as what follows a beginning is free and what follows a word is not.
+        self.children: list[dict[str, int]] = [{}, {}]
+        self.ends: list[tuple[int, bool, int] | None] = [None, None]
+        self.most = [0, 0]
         for number, entry in enumerate(entries):
             edits, begins = allowed_edits(entry), entry.endswith(_MORE)
-            node = 0
-            self.most[0] = max(self.most[0], edits)
+            node = int(begins)
+            self.most[node] = max(self.most[node], edits)
             for c in entry.rstrip(_MORE):
                 if c not in self.children[node]:
                     self.children[node][c] = len(self.children)
@@ -86,7 +86,7 @@ class Automaton:
         self.sets: list[frozenset] = [frozenset()]
         self.steps: dict[tuple[int, str], int] = {}
         self.final: dict[int, tuple[int, int] | None] = {}
-        self.start = self._number(self._closed({0: 0}))
+        self.start = self._number(self._closed({0: 0, 1: 0}))
 
     def _closed(self, least: dict[int, int]) -> frozenset:
         """With the states reached by leaving out letters of an entry."""
@@ -225,10 +225,9 @@ def _clean_terms(batches):
 
 
 def pick_entries(terms: list[tuple[str, int, int]]) -> list[str]:
-    """Entries from ``(term, toxic, clean)``: a beginning stands for its words where it covers
-    clearly more documents than each of them, the longest such beginning; otherwise the word does."""
+    """Entries from ``(term, toxic, clean)``: all words, each with its own edits, and beginnings that cover
+    clearly more documents than each of their words, the longest such beginning."""
     by = {t: n for t, n, _ in terms}
-    chosen: list[str] = []
     begins = sorted((t for t in by if t.endswith(_MORE)), key=len)
     kept: list[str] = []
     for b in begins:
@@ -237,9 +236,7 @@ def pick_entries(terms: list[tuple[str, int, int]]) -> list[str]:
         longer = max((n for t, n in by.items() if t.endswith(_MORE) and len(t) > len(b) and t.startswith(stem)), default=0)
         if longest_word < 0.8 * by[b] and longer < 0.95 * by[b] and not any(stem.startswith(k[:-1]) for k in kept):
             kept.append(b)
-    stems = tuple(k[:-1] for k in kept)
-    chosen = kept + [t for t in by if not t.endswith(_MORE) and not (stems and t.startswith(stems))]
-    return sorted(chosen)
+    return sorted(kept + [t for t in by if not t.endswith(_MORE)])
 
 
 def learn_entries(sample: DataFrame, toxic: int, clean: int, most: int = LEXICON) -> list[str]:
@@ -249,7 +246,7 @@ def learn_entries(sample: DataFrame, toxic: int, clean: int, most: int = LEXICON
     terms of its words.
     """
     seen = sample.filter("label = 1").select("text").mapInArrow(_toxic_terms, "term string, before string").distinct().groupBy("term").agg(F.least(F.count("*"), F.lit(toxic)).alias("toxic"))
-    seen = seen.filter(F.col("toxic") >= max(LEAST_DOCS, LEAST_SHARE * toxic))
+    seen = seen.filter(F.col("toxic") >= LEAST_DOCS)
     others = sample.filter("label = 0").select("text").mapInArrow(_clean_terms, "term string, clean long").groupBy("term").agg(F.sum("clean").alias("clean"))
     counts = seen.join(others, "term", "left").withColumn("clean", F.coalesce("clean", F.lit(0)))
     t, c, n = F.col("toxic"), F.col("clean"), toxic + clean

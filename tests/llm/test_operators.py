@@ -503,6 +503,24 @@ def test_automaton_equals_edit_distance():
         assert automaton.match(word) == (min(near)[::-1] if near else None), word
 
 
+def test_inflected_terms_keep_their_edits():
+    terms = [("idiot", 100, 0), ("idiots", 40, 0), ("idiotic", 20, 0), ("idio\x01", 160, 0), ("idiot\x01", 60, 0), ("worthless", 50, 0)]
+    entries = toxicity.pick_entries(terms)
+    reader = toxicity.Reader(entries)
+    assert set(entries) >= {"idio\x01", "idiot", "idiots", "idiotic"}
+    assert all(reader.closest(w) for w in ("1diot", "iddiot", "idiotically", "w0rthles"))
+    assert reader.closest("idea") is None
+    both = toxicity.Automaton(["scum", "scum\x01", "idiot"])
+    assert both.match("scumbag") == (1, 0) and both.match("scum") == (0, 0) and both.match("idiotxy") is None
+
+
+def test_rare_terms_are_learned(spark):
+    """A term in 30 of 4,000 toxic documents (under 1 %) and in no other is significant."""
+    rows = [(f"{prose(6, k)} {'zqxwv' if k < 30 else 'kjhgf'}", 1) for k in range(4000)] + [(prose(6, 9000 + k), 0) for k in range(4000)]
+    sample = spark.createDataFrame(rows, "text string, label int")
+    assert {"zqxwv", "kjhgf"} <= set(toxicity.learn_entries(sample, 4000, 4000))
+
+
 def test_quotation_is_told_from_abuse():
     reader = toxicity.Reader(["moron"])
     abuse, quoted, reported = (reader.measures(t) for t in ("you absolute moron", 'they read "you moron" aloud', "the word moron is old"))
