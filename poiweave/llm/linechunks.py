@@ -6,6 +6,10 @@ is cut alike wherever it stands. A chunk of two or more lines that occurs more t
 stays where it occurs first (smallest id, then place) and is removed elsewhere, after its bytes were compared with
 the first one's.
 
+Chunks alone miss most short passages, as the lines around a passage decide whether cuts fall inside it. So the query takes
+pairs of neighbouring lines instead (``pairs``), the smallest chunks there are: each line starts one, whatever stands around it, and the pairs
+of a repeated run of two or more lines cover it from its first line to its last. A pair that overlaps its own first place stays.
+
 A chunk that a third of the documents share costs each task one row: chunks are counted by digest before
 the shuffle. Bytes are shuffled only for chunks whose digest occurs twice.
 
@@ -59,7 +63,19 @@ def chunk_ends(hashes: list[int]) -> list[int]:
     return ends
 
 
-def _chunks(batches):
+def spans(hashes: list[int], pairs: bool) -> list[tuple[int, int]]:
+    """First line and end of each chunk of a document, or of each pair of neighbouring lines."""
+    if pairs:
+        return [(k, k + 2) for k in range(len(hashes) - 1)]
+    ends = chunk_ends(hashes)
+    return list(zip([0, *ends], ends))
+
+
+def _chunks(pairs: bool):
+    return lambda batches: _chunk_rows(batches, pairs)
+
+
+def _chunk_rows(batches, pairs: bool):
     for rows, data, at in ar.slices(batches):
         starts, ends, row = line_ends(data, at)
         hashes = ar.span_hash(ar.prefix_hash(data), starts, ends).tolist() if len(ends) else []
@@ -67,28 +83,28 @@ def _chunks(batches):
         first = np.searchsorted(row, np.arange(len(at)))
         raw, found = data.tobytes(), []
         for r, doc in enumerate(ids):
-            lo, hi, last = first[r], first[r + 1], 0
-            for place, end in enumerate(chunk_ends(hashes[lo:hi])):
+            lo, hi = first[r], first[r + 1]
+            for place, (last, end) in enumerate(spans(hashes[lo:hi], pairs)):
                 a, b = int(starts[lo + last]), int(ends[lo + end - 1])
                 body = raw[a:b]
                 found.append((doc, place, a - int(at[r]), b - a, end - last, hashlib.blake2b(body, digest_size=16).digest() if end - last > 1 and body.strip() else None, body))
-                last = end
         if found:
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], [x.split()[0] for x in CHUNKS.split(", ")])
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
+def repeated_chunks(docs: DataFrame, pairs: bool = False) -> DataFrame:
     """Chunks to remove: doc_id, place, first_byte, n_bytes, n_lines, and the document that has them first."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chunks = texts.mapInArrow(_chunks, CHUNKS).filter("digest is not null")
+    chunks = texts.mapInArrow(_chunks(pairs), CHUNKS).filter("digest is not null")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")
     counted = chunks.groupBy("digest", "n_bytes").agg(F.min(order).alias("head"), F.count("*").alias("n")).filter("n > 1")
     heads = stored(counted.select("digest", "n_bytes", "head"), "heads")
     several = stored(chunks.join(heads, ["digest", "n_bytes"]), "chunks")
     is_head = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("place") == F.col("head.place"))
     first = several.filter(is_head).groupBy("digest", "n_bytes").agg(F.min("body").alias("first_body"))
-    later = several.filter(~is_head).join(first, ["digest", "n_bytes"]).filter(F.col("body") == F.col("first_body"))
+    overlaps = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("place") < F.col("head.place") + (2 if pairs else 1))
+    later = several.filter(~overlaps).join(first, ["digest", "n_bytes"]).filter(F.col("body") == F.col("first_body"))
     return later.select("doc_id", "place", "first_byte", "n_bytes", "n_lines", F.col("head.doc_id").alias("first_doc"))
 
 
@@ -97,18 +113,19 @@ def _cut(batches):
         out = []
         for doc, text, cuts in zip(*(ar.column(batch, n).to_pylist() for n in ("doc_id", "text", "cuts"))):
             raw, kept, last, lines = (text or "").encode(), [], 0, 0
-            for cut in sorted({(c["first_byte"], c["n_bytes"], c["n_lines"]) for c in cuts or []}):
-                kept.append(raw[last : cut[0]])
-                last, lines = cut[0] + cut[1], lines + cut[2]
+            for start, size in sorted({(c["first_byte"], c["n_bytes"]) for c in cuts or []}):
+                gone = raw[max(last, start) : start + size]  # pairs overlap
+                kept.append(raw[last:start])
+                last, lines = start + size, lines + gone.count(b"\n") + (not gone.endswith(b"\n"))
             body = b"".join([*kept, raw[last:]])
             out.append((doc, raw.count(b"\n") + (not raw.endswith(b"\n")), lines, len(raw) - len(body), body.decode()))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int64()] * 4 + [pa.string()])], ["doc_id", "n_lines", "n_removed_lines", "n_removed_bytes", "text"])
 
 
-def drop_repeated_chunks(docs: DataFrame) -> DataFrame:
+def drop_repeated_chunks(docs: DataFrame, pairs: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_removed_lines, n_removed_bytes, and the text that is left."""
-    cuts = repeated_chunks(docs).groupBy("doc_id").agg(F.collect_list(F.struct("first_byte", "n_bytes", "n_lines")).alias("cuts")).withColumnRenamed("doc_id", "_id")
+    cuts = repeated_chunks(docs, pairs).groupBy("doc_id").agg(F.collect_list(F.struct("first_byte", "n_bytes")).alias("cuts")).withColumnRenamed("doc_id", "_id")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.join(cuts, texts.doc_id == cuts["_id"], "left").select("doc_id", "text", "cuts").mapInArrow(
         _cut, "doc_id long, n_lines long, n_removed_lines long, n_removed_bytes long, text string"

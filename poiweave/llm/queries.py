@@ -45,7 +45,7 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = linechunks.drop_repeated_chunks(_table(spark, sf_dir, "documents"))
+    left = linechunks.drop_repeated_chunks(_table(spark, sf_dir, "documents"), pairs=True)
     return left.select("doc_id", "n_lines", "n_removed_lines", "n_removed_bytes", F.sha2("text", 256).alias("kept_sha256"))
 
 

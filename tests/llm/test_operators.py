@@ -257,6 +257,34 @@ def test_line_chunks_equal_brute_force(spark):
         assert r.n_removed_bytes == len((text or "").encode()) - len(r.text.encode())
 
 
+def brute_runs(rows):
+    """What is left without the lines of each run of two or more that stands earlier."""
+    split = lambda t: re.findall(r"[^\n]*\n|[^\n]+", t or "")
+    first, left, order = {}, {}, lambda r: (r[0] is None, r[0] or 0)
+    for i, t in sorted(rows, key=order):
+        own, gone = split(t), set()
+        for k in range(len(own) - 1):
+            if (own[k] + own[k + 1]).strip():
+                j, at = first.setdefault((own[k], own[k + 1]), (i, k))
+                if j != i or k >= at + 2:
+                    gone |= {k, k + 1}
+        left[i] = "".join(x for k, x in enumerate(own) if k not in gone)
+    return left
+
+
+def test_runs_of_lines_go_whatever_stands_around_them(spark):
+    rows = []
+    for n in range(2, 8):
+        run = "".join(prose(5, 900 + 10 * n + j) + "\n" for j in range(n))
+        rows += [(10 * n + k, prose(4, n + k) + "\n" + run + prose(4, 50 + n + k)) for k in range(3)]
+    rows += [(100, "a b\na b\na b\na b\n"), (101, "é\nü\nx\né\nü\n"), (102, None), (103, ""), (104, "\n\n\n"), (105, "\n\n\n")]
+    got = linechunks.drop_repeated_chunks(frame(spark, rows), pairs=True).collect()
+    assert {r.doc_id: r.text for r in got} == brute_runs(rows)
+    removed = {r.doc_id: r.n_removed_lines for r in got}
+    assert all(removed[10 * n] == 0 and removed[10 * n + 1] == removed[10 * n + 2] == n for n in range(2, 8))
+    assert removed[100] == 2 and removed[101] == 2 and removed[105] == 0
+
+
 # --- archives --------------------------------------------------------------------------------------
 
 
