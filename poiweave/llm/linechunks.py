@@ -14,7 +14,7 @@ A chunk that a third of the documents share costs each task one row: chunks are
 the shuffle. Bytes are shuffled only for chunks whose digest occurs twice.
 
 Defined cases: a null or empty text is one empty line and keeps it; chunks of one line, and of blank lines alone, stay; a null id
-comes after all others; of repeated rows (one id, one place) each chunk stays in all of them; empty tables give no rows; other columns are ignored.
+comes after all others; rows of one id are told apart by a digest of their text, by which they are ordered; of repeated rows (one id, one text) each chunk stays in all of them; empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ SPAN = 2
 DIVISOR = 4
 LEAST = 2
 MOST = 16
-CHUNKS = "doc_id long, place int, first_byte long, n_bytes long, n_lines int, digest binary, body binary"
+CHUNKS = "doc_id long, tag binary, place int, first_byte long, n_bytes long, n_lines int, digest binary, body binary"
 
 
 def line_ends(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,7 +79,7 @@ def _chunk_rows(batches, pairs: bool):
     for rows, data, at in ar.slices(batches):
         starts, ends, row = line_ends(data, at)
         hashes = ar.span_hash(ar.prefix_hash(data), starts, ends).tolist() if len(ends) else []
-        ids = ar.column(rows, "doc_id").to_pylist()
+        ids, tags = ar.column(rows, "doc_id").to_pylist(), ar.column(rows, "tag").to_pylist()
         first = np.searchsorted(row, np.arange(len(at)))
         raw, found = data.tobytes(), []
         for r, doc in enumerate(ids):
@@ -87,25 +87,30 @@ def _chunk_rows(batches, pairs: bool):
             for place, (last, end) in enumerate(spans(hashes[lo:hi], pairs)):
                 a, b = int(starts[lo + last]), int(ends[lo + end - 1])
                 body = raw[a:b]
-                found.append((doc, place, a - int(at[r]), b - a, end - last, hashlib.blake2b(body, digest_size=16).digest() if end - last > 1 and body.strip() else None, body))
+                found.append((doc, tags[r], place, a - int(at[r]), b - a, end - last, hashlib.blake2b(body, digest_size=16).digest() if end - last > 1 and body.strip() else None, body))
         if found:
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+            kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], [x.split()[0] for x in CHUNKS.split(", ")])
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.md5(F.coalesce(text, F.lit("")))).alias("tag"))
+
+
 def repeated_chunks(docs: DataFrame, pairs: bool = False) -> DataFrame:
-    """Chunks to remove: doc_id, place, first_byte, n_bytes, n_lines, and the document that has them first."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chunks = texts.mapInArrow(_chunks(pairs), CHUNKS).filter("digest is not null")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")
+    """Chunks to remove: doc_id, tag (of the text), place, first_byte, n_bytes, n_lines, and the document that has them first."""
+    chunks = _texts(docs).mapInArrow(_chunks(pairs), CHUNKS).filter("digest is not null")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag", "place")
     counted = chunks.groupBy("digest", "n_bytes").agg(F.min(order).alias("head"), F.count("*").alias("n")).filter("n > 1")
     heads = stored(counted.select("digest", "n_bytes", "head"), "heads")
     several = stored(chunks.join(heads, ["digest", "n_bytes"]), "chunks")
-    is_head = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("place") == F.col("head.place"))
+    same_text = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("tag") == F.col("head.tag"))
+    is_head = same_text & (F.col("place") == F.col("head.place"))
     first = several.filter(is_head).groupBy("digest", "n_bytes").agg(F.min("body").alias("first_body"))
-    overlaps = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("place") < F.col("head.place") + (2 if pairs else 1))
+    overlaps = same_text & (F.col("place") < F.col("head.place") + (2 if pairs else 1))
     later = several.filter(~overlaps).join(first, ["digest", "n_bytes"]).filter(F.col("body") == F.col("first_body"))
-    return later.select("doc_id", "place", "first_byte", "n_bytes", "n_lines", F.col("head.doc_id").alias("first_doc"))
+    return later.select("doc_id", "tag", "place", "first_byte", "n_bytes", "n_lines", F.col("head.doc_id").alias("first_doc"))
 
 
 def _cut(batches):
@@ -125,8 +130,8 @@ def _cut(batches):
 
 def drop_repeated_chunks(docs: DataFrame, pairs: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_removed_lines, n_removed_bytes, and the text that is left."""
-    cuts = repeated_chunks(docs, pairs).groupBy("doc_id").agg(F.collect_list(F.struct("first_byte", "n_bytes")).alias("cuts")).withColumnRenamed("doc_id", "_id")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(cuts, texts.doc_id == cuts["_id"], "left").select("doc_id", "text", "cuts").mapInArrow(
+    cuts = repeated_chunks(docs, pairs).groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(F.collect_set(F.struct("first_byte", "n_bytes")).alias("cuts"))
+    texts = _texts(docs)
+    return texts.join(cuts, (texts.tag == cuts["_tag"]) & texts.doc_id.eqNullSafe(cuts["_id"]), "left").select("doc_id", "text", "cuts").mapInArrow(
         _cut, "doc_id long, n_lines long, n_removed_lines long, n_removed_bytes long, text string"
     )

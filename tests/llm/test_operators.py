@@ -285,6 +285,16 @@ def test_runs_of_lines_go_whatever_stands_around_them(spark):
     assert removed[100] == 2 and removed[101] == 2 and removed[105] == 0
 
 
+def test_lines_of_rows_without_id_or_with_one_id(spark):
+    run, other = "é é é\nü ü ü\nä ä ä\n", "öööö\n" * 1 + "own line\n"
+    rows = [(1, run), (2, "x\n" + run), (2, other + "yéyé\n" + run + other), (None, "z\n" + run), (None, "z\n" + run), (None, run + "w\n")]
+    for pairs in (False, True):
+        got = linechunks.drop_repeated_chunks(frame(spark, rows), pairs=pairs).collect()
+        assert len(got) == len(rows)
+        if pairs:
+            assert Counter((r.doc_id, r.text) for r in got) == Counter([(1, run), (2, "x\n"), (2, other + "yéyé\n"), (None, "z\n"), (None, "z\n"), (None, "w\n")])
+
+
 # --- archives --------------------------------------------------------------------------------------
 
 
