@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poiweave.llm import decontamination, exact, language, linechunks, minhash, pieces, quality, suffixes, toxicity, warc
+from poiweave.llm import decontamination, divergence, exact, language, linechunks, minhash, pieces, quality, suffixes, toxicity, urlrules, vectorcodes, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -87,3 +87,19 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score_documents(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+@query
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(urlrules.RULES, "host string, path string, verdict string")
+    return urlrules.judge(_table(spark, sf_dir, "pages"), rules)
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compress(_table(spark, sf_dir, "embeddings")).drop("label")

@@ -5,11 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session. Where it is unset, a local master gets a new
     folder, which all its tasks see; any other master must set it."""
@@ -31,7 +35,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     that run again after a lost executor, start from these files."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the files of tables that ``stored`` wrote and nothing reads any more; other frames are left alone."""
+    for df in tables:
+        path = _PATHS.pop(df, None)
+        if path is not None:
+            files, place = _files(df.sparkSession, path)
+            files.delete(place, True)
+
+
+def _files(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def listed(spark: SparkSession) -> list[str]:
+    """Names of what the operators have written to the shared folder and not yet removed."""
+    files, place = _files(spark, shared_folder(spark))
+    found = [x.getPath().getName() for x in files.listStatus(place)] if files.exists(place) else []
+    return sorted(name for name in found if name.startswith("poiweave-"))
 
 
 def text_or_empty(name: str = "text") -> Column:
