@@ -107,18 +107,27 @@ PLAIN_TUPLE = (
 )
 
 
-def body_of(doc: str = "doc_id", text: str = "text") -> str:
-    """Page body of a document: its text in six kinds of markup."""
+# Words of the wikis' languages, and one for each language that only the dump's header knows.
+MEDIA_WORD = "case lang when 'de' then 'Datei' when 'fr' then 'Fichier' when 'es' then 'Archivo' else 'Image' end"
+OWN_WORDS = [("de", "Lichtbild"), ("fr", "Vue"), ("es", "Foto"), ("en", "Picture")]
+OWN_WORD = "case lang when 'de' then 'Lichtbild' when 'fr' then 'Vue' when 'es' then 'Foto' else 'Picture' end"
+REDIRECT_WORD = """case lang when 'de' then '#WEITERLEITUNG' when 'fr' then '#REDIRECTION'
+        when 'es' then '#REDIRECCIÓN' else '#REDIRECT' end"""
+
+
+def body_of(doc: str = "doc_id", text: str = "text", media: str = MEDIA_WORD) -> str:
+    """Page body of a document: its text in six kinds of markup, with words of its ``lang``."""
     q3 = f"{Q} || {Q} || {Q}"
     return f"""case {doc} % 6
         when 0 then {text}
         when 1 then '{{{{Infobox x' || {NL} || '| web = [http://w.example/' || {_str(doc)} || ' site]'
             || {NL} || '}}}}' || {NL} || {text}
-        when 2 then {q3} || 'Bold' || {q3} || ' [[Place 1|first]] and [[Second]]. ' || {text}
+        when 2 then {q3} || 'Bold' || {q3} || ' [[Place 1|first]] and [[Second]]. '
+            || '[[' || {media} || ':a.jpg|thumb|A view of [[Paris]] by [[night|[http://e.example dark]]]]]' || {text}
         when 3 then '<!-- c -->' || {text} || '<ref name="a">note</ref>' || {NL} || '== Head ==' || {NL}
             || '{{| a' || {NL} || '|}}' || '<nowiki>x</nowiki>'
         when 4 then repeat('{{{{a ', 6) || 'b' || repeat(' c}}}}', 6) || {text} || ' [http://e.example label]'
-        else '#REDIRECT [[Place 1]]' end"""
+        else {REDIRECT_WORD} || ' [[Place 1]]' end"""
 
 
 ARTICLE_TITLE = f"""case when doc_id % 10 = 9 then 'Place ' || {_str('doc_id')}
@@ -178,11 +187,11 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def articles(spark: SparkSession, sf_dir: str, media: str = MEDIA_WORD) -> DataFrame:
     """One article per document: ``lang``, ``wiki``, ``page_id``, ``title``, ``body``."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     documents = spread(documents, "doc_id")
-    made = {"wiki": WIKI, "page_id": "doc_id", "title": ARTICLE_TITLE, "body": body_of()}
+    made = {"wiki": WIKI, "page_id": "doc_id", "title": ARTICLE_TITLE, "body": body_of(media=media)}
     columns = {name: F.expr(text) for name, text in made.items()}
     return computed_once(documents, columns, drop=("doc_id", "text"))
 
@@ -193,7 +202,7 @@ def _escaped(col: Column) -> Column:
     return col
 
 
-def article_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def article_records(spark: SparkSession, sf_dir: str, media: str = MEDIA_WORD) -> DataFrame:
     """Dump records as the line reader returns them, without the closing page tag.
 
     Some records carry the file header before the page, some are only the file trailer.
@@ -218,4 +227,4 @@ def article_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = F.when(
         F.col("page_id") % 97 == 0, F.array(page, F.lit("\n</mediawiki>\n"))
     ).otherwise(F.array(page))
-    return articles(spark, sf_dir).select("lang", "wiki", F.explode(records).alias("value"))
+    return articles(spark, sf_dir, media).select("lang", "wiki", F.explode(records).alias("value"))

@@ -112,7 +112,7 @@ def _cut(x: str) -> str:
 _READABLE = """case page_id % 6 when 0 then text when 1 then text
     when 2 then 'Bold first and Second. ' || text when 3 then text || ' Head'
     when 4 then text || ' label' end"""
-_PLAIN = f"case when page_id % 6 = 5 then '#REDIRECT Place 1' else {_squeeze(_entities(_READABLE))} end"
+_PLAIN = f"case when page_id % 6 = 5 then {fx.REDIRECT_WORD} || ' Place 1' else {_squeeze(_entities(_READABLE))} end"
 _CONTENT = _cut(f"replace(substring({_squeeze(_entities(_READABLE))}, 1, 600), '|', '')")
 
 POI = f"""{JOINED},
@@ -254,6 +254,15 @@ def oracles() -> dict[str, str]:
             from articles a)
             select lang, count(*) as articles, count(*) filter (where hit) as matched,
             count(*) filter (where hit) / count(*) as rate from flagged group by lang""",
+        "poi_from_files": poi_all,
+        "dump_namespaces": f"""with d as (select doc_id, {fx.MANY_LANGUAGES} as lang from documents),
+            words as (select * from (values ('ja', 'ファイル'), ('ja', '画像'), ('ja', 'カテゴリ'), ('ru', 'файл'),
+                ('ru', 'изображение'), ('ru', 'категория'), ('nl', 'bestand'), ('nl', 'afbeelding'), ('nl', 'categorie'),
+                ('no', 'fil'), ('no', 'bilde'), ('no', 'kategori'), ('cs', 'soubor'), ('cs', 'obrázek'), ('cs', 'kategorie'),
+                ('pl', 'plik'), ('pl', 'grafika'), ('pl', 'kategoria'), ('de', 'datei'), ('de', 'bild'), ('de', 'kategorie'),
+                ('fr', 'fichier'), ('fr', 'catégorie'), ('es', 'archivo'), ('es', 'imagen'), ('es', 'categoría')) as t(lang, word))
+            select doc_id, lang, word from d join words using (lang)
+            union all select doc_id, lang, word from d, (values ('file'), ('image'), ('category')) as t(word)""",
         "poi_url": f"with {ARTICLES} select page_id, {_URL} as url from articles",
         "poi_city": f"with {JOINED} select page_id, {_CITY} as CITY from joined",
         "poi_country_region": f"""with {LINKS} select k,

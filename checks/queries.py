@@ -24,8 +24,8 @@ from poiweave.operators.dedup import keep_last, keep_last_window
 from poiweave.schemas import PARTITION_COLUMNS, POI_COLUMNS, POI_TEXT_COLUMNS
 from poiweave.sinks import gpx, osm, sqlscript
 from poiweave.sinks.csvfiles import CSV_OPTIONS, write_csv
-from poiweave.sinks.tables import write_poi_table
-from poiweave.sources import catalog
+from poiweave.sinks.tables import write_link_table, write_poi_table
+from poiweave.sources import catalog, namespaces
 from poiweave.sources.articledump import pages_from_records, with_body
 from poiweave.sources.linkdump import link_tuples as split_tuples
 from poiweave.plans import jobs
@@ -217,7 +217,7 @@ def article_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def article_body(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = pt.with_text(with_body(_pages(spark, sf_dir)))
+    pages = pt.with_text(with_body(pt.drop_marked_redirects(_pages(spark, sf_dir))))
     return pages.select("page_id", "title", "body")
 
 
@@ -229,8 +229,7 @@ def infobox_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def article_plain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = wt.with_plain_text(fx.articles(spark, sf_dir), "body", "plain")
-    return cleaned.select("page_id", "plain")
+    return pt.with_plain(fx.articles(spark, sf_dir)).select("page_id", "plain")
 
 
 @query
@@ -359,6 +358,29 @@ def links_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_link_table(spark, table).select("lang", *LINK_VALUES)
 
 
+@query
+def poi_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article job over bz2 files that Spark wrote, whose headers name a word of media links that nothing else knows."""
+    folder, links, table = (scratch_path(spark, name) for name in ("dumps", "links", "poi"))
+    header = "<mediawiki>\n<siteinfo>\n<namespaces>\n<namespace key=\"6\">{word}</namespace>\n</namespaces>\n</siteinfo>\n"
+    records = fx.article_records(spark, sf_dir, fx.OWN_WORD).select("lang", "wiki", F.concat("value", F.lit("</page>")).alias("value"))
+    for wiki, name in (("wikipedia", "wiki"), ("wikivoyage", "wikivoyage")):
+        for lang, word in fx.OWN_WORDS:
+            pages = records.filter((F.col("lang") == lang) & (F.col("wiki") == wiki)).select("value")
+            first = spark.createDataFrame([(header.format(word=word),)], "value string").coalesce(1)  # the first part file
+            first.union(pages).write.option("compression", "bzip2").text(f"{folder}/{lang}{name}-latest-pages-articles.xml")
+    write_link_table(_last_links(spark, sf_dir), links)
+    jobs.import_articles(spark, f"{folder}/*", links, table)
+    return read_table(spark, table)
+
+
+@query
+def dump_namespaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of media and category links of each language, among documents and pages in many languages."""
+    worded = namespaces.with_link_words(_many_languages(spark, sf_dir))
+    return worded.select("doc_id", "lang", F.explode("link_words").alias("word"))
+
+
 @query
 def poi_all_wikis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The union of two stored tables, one of the encyclopedia and one of the travel guide."""
@@ -414,9 +436,15 @@ def poi_gpx_waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stored_poi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "poi")
+    write_poi_table(poi(spark, sf_dir), path)
+    return read_table(spark, path)
+
+
 @query
 def poi_osm_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = osm.osm_nodes(poi(spark, sf_dir))
+    nodes = osm.osm_nodes(_stored_poi(spark, sf_dir))
     return nodes.select(
         *PARTITION_COLUMNS,
         F.col("_id").alias("node_id"),
@@ -428,7 +456,7 @@ def poi_osm_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def poi_osm_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return osm.osm_tags(poi(spark, sf_dir))
+    return osm.osm_tags(_stored_poi(spark, sf_dir))
 
 
 @query

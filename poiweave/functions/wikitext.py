@@ -1,8 +1,12 @@
-"""Wiki markup to plain text: a fixed chain of regular expressions.
+"""Wiki markup to plain text: a fixed chain of regular expressions, and pairs of marks matched by depth.
 
 Passes that need line ends (information box, headings) come before the final
-one, which joins lines.  No pattern uses look-around or a repeated group over
+one, which joins lines.  No replaced pattern uses look-around or a repeated group over
 lines, so long pages do not overflow the regex stack.
+
+Templates and links nest. One regular expression takes out those that hold no other, nearly all; what is left is matched
+by depth (``balanced``), whatever the nesting. So a caption goes as a whole with the links in it. Which links are media or
+categories depends on the language: their words come with each row.
 """
 
 from __future__ import annotations
@@ -12,24 +16,39 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from poiweave.functions.balanced import paired_steps
 from poiweave.functions.entities import decode_entities_sql
 from poiweave.functions.steps import with_steps
 
 _PAIRED_TAGS = ["ref", "gallery", "math", "nowiki", "timeline"]
 
 
+# Words of media and category links where a row brings none: lower case, blanks for underscores.
+ENGLISH_WORDS = "array('file', 'image', 'category')"
+
+
+class Pairs(NamedTuple):
+    """Marks of pairs. A run of three closing marks is one mark behind a sign of the text, as in a caption that ends in an address."""
+
+    opening: str
+    closing: str
+    pattern: str
+    separator: str = ""
+    whole: str = "true"
+
+
 class Pass(NamedTuple):
     """Replacements that can only apply to a text holding ``marker``.
 
     ``closed`` matches the text up to its last closing mark.  What is behind it stays as it is: a mark
     left open there would make the expression look through the rest of the text again for each.
-    ``nested`` repeats the replacement until nothing changes.
+    ``pairs`` matches by depth what the replacements leave.
     """
 
     marker: str
     replacements: tuple[tuple[str, str], ...]
     closed: str = ""
-    nested: bool = False
+    pairs: Pairs | None = None
 
 
 # From a line holding "{{Infobox" through the next line holding "}}" (or to the end).
@@ -45,13 +64,21 @@ MARKUP = (
         Pass("</", ((rf"(?is)<{tag}\b[^<>]*>.*?</{tag}>", ""),), rf"(?is)^.*</{tag}>")
         for tag in _PAIRED_TAGS
     ),
-    Pass("{{", ((r"\{\{[^{}]*\}\}", ""),), nested=True),
+    Pass("{{", ((r"\{\{[^{}]*\}\}", ""),), pairs=Pairs("{{", "}}", r"\{\{(?!\{(?!\{))|\}\}")),
     Pass("{|", ((r"(?s)\{\|.*?\|\}", ""),), r"(?s)^.*\|\}"),
     Pass(
         "[[",
         (
-            (r"(?i)\[\[(file|image|category):[^\[\]]*\]\]", ""),
-            (r"\[\[(?:[^\[\]]*\|)?([^\[\]|]*)\]\]", "$1"),
+            # Targets without a colon are neither media nor categories.
+            (r"\[\[([^\[\]|:]*)\]\]", "$1"),
+            (r"\[\[[^\[\]|:]*\|(?:[^\[\]]*\|)?([^\[\]|]*)\]\]", "$1"),
+        ),
+        pairs=Pairs(
+            "[[",
+            "]]",
+            r"\[\[|\]\](?!\](?!\]))|\|",
+            "|",
+            "contains({p}, ':') and array_contains({words}, lower(trim(replace(substring_index({p}, ':', 1), '_', ' '))))",
         ),
     ),
     Pass(
@@ -71,8 +98,6 @@ def _apply(text: str, step: Pass) -> str:
     """SQL text.  A substring test on the bytes spares most texts the regular expression."""
     if not step.replacements:
         replaced = _headings(text)
-    elif step.nested:
-        replaced = _repeated(text, *step.replacements[0])
     else:
         head = f'regexp_extract({text}, r"{step.closed}", 0)' if step.closed else text
         replaced = head
@@ -92,27 +117,23 @@ def _headings(text: str) -> str:
     return f"array_join(transform(split({text}, chr(10)), x -> if({is_heading}, {inner}, x)), chr(10))"
 
 
-def _repeated(text: str, pattern: str, replacement: str) -> str:
-    """As many passes as templates are nested: at most one for each opening and each closing. After the first pass
-    that changes nothing the rest only hand the text on."""
-    once = f'regexp_replace(s.t, r"{pattern}", r"{replacement}")'
-    change = f"if(s.done, s, named_struct('t', {once}, 'done', {once} = s.t))"
-    start = f"named_struct('t', {text}, 'done', false)"
-    opened, closed = (f'regexp_count({text}, r"{mark}")' for mark in (r"\{\{", r"\}\}"))
-    turns = f"sequence(1, greatest(1, least({opened}, {closed})))"
-    return f"aggregate({turns}, {start}, (s, i) -> {change}, s -> s.t)"
-
-
 def strip_infobox(body: str) -> Column:
     return F.expr(_apply(body, INFOBOX))
 
 
-def with_plain_text(df: DataFrame, body: str, name: str) -> DataFrame:
-    """Adds ``name``: the readable text of ``body``, one space between words."""
+def with_plain_text(df: DataFrame, body: str, name: str, words: str = ENGLISH_WORDS) -> DataFrame:
+    """Adds ``name``: the readable text of ``body``, one space between words.
+
+    ``words`` is an array (a column, or SQL) of the lower-case words of media and category links.
+    """
     steps, text = {}, body
     for number, step in enumerate(MARKUP):
         steps[f"_pass{number}"] = _apply(text, step)
         text = f"_pass{number}"
+        if step.pairs:
+            opening, closing, pattern, separator, whole = step.pairs
+            steps |= paired_steps(f"_paired{number}", text, opening, closing, pattern, whole.replace("{words}", words), separator)
+            text = f"_paired{number}"
     joined = f'regexp_replace({decode_entities_sql(text)}, r"[ \t\r\n]+", " ")'
     return with_steps(df, {**steps, name: f"trim({joined})"})
 

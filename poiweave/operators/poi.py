@@ -16,12 +16,17 @@ from poiweave.operators.once import computed_once
 from poiweave.schemas import POI_COLUMNS, POI_TEXT_COLUMNS
 from poiweave.sources.articledump import with_body
 from poiweave.sources.catalog import with_labels
-
-_REDIRECT = r"(?i)^\s*#REDIRECT"
+from poiweave.sources.namespaces import is_redirect, with_link_words
 
 
 def drop_redirects(articles: DataFrame) -> DataFrame:
-    return articles.filter(~F.col("body").rlike(_REDIRECT))
+    """Redirects begin with a word of the wiki's language, or with the English one."""
+    return articles.filter(~is_redirect("body", "lang" in articles.columns))
+
+
+def drop_marked_redirects(pages: DataFrame) -> DataFrame:
+    """Raw pages that the dump itself marks as redirects go before they are parsed. Page text is escaped and cannot hold the mark."""
+    return pages.filter(~F.contains("page", F.lit("<redirect ")))
 
 
 def with_text(articles: DataFrame) -> DataFrame:
@@ -30,19 +35,31 @@ def with_text(articles: DataFrame) -> DataFrame:
 
 
 def with_content(
-    articles: DataFrame, limit: int = MAX_CHARACTERS, terminators: str = "."
+    articles: DataFrame, limit: int = MAX_CHARACTERS, terminators: str = ".", namespaces: DataFrame | None = None
 ) -> DataFrame:
-    """Adds ``content``: the body cleaned, truncated, cut and decoded, in this order."""
-    cleaned = with_plain_text(articles, "body", "plain")
+    """Adds ``content``: the body cleaned, truncated, cut and decoded, in this order.
+
+    ``namespaces`` are the names that the dumps' own headers give media and categories.
+    """
+    cleaned = with_plain(articles, namespaces)
     cut = with_steps(cleaned, content_steps("plain", "content", limit, terminators))
     return computed_once(cut, {"content": F.col("content")}, drop=("plain",))
 
 
+def with_plain(articles: DataFrame, namespaces: DataFrame | None = None) -> DataFrame:
+    """Adds ``plain``: the readable text of the body, without the media and category links of its language."""
+    if "lang" not in articles.columns:
+        return with_plain_text(articles, "body", "plain")
+    worded = with_link_words(articles, namespaces, "_link_words")
+    return with_plain_text(worded, "body", "plain", "_link_words").drop("_link_words")
+
+
 def derive_poi(
     matched: DataFrame,
     limit: int = MAX_CHARACTERS,
     terminators: str = ".",
     website: bool = False,
+    namespaces: DataFrame | None = None,
 ) -> DataFrame:
     """The eight columns from a matched article, after any columns to carry along.
 
@@ -57,7 +74,7 @@ def derive_poi(
         site = F.when(address != "", F.concat(F.col("article_label"), address)).otherwise("")
     url = place.page_url(F.col("wiki_label"), F.col("lang"), title)
     remarks = place.remarks(url, poitype, region, site)
-    return with_labels(with_content(matched, limit, terminators)).select(
+    return with_labels(with_content(matched, limit, terminators, namespaces)).select(
         "wiki",
         "lang",
         "page_id",
@@ -82,7 +99,7 @@ def emitted_articles(
     """
     matched = match_articles(articles, links, on, small_links)
     if "body" not in matched.columns:
-        matched = with_body(matched)
+        matched = with_body(drop_marked_redirects(matched))
     return with_text(matched)
 
 

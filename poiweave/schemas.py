@@ -41,7 +41,20 @@ PARTITION_COLUMNS = ["wiki", "lang"]
 PARTITION_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in PARTITION_COLUMNS])
 
 # Stored tables: their files' columns and the partition columns.
-LINK_TABLE_SCHEMA = T.StructType([*LINK_SCHEMA.fields, T.StructField("lang", T.StringType())])
+# Where a link stands in its language's dumps: number of the dump, file, start of the split, line, place in the line.
+LINK_ORDER = "dump_order"
+LINK_ORDER_SCHEMA = T.StructType(
+    [
+        T.StructField("number", T.IntegerType()),
+        T.StructField("file", T.StringType()),
+        T.StructField("block", T.LongType()),
+        T.StructField("line", T.LongType()),
+        T.StructField("place", T.IntegerType()),
+    ]
+)
+LINK_TABLE_SCHEMA = T.StructType(
+    [*LINK_SCHEMA.fields, T.StructField(LINK_ORDER, LINK_ORDER_SCHEMA), T.StructField("lang", T.StringType())]
+)
 POI_TABLE_SCHEMA = T.StructType(
     [T.StructField("page_id", T.LongType()), *POI_SCHEMA.fields, *PARTITION_SCHEMA.fields]
 )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,5 +31,7 @@ def waypoints(poi: DataFrame) -> DataFrame:
     )
 
 
-def write_gpx(poi: DataFrame, path: str) -> None:
-    writer(waypoints(poi)).format("xml").option("rootTag", ROOT).option("rowTag", "wpt").save(path)
+def write_gpx(poi: DataFrame, path: str, order: Sequence[str] = ()) -> None:
+    """``order`` sorts the way points of each file by the columns given, of ``name``, ``_lat`` and ``_lon``."""
+    by_element = {"NAME": "name", "LATITUDE": "_lat", "LONGITUDE": "_lon"}
+    writer(waypoints(poi), order=[by_element.get(c, c) for c in order]).format("xml").option("rootTag", ROOT).option("rowTag", "wpt").save(path)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
 from poiweave.schemas import PARTITION_COLUMNS
+from poiweave.sinks.swap import swapped
 
 MAX_RECORDS_PER_FILE = 1_000_000
 
@@ -22,14 +22,18 @@ def balanced(df: DataFrame, keys: list[str] = PARTITION_COLUMNS) -> DataFrame:
 
 
 def writer(
-    df: DataFrame, keys: list[str] = PARTITION_COLUMNS, max_records: int = MAX_RECORDS_PER_FILE
+    df: DataFrame, keys: list[str] = PARTITION_COLUMNS, max_records: int = MAX_RECORDS_PER_FILE, order: Sequence[str] = ()
 ) -> DataFrameWriter:
     """Writer that replaces the partitions present in ``df`` and leaves the others alone.
 
-    A language without rows gets no directory, hence no empty file; ``replaced`` removes what it had.
+    A language without rows gets no directory, hence no empty file; ``replaced`` removes what it had. ``order`` sorts each
+    file's rows: within the tasks, after the rows are gathered, so no row moves for it.
     """
+    gathered = balanced(df, keys)
+    if order:
+        gathered = gathered.sortWithinPartitions(*keys, *order)
     return (
-        balanced(df, keys)
+        gathered
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records)
@@ -44,44 +48,12 @@ def replaced(
     handled: Callable[[dict[str, str]], bool],
     keys: list[str] = PARTITION_COLUMNS,
 ) -> dict[str, object]:
-    """Writes ``df`` and removes the handled partitions of ``path`` that got no row this time.
+    """Writes ``df`` to ``path`` and removes the handled partitions that got no row this time, both in one step.
 
-    The partitions are counted while they are written. Returns the number of rows and the names of
-    the partitions written, of which there are as many as wikis and languages.
+    Rows are counted while they are written. Returns their number and the partitions written, of which there are as many as
+    wikis and languages.
     """
     counts = Observation()
-    key = F.concat_ws("/", *(F.concat(F.lit(f"{k}="), F.col(k)) for k in keys))
-    write(df.observe(counts, F.collect_set(key).alias("written"), F.count("*").alias("rows")), path)
-    try:
-        got = counts.get
-    except Py4JJavaError:  # a plan that Spark finds to be empty runs nothing that could be counted
-        got = {"written": [], "rows": 0}
-    written = set(got["written"] or [])
-    _drop_partitions(df, path, keys, lambda p: handled(p) and "/".join(f"{k}={p[k]}" for k in keys) not in written)
-    return {"rows": got["rows"], "partitions": sorted(written)}
-
-
-def _drop_partitions(
-    df: DataFrame, path: str, keys: list[str], stale: Callable[[dict[str, str]], bool]
-) -> None:
-    """Deletes the directories of stale partitions; their names are listed on the driver."""
-    spark = df.sparkSession
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(root):
-        return
-
-    def children(folder) -> Iterable:
-        return [s.getPath() for s in system.listStatus(folder) if s.isDirectory()]
-
-    level = [(root, {})]
-    for k in keys:
-        level = [
-            (child, {**values, k: child.getName()[len(k) + 1 :]})
-            for folder, values in level
-            for child in children(folder)
-            if child.getName().startswith(f"{k}=")
-        ]
-    for folder, values in level:
-        if stale(values):
-            system.delete(folder, True)
+    written = swapped(df.observe(counts, F.count("*").alias("rows")), write, path, handled, keys)
+    # A plan that Spark finds to be empty runs nothing that could be counted.
+    return {"rows": counts.get["rows"] if written else 0, "partitions": written}

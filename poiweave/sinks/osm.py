@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +58,8 @@ def osm_tags(poi: DataFrame) -> DataFrame:
     )
 
 
-def write_osm(poi: DataFrame, path: str) -> None:
-    """Give it a stored table: numbering reads its input twice."""
-    writer(osm_nodes(poi)).format("xml").option("rootTag", ROOT).option("rowTag", "node").save(path)
+def write_osm(poi: DataFrame, path: str, order: Sequence[str] = ()) -> None:
+    """Give it a stored table: numbering reads three columns of its input besides. ``order`` sorts the nodes of each file by the columns
+    given, of ``_id``, ``_lat`` and ``_lon``; ``NAME`` sorts by the first tags, of which the name is one."""
+    by_element = {"NAME": "tag", "LATITUDE": "_lat", "LONGITUDE": "_lon"}
+    writer(osm_nodes(poi), order=[by_element.get(c, c) for c in order]).format("xml").option("rootTag", ROOT).option("rowTag", "node").save(path)

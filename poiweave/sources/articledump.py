@@ -55,12 +55,17 @@ def pages_from_records(records: DataFrame) -> DataFrame:
     )
 
 
-def with_body(pages: DataFrame) -> DataFrame:
+def with_body(pages: DataFrame, flag: str | None = None) -> DataFrame:
     """Replaces the raw ``page`` by ``body``, the text of its last revision.
 
-    A page that is no well-formed XML has an empty body here; ``unparsed_pages`` counts them.
+    A page that is no well-formed XML has an empty body here; ``flag`` names a column that says so. ``unparsed_pages`` counts
+    such pages of whole dumps.
     """
-    return computed_once(pages, {"body": F.coalesce(_text(), F.lit(""))}, drop=("page",))
+    text = F.try_element_at(F.col("_parsed.revision"), F.lit(-1))["text"]
+    marks = {} if flag is None else {flag: F.col(f"_parsed.{_CORRUPT}").isNotNull()}
+    parsed = computed_once(pages, {"_parsed": _parsed()}, drop=("page",))
+    kept = [c for c in parsed.columns if c != "_parsed"]
+    return parsed.select(*kept, F.coalesce(text, F.lit("")).alias("body"), *[c.alias(n) for n, c in marks.items()])
 
 
 def _parsed() -> Column:
@@ -68,10 +73,6 @@ def _parsed() -> Column:
     return F.from_xml(whole, f"{_BODY_SCHEMA}, {_CORRUPT} string", {**_XML, "columnNameOfCorruptRecord": _CORRUPT})
 
 
-def _text() -> Column:
-    return F.try_element_at(_parsed()["revision"], F.lit(-1))["text"]
-
-
 def unparsed_pages(pages: DataFrame) -> DataFrame:
     """Pages of each wiki and language, and how many of them no XML reader takes."""
     broken = _parsed()[_CORRUPT].isNotNull()

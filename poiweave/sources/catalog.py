@@ -62,16 +62,22 @@ def handled_dumps(files: DataFrame) -> list[tuple[str, str]]:
 
     Only the names are looked at, on the driver, before any row is.
     """
-    found, strange = set(), []
-    for path in files.inputFiles():
-        name = re.search(_DUMP_NAME, urllib.parse.unquote(path))
+    return sorted(first_files(files))
+
+
+def first_files(files: DataFrame) -> dict[tuple[str, str], str]:
+    """The first file of each wiki and language that a scan reads, by dump number and name; ValueError as above."""
+    found, strange = {}, []
+    for path in map(urllib.parse.unquote, files.inputFiles()):
+        name = re.search(_DUMP_NAME, path)
         if name is None:
             strange.append(path)
         else:
-            found.add(("wikipedia" if name[2] == "wiki" else name[2], name[1]))
+            key = ("wikipedia" if name[2] == "wiki" else name[2], name[1])
+            found[key] = min(found.get(key, (int(name[4] or 0), path)), (int(name[4] or 0), path))
     if strange:
         raise ValueError(f"no language in the names of {len(strange)} dump files, such as {strange[0]}")
-    return sorted(found)
+    return {key: path for key, (_, path) in found.items()}
 
 
 def with_dump_identity(df: DataFrame, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 
 from poiweave.schemas import LINK_TABLE_SCHEMA, PARTITION_SCHEMA, POI_TABLE_SCHEMA, POI_COLUMNS, POI_SCHEMA, POI_TEXT_COLUMNS
+from poiweave.sinks.swap import recover
 
 BAD_ROW = "_bad_row"
 
@@ -58,15 +59,18 @@ def read_table(
 ) -> DataFrame:
     """Stored points of interest; ``wiki`` and ``lang`` prune the partitions.
 
-    The schema is explicit, so a table without rows can be read.
+    The schema is explicit, so a table without rows can be read. A replacement that a run decided and did not
+    finish is finished first.
     """
+    recover(spark, path)
     return _pruned(spark.read.schema(POI_TABLE_SCHEMA).parquet(path), wiki, lang)
 
 
 def read_link_table(
     spark: SparkSession, path: str, lang: str | list[str] | None = None
 ) -> DataFrame:
-    """Stored links; ``lang`` prunes the partitions."""
+    """Stored links; ``lang`` prunes the partitions. See ``read_table``."""
+    recover(spark, path)
     return _pruned(spark.read.schema(LINK_TABLE_SCHEMA).parquet(path), None, lang)
 
 

@@ -9,14 +9,19 @@ import sqlite3
 import xml.etree.ElementTree as ET
 
 import pytest
+from pyspark.sql import functions as F
 
 from poiweave.operators.quality import csv_integrity
 from poiweave.plans import jobs
-from poiweave.schemas import POI_COLUMNS
+from poiweave.schemas import POI_COLUMNS, POI_TABLE_SCHEMA
+from poiweave.sinks import swap
 from poiweave.sinks.csvfiles import write_csv
+from poiweave.sinks.layout import replaced, writer
 from poiweave.sinks.sqlscript import write_link_sql, write_poi_sql
+from poiweave.sinks.tables import write_poi_table
 from poiweave.sources.articledump import read_article_dumps, unparsed_pages, with_body
 from poiweave.sources.linkdump import link_tuples, read_link_dumps
+from poiweave.sources.namespaces import read_namespaces
 from poiweave.sources.tables import read_link_table, read_poi_csv, read_table
 
 GEO = "{n},7,'http://t/geohack.php?pagename={title}&language=en&params={params}','http://t.'"
@@ -303,6 +308,142 @@ def test_normalized_titles(spark, tmp_path):
         assert len(found) == expected
 
 
+def test_of_links_that_differ_by_an_underscore_the_last_stays(spark, tmp_path):
+    """The later one is further south, so no order of values would choose it."""
+    folder = str(tmp_path)
+    rows = [GEO.format(n=n, title=t, params=p) for n, t, p in ((1, "A_b", "50_N_9_E"), (2, "A%20b", "1_N_2_E"), (3, "C%20d", "2_N_2_E"), (4, "C_d", "1_S_1_W"))]
+    link_dump(folder, "en", [rows[:1], rows[1:]])
+    article_dump(folder, "enwiki", [page(1, "A b", "Text."), page(2, "C d", "Text.")])
+    jobs.import_links(spark, f"{folder}/*.gz", f"{folder}/links")
+    assert read_link_table(spark, f"{folder}/links").count() == 4
+    jobs.import_articles(spark, f"{folder}/*.bz2", f"{folder}/links", f"{folder}/poi", normalize_title=True)
+    found = {r.NAME: (r.LATITUDE, r.LONGITUDE) for r in read_table(spark, f"{folder}/poi").collect()}
+    assert found == {"A b": (1.0, 2.0), "C d": (-1.0, -1.0)}
+
+
+def test_jobs_return_what_their_scan_counted(spark, tmp_path):
+    folder = str(tmp_path)
+    link_dump(folder, "en", [[GEO.format(n=1, title="A", params="1_N_2_E"), "2,7,'http://plain/','x'"], [GEO.format(n=3, title="A", params="2_N_2_E"), GEO.format(n=4, title="Bad", params="1_N_5_E"), GEO.format(n=5, title="x", params="x")]])
+    article_dump(folder, "enwiki", [page(1, "A", "Text."), page(2, "Bad", "a < b & c."), page(3, "Unlinked", "a < b.")])
+    done = jobs.import_links(spark, f"{folder}/*.gz", f"{folder}/links")
+    assert done == {"rows": 2, "partitions": ["lang=en"], "tuples": 5, "kept": 3}
+    for limit in (jobs.BROADCAST_LIMIT, 0):
+        done = jobs.import_articles(spark, f"{folder}/*.bz2", f"{folder}/links", f"{folder}/poi", broadcast_limit=limit)
+        assert done == {"rows": 1, "partitions": ["wiki=wikipedia/lang=en"], "pages": 3, "matched": 2, "unparsed": 1}
+    link_dump(folder, "en", [["2,7,'http://plain/','x'"]])
+    jobs.import_links(spark, f"{folder}/*.gz", f"{folder}/links")
+    done = jobs.import_articles(spark, f"{folder}/*.bz2", f"{folder}/links", f"{folder}/poi")
+    assert done == {"rows": 0, "partitions": [], "pages": 3, "matched": 0, "unparsed": 0}
+
+
+def test_namespaces_and_redirects_of_the_wikis_language(spark, tmp_path):
+    folder = str(tmp_path)
+    header = (
+        "<mediawiki>\n  <siteinfo>\n    <namespaces>\n"
+        '      <namespace key="0" case="first-letter" />\n      <namespace key="6" case="first-letter">Licht_bild</namespace>\n'
+        '      <namespace key="10" case="first-letter">Vorlage</namespace>\n      <namespace key="14">Kat &amp; Co</namespace>\n'
+        "    </namespaces>\n  </siteinfo>\n"
+    )
+    bodies = [
+        "A [[Datei:a.jpg|mini|von [[B]] bei [[C|D]]]]b [[Bild:x.png]]c [[lichtbild : y.png|z]]d.",
+        "E [[LICHT BILD:y|[[F]]]]f [[Licht_bild:z]]g [[Kat &amp; Co:H]]h [[Vorlage:i]].",
+        "#WEITERLEITUNG [[A]]",
+        "\n #weiterleitung [[A]].",
+        "Nothing marks it.",
+        "#DOORVERWIJZING [[A]].",
+    ]
+    pages = [page(n, f"T{n}", b) for n, b in enumerate(bodies)]
+    pages[4] = pages[4].replace("<ns>", '<redirect title="A" />\n    <ns>')
+    with bz2.open(f"{folder}/dewiki-latest-pages-articles.xml.bz2", "wt", encoding="utf-8") as f:
+        f.write(header + "".join(pages) + "</mediawiki>\n")
+    article_dump(folder, "nlwiki", [page(1, "T1", "#DOORVERWIJZING [[A]]."), page(2, "T2", "J [[Bestand:x]]k [[Datei:y]]l.")])
+    for lang in ("de", "nl"):
+        link_dump(folder, lang, [[GEO.format(n=n, title=f"T{n}", params="1_N_2_E") for n in range(6)]])
+    assert [tuple(r) for r in read_namespaces(spark, f"{folder}/*.bz2").collect()] == [("wikipedia", "de", ["kat & co", "licht bild"])]
+    jobs.import_links(spark, f"{folder}/*.gz", f"{folder}/links")
+    jobs.import_articles(spark, f"{folder}/*.bz2", f"{folder}/links", f"{folder}/poi")
+    found = {(r.lang, r.NAME): r.CONTENT for r in read_table(spark, f"{folder}/poi").collect()}
+    assert found == {
+        ("de", "T0"): "A b c zd.",
+        ("de", "T1"): "E f g h Vorlage:i.",
+        ("de", "T5"): "#DOORVERWIJZING A.",
+        ("nl", "T2"): "J k Datei:yl.",
+    }
+
+
+class Broken(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["write", "move:0", "move:1", "move:2", "move:3", "remove:0", "remove:1", "remove:2"])
+def test_a_table_is_the_old_or_the_new_one_wherever_a_run_dies(spark, tmp_path, monkeypatch, step):
+    """A run replaces two partitions, adds one and removes one, and dies at every step there is."""
+    path = str(tmp_path / "table")
+
+    def rows(version, langs):
+        return spark.createDataFrame([(f"{lang}{version}", lang) for lang in langs], "title string, lang string")
+
+    def table():
+        read = spark.read.schema("title string, lang string").parquet(path)
+        return sorted(r.title for r in read.collect())
+
+    def replace(version, langs):
+        return replaced(rows(version, langs), lambda df, p: writer(df, ["lang"]).parquet(p), path, lambda p: p["lang"] != "xx", ["lang"])
+
+    assert replace(1, ["de", "en", "nl", "xx"])["rows"] == 4
+    old, new = ["de1", "en1", "nl1", "xx1"], ["de2", "en2", "fr2", "xx1"]
+    name, _, at = step.partition(":")
+    method, calls = getattr(swap.Folder, name), []
+
+    def dies(self, *args):
+        if name == "move" and args[0].endswith(".part") or name == "remove" and (args[0].endswith(".part") or not self.exists("_swap")):
+            return method(self, *args)
+        calls.append(args)
+        if name == "write" or len(calls) > int(at):
+            raise Broken
+        return method(self, *args)
+
+    monkeypatch.setattr(swap.Folder, name, dies)
+    with pytest.raises(Broken):
+        replace(2, ["de", "en", "fr"])
+    monkeypatch.undo()
+    assert not {"_new", "_old"} & set(table())
+    swap.recover(spark, path)
+    assert table() == (old if name == "write" else new)
+    swap.recover(spark, path)
+    assert replace(3, ["de"]) == {"rows": 1, "partitions": ["lang=de"]}
+    assert table() == ["de3", "xx1"]
+    assert sorted(p for p in os.listdir(path) if p.startswith("_")) in ([], ["_SUCCESS"])
+
+
+def test_an_error_while_writing_removes_nothing(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = spark.createDataFrame([("a", "en"), ("b", "nl")], "title string, lang string")
+    replaced(rows, lambda df, p: writer(df, ["lang"]).parquet(p), path, lambda p: True, ["lang"])
+    bad = rows.withColumn("title", F.expr("if(lang = 'nl', raise_error('broken'), title)"))
+    with pytest.raises(Exception, match="broken"):
+        replaced(bad, lambda df, p: writer(df, ["lang"]).parquet(p), path, lambda p: True, ["lang"])
+    assert sorted(r.title for r in spark.read.parquet(path).collect()) == ["a", "b"]
+
+
+def test_sorted_outputs(spark, world, tmp_path):
+    rows = [(i, f"{(i * 7919) % 1000:03d}", float(i), 2.0, "", "", "", "", "c", "wikipedia", "en" if i % 3 else "nl") for i in range(1000)]
+    poi = spark.createDataFrame(rows, POI_TABLE_SCHEMA).repartition(8)
+    write_csv(poi, str(tmp_path / "csv"), max_records=150, order=["NAME"])
+    files = parts(tmp_path / "csv")
+    assert len(files) > 4
+    for file in files:
+        with open(file, encoding="utf-8", newline="") as f:
+            names = [r[0] for r in csv.reader(f)][1:]
+        assert names == sorted(names)
+    write_poi_table(poi, str(tmp_path / "poi"))
+    jobs.export_poi(spark, str(tmp_path / "poi"), str(tmp_path / "out"), ("gpx", "osm"), order=("NAME",))
+    for name, tag in (("gpx", "name"), ("osm", "tag[@k='name']")):
+        for file in parts(tmp_path / "out" / name):
+            found = [e.text or e.get("v") for e in ET.parse(file).getroot().iterfind(f".//{{*}}{tag}")]
+            assert found == sorted(found) and found
+
+
 def test_listed_languages_only(spark, world, tmp_path):
     folder = str(tmp_path)
     link_dump(folder, "xx", [[GEO.format(n=1, title="A", params="1_N_2_E")]])
@@ -332,7 +473,7 @@ def test_a_language_without_links_any_more_has_no_rows(spark, tmp_path):
         assert [p for p in glob.glob(f"{out}/{name}/wiki=wikipedia/*") if "lang=" in p] == [f"{out}/{name}/wiki=wikipedia/lang=en"]
     link_dump(folder, "nl", [["2,7,'http://plain/','x'"]])
     done = jobs.import_links(spark, f"{folder}/nl*.gz", links)
-    assert done == {"rows": 0, "partitions": []}
+    assert done == {"rows": 0, "partitions": [], "tuples": 1, "kept": 0}
     assert [r.lang for r in read_link_table(spark, links).collect()] == ["en"]
     jobs.import_articles(spark, f"{folder}/nl*.bz2", links, poi)
     assert [r.lang for r in read_table(spark, poi).collect()] == ["en"]

@@ -1,13 +1,14 @@
 """Hand cases for markup, content and derived columns."""
 
+import random
 import re
-
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from poiweave.functions import place
+from poiweave.functions.balanced import paired_steps
 from poiweave.functions.content import cut_sentence_sql, truncate_steps
 from poiweave.functions.entities import decode_entities
 from poiweave.functions.steps import with_steps
@@ -29,6 +30,13 @@ PLAIN = [
     ("'''Bold''' and ''it''.", "Bold and it."),
     ("[[Place|first]] [[Second]] [[a#b|c]]", "first Second c"),
     ("x[[File:a.jpg|thumb|text]]y [[category:Z]]", "xy"),
+    ("x [[File:a.jpg|thumb|A view of [[Paris]] by [[Night|night]]]]y", "x y"),
+    ("x[[File:a|see [http://e f]]]y [[Image : b|[[c]]]]z [[ category:d]]", "xy z"),
+    ("[[a|b [[c|d]] e|f]]g [[h|[[i]]", "fg [[h|i"),
+    ("a | b]] [[c]] | [[d", "a | b]] c | [[d"),
+    ("[[:Category:A|b]] [[en:C]] [[w:D|e: f]] [[g|h: i]]", "b en:C e: f h: i"),
+    ("[[Datei:a.jpg|b]]", "b"),
+    ("a {{t|{b} c}} {{{p}}} d}} e", "a {} d}} e"),
     ("a<!-- c\n c -->b", "ab"),
     ('a<ref name="x"/>b<ref>n\n</ref>c<REF a=1>m</Ref>d', "abcd"),
     ("a<math>x<y</math>b<gallery>\nf\n</gallery>c", "abc"),
@@ -87,6 +95,49 @@ def test_long_page_does_not_overflow(spark):
     assert got == "word b " * 50_000 + "end."
 
 
+def paired_by_stack(text, opening, closing, separator, whole):
+    """The same rule by a stack, one mark after another."""
+    marks = [m for m in re.finditer("|".join(map(re.escape, filter(None, (opening, closing, separator)))), text)]
+    stack, cut = [], []
+    for m in marks:
+        if m[0] == opening:
+            stack.append([m, None])
+        elif m[0] == separator and stack:
+            stack[-1][1] = m
+        elif m[0] == closing and stack:
+            first, last = stack.pop()
+            end = min((x.start() for x in marks if x.start() >= first.end()), default=len(text))
+            cut += [(first.start(), m.end())] if whole(text[first.end() : end]) else [(first.start(), (last or first).end()), (m.start(), m.end())]
+    # Separators of marks that are never closed belong to no pair, so a second look at who owns them is not needed.
+    gone = {i for a, b in cut for i in range(a, b)}
+    return "".join(c for i, c in enumerate(text) if i not in gone)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_pairs_equal_a_stack(spark, seed):
+    rng = random.Random(seed)
+    pieces = ["[[", "[[", "]]", "]]", "|", "x", "F:", "é", "\n", "{{", "}}"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    links = with_steps(rows, paired_steps("out", "t", "[[", "]]", r"\[\[|\]\]|\|", "startswith({p}, 'F:')", "|"))
+    assert {r.i: r.out for r in links.collect()} == {i: paired_by_stack(t, "[[", "]]", "|", lambda p: p.startswith("F:")) for i, t in enumerate(texts)}
+    templates = with_steps(rows, paired_steps("out", "t", "{{", "}}", r"\{\{|\}\}"))
+    assert {r.i: r.out for r in templates.collect()} == {i: paired_by_stack(t, "{{", "}}", "", lambda p: True) for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("body,expected", [("{{" * 100_000 + "x" + "}}" * 100_000, 0), ("[[a|" * 70_000 + "x" + "]]" * 70_000, 1), ("[[File:a|" * 50_000 + "x" + "]]" * 50_000, 0)])
+def test_deep_nesting_takes_seconds(spark, body, expected):
+    began = time.monotonic()
+    assert apply(spark, body, lambda d: with_plain_text(d, "body", "t").select(F.length("t"))) == expected
+    assert time.monotonic() - began < 30
+
+
+def test_redirect_words_of_languages(spark):
+    rows = [("de", "#WEITERLEITUNG [[x]]"), ("fr", "#WEITERLEITUNG [[x]]"), ("nl", "\n #doorverwijzing[[x]]"), ("ru", "#ПЕРЕНАПРАВЛЕНИЕ [[x]]"), ("ja", "#転送 [[x]]"), ("xx", "#Redirect [[x]]"), ("fa", "#تغییر_مسیر [[x]]"), ("de", "Text #WEITERLEITUNG")]
+    kept = with_text(spark.createDataFrame(rows, "lang string, body string")).collect()
+    assert [tuple(r) for r in kept] == [rows[1], rows[7]]
+
+
 @pytest.mark.parametrize("mark", ["{|", "<ref>", "<!--", "=", "{{", "[http://a ", "[["])
 def test_a_megabyte_of_open_marks_is_linear(spark, mark):
     body = mark * (1_000_000 // len(mark)) + "x"
