@@ -55,11 +55,15 @@ def exact_groups(docs: DataFrame, salts: int = SALTS) -> DataFrame:
 
 def drop_copies(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """One row of each text, that with the largest id, with all its columns as given."""
-    winners = exact_groups(docs, salts).filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")
-    ).agg(F.count("*").alias("_times"))
-    found = docs.join(winners, docs["doc_id"].eqNullSafe(winners["_id"]) & (F.sha2(text_or_empty(), 256) == winners["_sha"]))
+    winners = (
+        exact_groups(docs, salts)
+        .filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+        .groupBy(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"))
+        .agg(F.count("*").alias("times"))
+    )
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), F.sha2(text_or_empty(), 256).alias("own_sha"))
+    found = rows.join(winners, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_sha") == F.col("sha")))
     # Only winners given more than once are brought together again.
-    once = found.filter("_times = 1").select(*docs.columns)
-    again = found.filter("_times > 1").dropDuplicates(["_id", "_sha"]).select(*docs.columns)
+    once = found.filter("times = 1").select("row.*")
+    again = found.filter("times > 1").dropDuplicates(["id", "sha"]).select("row.*")
     return once.unionByName(again)

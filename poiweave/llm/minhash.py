@@ -8,10 +8,11 @@ posterior of its similarity (uniform prior, binomial likelihood) says whether th
 and the pair is dropped when that probability falls below ``miss``. Survivors are verified on
 their full sets, so every link is exact.
 
-Groups of a band are never expanded into pairs. A first round compares each member with the group's
-hub (the member that shares most bands with others) and merges what links. What is left of groups,
+Groups of a band are never expanded into pairs. Each member is compared with the group's hub (the member that shares most bands
+with others): with the highest of its hubs first, then with those that no link joins it to yet. What is left of groups,
 members of different components, is compared in blocks of ``block`` members: each pair of blocks is a row that holds both blocks'
 signatures and sets, is pruned and verified in its task, and gives only the links that join something. So no partner or candidate is capped.
+Shingles are compared by 64-bit hashes of their words.
 
 Defined cases: a null or blank text has an empty set and links with nothing; fewer words than a shingle has are
 one shingle; repeated rows and ids each get a row, and rows of one id are one document, whose set is that of the row
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from poiweave.llm import arrays as ar
-from poiweave.llm.shared import components, stored
+from poiweave.llm.shared import components, discard, stored
 
 WORDS = 4
 CORPUS_WORDS = 5
@@ -41,7 +42,6 @@ BATCH = 16
 BLOCK = 256
 LONG = 2000  # shingles of a member that fills its share of a block
 COLUMNS = 16384
-HUB_ROUNDS = 1
 
 _SEEDS = np.random.default_rng(7).integers(1, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
 _WORD_FACTORS = np.random.default_rng(11).integers(1, 1 << 63, 8, dtype=np.uint64) | np.uint64(1)
@@ -251,56 +251,52 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(100 * common >= percent * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
 
 
-def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose ends are still in different components."""
-    a = labels.select(F.col("doc_id").alias("a"), F.col("component").alias("comp_a"))
-    b = labels.select(F.col("doc_id").alias("b"), F.col("component").alias("comp_b"))
-    return pairs.join(a, "a").join(b, "b").filter("comp_a <> comp_b").select(*pairs.columns)
+def _others(pairs: DataFrame, best: DataFrame, links: DataFrame) -> DataFrame:
+    """Pairs besides the best ones whose ends are not joined through one hub."""
+    star = links.select(F.col("a").alias("id"), F.col("b").alias("hub"))
+    left, right = star.select(F.col("id").alias("a"), F.col("hub").alias("of_a")), star.select(F.col("id").alias("b"), F.col("hub").alias("of_b"))
+    rest = pairs.select("a", "b").join(best, ["a", "b"], "left_anti").join(left, "a", "left").join(right, "b", "left")
+    return rest.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
 
 
-def near_groups(docs: DataFrame, percent: int = 80, block: int = BLOCK, hub_rounds: int = HUB_ROUNDS, words: int = WORDS) -> DataFrame:
+def near_groups(docs: DataFrame, percent: int = 80, block: int = BLOCK, words: int = WORDS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = stored(texts.mapInArrow(lambda batches: _set_rows(batches, words), SET_SCHEMA), "sets")
     one = sets.filter("doc_id is not null").groupBy("doc_id").agg(F.max("set_key").alias("set_key"))
     classes = one.filter("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     reps = sets.join(classes, (sets.doc_id == classes.rep) & (sets.set_key == classes.set_key), "left_semi").dropDuplicates(["doc_id"])
-    members = reps.select("doc_id", F.explode("bands").alias("band"))
-    groups = members.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
-    members = stored(members.join(groups, "band"), "members")
-    score = members.groupBy("doc_id").agg(F.sum("size").alias("score"))
-    members = stored(members.join(score, "doc_id"), "members")
+    banded = reps.select("doc_id", F.explode("bands").alias("band"))
+    groups = banded.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
+    shared = stored(banded.join(groups, "band"), "members")
+    score = shared.groupBy("doc_id").agg(F.sum("size").alias("score"))
+    members = stored(shared.join(score, "doc_id"), "members")
     nodes = stored(reps.select("doc_id", "signature").join(score.select("doc_id"), "doc_id", "left_semi"), "nodes")
     full = stored(texts.join(reps.join(score.select("doc_id"), "doc_id", "left_semi").select("doc_id", "set_key"), "doc_id").mapInArrow(_full_sets(words), "doc_id long, shingles array<long>"), "full")
-
-    labels = nodes.select("doc_id", F.col("doc_id").alias("component"))
-    links = None
-    open_groups = members
-    for turn in range(hub_rounds):
-        hubs = open_groups.groupBy("band").agg(F.max_by("doc_id", F.struct("score", -F.col("doc_id"))).alias("hub"))
-        pairs = open_groups.join(hubs, "band").filter("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
-        if turn:
-            pairs = _between(pairs, labels)
-        found = stored(_survivors(pairs, nodes), "pairs")
-        # Most documents link to their most similar hub; only ends still apart are verified after that.
-        best = found.groupBy("a").agg(F.max_by("b", F.struct("matches", "b")).alias("b"))
-        first = stored(_verified(best, full, percent), "links")
-        # A pair is left out where the links so far already join its ends through a hub.
-        star = first.select(F.col("a").alias("id"), F.col("b").alias("hub"))
-        left, right = star.select(F.col("id").alias("a"), F.col("hub").alias("of_a")), star.select(F.col("id").alias("b"), F.col("hub").alias("of_b"))
-        open_pairs = found.select("a", "b").join(left, "a", "left").join(right, "b", "left")
-        open_pairs = open_pairs.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
-        more = _verified(open_pairs.join(best, ["a", "b"], "left_anti"), full, percent)
-        links = stored((first if links is None else links.union(first)).union(more), "links")
-        labels = stored(components(labels, links), "labels")
-        # The hub has met everyone in its group; a group goes on while the rest lies in several components.
-        rest = open_groups.join(hubs, "band").filter("doc_id <> hub").drop("hub").join(labels, "doc_id")
-        several = rest.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("band")
-        open_groups = stored(rest.join(several, "band").select("band", "doc_id", "score"), "members")
-        if open_groups.isEmpty():
-            break
-    else:
-        labels = components(labels, links.union(stored(_apart(open_groups, labels, nodes, full, percent, block), "links")))
+    discard(shared)
+
+    highest = F.struct("score", -F.col("doc_id"))
+    hubs = stored(members.groupBy("band").agg(F.max_by("doc_id", highest).alias("hub"), F.max("score").alias("hub_score")), "hubs")
+    met = members.select("band", "doc_id").join(hubs, "band").filter("doc_id <> hub")
+    pairs = stored(met.groupBy(F.col("doc_id").alias("a"), F.col("hub").alias("b")).agg(F.max("hub_score").alias("score")), "pairs")
+    # A document meets its highest hub first. Copies of one text have the same one, so most need no other.
+    best = pairs.groupBy("a").agg(F.max_by("b", F.struct("score", -F.col("b"))).alias("b"))
+    first = stored(_verified(_survivors(best, nodes), full, percent), "links")
+    more = _verified(_survivors(_others(pairs, best, first), nodes), full, percent)
+    links = stored(first.union(more), "links")
+    labels = stored(components(nodes.select("doc_id", F.col("doc_id").alias("component")), links), "labels")
+    discard(pairs, first, links)
+
+    # The hub has met everyone in its group; what is left of a group goes on where it lies in several components. Groups whose
+    # hubs are in one component are taken together, so that a pair of documents is compared once, not once for each band.
+    of_hub = hubs.join(labels.select(F.col("doc_id").alias("hub"), F.col("component").alias("together")), "hub").select("band", "hub", "together")
+    rest = members.select("band", "doc_id").join(of_hub, "band").filter("doc_id <> hub").join(labels, "doc_id")
+    several = rest.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("band")
+    apart = stored(rest.join(several, "band").select("together", "doc_id", "component").distinct(), "open")
+    found = stored(_apart(apart, nodes, full, percent, block), "links")
+    discard(members, hubs, nodes, full, apart)
+    if not found.isEmpty():
+        labels = _merged(labels, found)
 
     by_class = classes.join(labels, classes.rep == labels.doc_id, "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     of_rep = one.join(by_class, "set_key", "left").select(F.col("doc_id").alias("id"), "component")
@@ -313,28 +309,45 @@ def near_groups(docs: DataFrame, percent: int = 80, block: int = BLOCK, hub_roun
     )
 
 
-def _apart(open_groups: DataFrame, labels: DataFrame, nodes: DataFrame, full: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links between members of open groups in different components.
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after further links: only the components that these join are looked at."""
+    a = labels.select(F.col("doc_id").alias("a"), F.col("component").alias("of_a"))
+    b = labels.select(F.col("doc_id").alias("b"), F.col("component").alias("of_b"))
+    joined = stored(links.join(a, "a").join(b, "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).filter("a <> b").distinct(), "links")
+    ends = joined.select(F.col("a").alias("doc_id")).union(joined.select("b")).distinct()
+    moved = components(ends.withColumn("component", F.col("doc_id")), joined).select(F.col("doc_id").alias("component"), F.col("component").alias("root"))
+    return labels.join(moved, "component", "left").select("doc_id", F.coalesce("root", "component").alias("component"))
+
+
+def _apart(members: DataFrame, nodes: DataFrame, full: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links between members of one ``together`` in different components.
 
-    Groups that share members are taken together, so a pair is compared once, whatever the number of its bands. Blocks hold
-    ``block`` members, fewer of long sets, and each pair of blocks is a row with both blocks' signatures and sets.
+    Blocks hold ``block`` members, fewer of long sets, all of them in the component of the hubs or none, and of sizes within
+    one class: sets of sizes two classes apart cannot be similar. Blocks of the hubs' component are compared with the others only, so its
+    size costs no more than its members times the blocks of those that are apart. Pairs of blocks are listed first, then each gets both blocks' signatures
+    and sets, is pruned and verified in its task, and gives only links that join something.
     """
-    heads = open_groups.groupBy("band").agg(F.min("doc_id").alias("b"))
-    shared = open_groups.join(heads, "band").select(F.col("doc_id").alias("a"), "b").filter("a <> b").distinct()
-    members = open_groups.select("doc_id").distinct().withColumn("component", F.col("doc_id"))
-    together = stored(components(members, shared).withColumnRenamed("component", "together"), "together")
-    rows = together.join(labels, "doc_id").join(nodes, "doc_id").join(full, "doc_id")
+    size = F.floor(F.log(F.size("shingles")) / math.log(100 / percent)).cast("int") if percent < 100 else F.size("shingles")
+    rows = members.join(nodes, "doc_id").join(full, "doc_id").withColumns({"other": F.col("component") != F.col("together"), "size": size})
+    key = ["together", "other", "size"]
     amount = F.greatest(F.count("*") / block, F.sum(F.size("shingles")) / (block * LONG))
-    sizes = rows.groupBy("together").agg(F.ceil(amount).cast("int").alias("blocks"))
-    dealt = rows.join(sizes, "together").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    packed = stored(dealt.groupBy("together", "part").agg(F.collect_list(F.struct("doc_id", "component", "signature", "shingles")).alias("rows")), "blocks")
-    left = packed.select("together", F.col("part").alias("p"), F.col("rows").alias("one"))
-    right = packed.select("together", F.col("part").alias("q"), F.col("rows").alias("two"))
-    both = left.join(right, "together").filter("p <= q")
-    return both.repartition(F.hash("together", "p", "q")).select("one", "two").mapInArrow(_block_links(percent), "a long, b long")
+    dealt = rows.join(rows.groupBy(*key).agg(F.ceil(amount).cast("int").alias("blocks")), key)
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    packed = stored(dealt.groupBy(*key, "part").agg(F.collect_list(F.struct("doc_id", "component", "signature", "shingles")).alias("rows")), "blocks")
+
+    def side(name: str) -> DataFrame:
+        return packed.select("together", *[F.col(c).alias(f"{name}_{c}") for c in ("other", "size", "part")])
+
+    once = ~F.col("p_other") | (F.struct("p_size", "p_part") <= F.struct("q_size", "q_part"))
+    both = side("p").join(side("q").filter("q_other"), "together").filter((F.abs(F.col("p_size") - F.col("q_size")) <= 1) & once)
+    for name, column in (("p", "one"), ("q", "two")):
+        blocks = packed.select("together", *[F.col(c).alias(f"{name}_{c}") for c in ("other", "size", "part")], F.col("rows").alias(column))
+        both = both.join(blocks, ["together", f"{name}_other", f"{name}_size", f"{name}_part"])
+    return both.select("one", "two").mapInArrow(_block_links(percent), "a long, b long")
 
 
 def drop_near_copies(docs: DataFrame, words: int = CORPUS_WORDS) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; repeated rows of that id stay once."""
-    gone = near_groups(docs, words=words).filter("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs.doc_id == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` whose id is the smallest of its component, all rows of that id; rows without an id stay."""
+    rows = docs.select(F.struct("*").alias("row"))
+    gone = near_groups(docs, words=words).filter("not kept and doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
+    return rows.join(gone, rows["row.doc_id"] == gone["id"], "left_anti").select("row.*")

@@ -81,9 +81,10 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         # What a component's members have found holds for its other members too.
         roots = lower.groupBy("component").agg(F.min("next").alias("root"))
         found = lower.join(roots, "component").select("doc_id", "component", "root")
-        labels = stored(found.select("doc_id", F.col("root").alias("component"), (F.col("root") < F.col("component")).alias("moved")), "labels")
+        before, labels = labels, stored(found.select("doc_id", F.col("root").alias("component"), (F.col("root") < F.col("component")).alias("moved")), "labels")
+        discard(before)
         if labels.filter("moved").isEmpty():
             break
-        labels = labels.select("doc_id", "component")
+    discard(both)
     reached = labels.select(F.col("doc_id").alias("_id"), F.col("component").alias("_component"))
     return nodes.join(reached, nodes.doc_id == F.col("_id"), "left").select("doc_id", F.coalesce("_component", "component").alias("component"))

@@ -143,12 +143,12 @@ def test_hot_windows_give_the_same_spans(corpus, monkeypatch):
 # --- near-duplicates -------------------------------------------------------------------------------
 
 
-def word_sets(rows):
+def word_sets(rows, size=4):
     lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     out = []
     for i, t in rows:
         w = re.findall("[^\x20\x09-\x0d]+", (t or "").translate(lower))
-        out.append((i, {tuple(w[k : k + 4]) for k in range(len(w) - 3)} if len(w) >= 4 else {tuple(w)} if w else set()))
+        out.append((i, {tuple(w[k : k + size]) for k in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} if w else set()))
     return out
 
 
@@ -198,10 +198,49 @@ def test_blocks_find_what_hubs_leave(spark):
         rows.append((k, " ".join(words)))
     rows += [(50 + k, prose(80, 50 + k)) for k in range(5)]
     of = brute_components(word_sets(rows))
-    got = {r.doc_id: r.component_id for r in minhash.near_groups(frame(spark, rows), hub_rounds=1, block=3).collect()}
+    got = {r.doc_id: r.component_id for r in minhash.near_groups(frame(spark, rows), block=3).collect()}
     assert got == of
 
 
+@pytest.mark.parametrize("seed,block", [(1, 4), (2, 256)])
+def test_links_around_the_threshold_equal_brute_force(spark, seed, block):
+    """Many copies with few to many edits, of several lengths: some link to their hub, some to others only, some to none."""
+    rng = random.Random(seed)
+    rows = []
+    for base in range(3):
+        words = prose(60 + 90 * base, 700 + base).split()
+        for k in range(60):
+            edited = list(words)
+            for at in rng.sample(range(len(words)), rng.randint(1, 1 + len(words) // 25)):
+                edited[at] = f"edit{rng.randint(0, 3)}"
+            rows.append((len(rows), " ".join(edited[rng.randint(0, 8) :])))
+    of = brute_components(word_sets(rows))
+    got = {r.doc_id: r.component_id for r in minhash.near_groups(frame(spark, rows), block=block).collect()}
+    assert got == of and 10 < len(set(of.values())) < len(rows) - 60
+
+
+def test_dropping_copies_keeps_rows_and_columns_as_they_are(spark):
+    """Column names that the operators use themselves, repeated rows, rows without an id."""
+    text = prose(80, 5)
+    near = text + " end"
+    rows = [(1, text), (1, text), (2, near), (3, text), (None, text), (None, None), (4, prose(50, 6))]
+    names = ["_gone", "_id", "_sha", "_times", "row", "id", "component_id", "keep_id", "body"]
+    docs = spark.createDataFrame([(i, t, *["x"] * len(names)) for i, t in rows], f"doc_id long, text string, {', '.join(f'{n} string' for n in names)}")
+    left = minhash.drop_near_copies(docs)
+    assert left.columns == docs.columns
+    assert Counter(r.doc_id for r in left.collect()) == Counter([1, 1, None, None, 4])
+    left = exact.drop_copies(docs)
+    assert left.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter([(2, near), (3, text), (None, None), (4, rows[6][1])])
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    """Its set is that of the row with the largest set key; the id meets other documents by that set alone."""
+    rows = [(1, prose(60, 1)), (1, prose(60, 2)), (2, prose(60, 1)), (3, prose(60, 2))]
+    got = {(r.doc_id, r.component_id) for r in minhash.near_groups(frame(spark, rows)).collect()}
+    assert got in ({(1, 1), (2, 1), (3, 3)}, {(1, 1), (2, 2), (3, 1)})
+
+
 def test_sequential_bounds_keep_similar_pairs():
     least = minhash.least_matches()
     assert least[0] == 0 and all(b >= a for a, b in zip(least, least[1:]))

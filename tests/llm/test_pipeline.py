@@ -49,7 +49,7 @@ def test_stages_drop_what_they_should(spark):
     for i, t in texts[1]:
         kept[t] = max(kept.get(t, -1), i)
     assert Counter(texts[2]) == Counter((i, t) for t, i in kept.items())
-    of = brute_components(word_sets(texts[2]))
+    of = brute_components(word_sets(texts[2], 5))
     assert Counter(i for i, _ in texts[3]) == Counter(i for i, root in of.items() if i == root)
     items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     assert not [i for i, t in texts[4] if any(x in t for x in items)]
