@@ -15,8 +15,8 @@ SLICE_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, 9, 10, 11, 12, 13]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -85,7 +85,7 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def words(data: np.ndarray, at: np.ndarray, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, at: np.ndarray, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of each run of bytes that are not ``gaps`` (white space by default)."""
     n = len(data)
     solid = np.zeros(n + 2, bool)

@@ -263,75 +263,113 @@ def test_components_follow_a_long_chain(spark):
 # --- lines -----------------------------------------------------------------------------------------
 
 
-def brute_lines(rows):
-    chunks = []
-    for i, t in rows:
-        raw = (t or "").encode()
-        data = np.frombuffer(raw, np.uint8)
-        starts, ends, _ = linechunks.line_ends(data, np.array([0, len(raw)]))
-        hashes = ar.span_hash(ar.prefix_hash(data), starts, ends).tolist() if len(ends) else []
-        last = 0
-        for place, end in enumerate(linechunks.chunk_ends(hashes)):
-            chunks.append((i, place, raw[starts[last] : ends[end - 1]], end - last))
-            last = end
-    first = {}
-    for i, place, body, n in chunks:
-        if n > 1 and body.strip():
-            first[body] = min(first.get(body, (True, 0, 0)), (i is None, i or 0, place))
-    kept = {}
-    for i, place, body, n in chunks:
-        if not (n > 1 and body.strip()) or first[body] == (i is None, i or 0, place):
-            kept.setdefault(i, []).append(body)
-    return {i: b"".join(kept.get(i, [])).decode() for i, _ in rows}
-
-
-def test_line_chunks_equal_brute_force(spark):
-    block = "\n".join(prose(6, 70 + k) for k in range(12)) + "\n"
-    rows = [(k, "".join(prose(5, 100 * k + j) + "\n" for j in range(k % 5)) + block + prose(4, k)) for k in range(20)]
-    rows += [(50, None), (51, ""), (52, "\n\n\n\n"), (53, "\n\n\n\n"), (54, "single"), (55, "single"), (56, block)]
-    got = linechunks.drop_repeated_chunks(frame(spark, rows)).collect()
-    assert {r.doc_id: r.text for r in got} == brute_lines(rows)
+def split_lines(text):
+    return re.findall(r"[^\n]*\n|[^\n]+", text or "")
+
+
+def line_chunks(lines, divisor):
+    """Chunks by plain loops: the rolled hash of the last two lines, in Python integers."""
+
+    def line_hash(line):
+        data = np.frombuffer(line.encode(), np.uint8)
+        return int(ar.span_hash(ar.prefix_hash(data), np.array([0]), np.array([len(data)]))[0])
+
+    def mixed(h):
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            h = ((h ^ (h >> shift)) * factor) % 2**64
+        return h ^ (h >> 31)
+
+    hashes = [line_hash(x) for x in lines]
+    rolled = [mixed((h + (hashes[k - 1] * 0x9E3779B97F4A7C15 if k else 0)) % 2**64) for k, h in enumerate(hashes)]
+    ends = [k + 1 for k, h in enumerate(rolled) if (h >> 40) % divisor == 0 or k + 1 == len(lines)]
+    begins = [0] + [e for e in ends if e < len(lines)]
+    return [(b, next(e for e in ends if e >= b + 2)) for b in begins if b + 2 <= len(lines)]
+
+
+def brute_lines(rows, divisors):
+    """What is left of each row: lines of chunks that stand earlier go, lines of first places stay."""
+    found, order = {}, lambda r: (r[0] is None, r[0] or 0, hashlib.md5((r[1] or "").encode()).digest())
+    for i, t in sorted(set(rows), key=order):
+        own = split_lines(t)
+        for d in divisors:
+            for b, e in line_chunks(own, d):
+                if "".join(own[b:e]).strip():
+                    found.setdefault("".join(own[b:e]), []).append(((i, t), b, e))
+    gone, stays = {}, {}
+    for places in found.values():
+        if len({(r, b) for r, b, _ in places}) > 1 or rows.count(places[0][0]) > 1:
+            head = min(places, key=lambda p: (order(p[0]), sum(len(x.encode()) for x in split_lines(p[0][1])[: p[1]])))
+            for r, b, e in places:
+                (stays if (r, b) == head[:2] else gone).setdefault(r, set()).update(range(b, e))
+    return ["".join(x for k, x in enumerate(split_lines(t)) if k not in gone.get((i, t), set()) - stays.get((i, t), set())) for i, t in rows]
+
+
+def line_rows():
+    """Passages of two to twelve lines in several surroundings, cut short at times, and lines that repeat within a text."""
+    rng, rows = random.Random(12), []
+    passages = ["".join(prose(5, 900 + 20 * n + j) + "\n" for j in range(n)) for n in range(2, 13)]
+    for k in range(90):
+        parts = []
+        for _ in range(rng.randint(1, 3)):
+            lines = split_lines(rng.choice(passages))
+            lines = lines[rng.randint(0, len(lines) // 3) :] if rng.random() < 0.3 else lines
+            parts += ["".join(prose(5, 5000 + 10 * k + j) + "\n" for j in range(rng.randint(0, 4))), "".join(lines)]
+        rows.append((k, "".join(parts) + (prose(4, k) if k % 2 else "")))
+    rows += [(150, "a b\na b\na b\na b\n"), (151, "é\nü\nx\né\nü\n"), (152, None), (153, ""), (154, "\n\n\n"), (155, "\n\n\n")]
+    return rows + [(156, "single"), (157, "single"), (158, rows[4][1]), (158, rows[4][1]), (None, rows[5][1]), (None, rows[6][1] + "\nw")]
+
+
+@pytest.mark.parametrize("divisors", [(1,), (8,), (8, 1), (16, 4, 1)])
+def test_line_chunks_equal_brute_force(spark, divisors):
+    rows = line_rows()
+    got = linechunks.drop_repeated_chunks(frame(spark, rows), divisors).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((i, t) for (i, _), t in zip(rows, brute_lines(rows, divisors)))
     assert sum(r.n_removed_lines for r in got) > 100
-    for r, (_, text) in zip(sorted(got, key=lambda r: r.doc_id), sorted(rows)):
-        assert r.n_removed_bytes == len((text or "").encode()) - len(r.text.encode())
-
-
-def brute_runs(rows):
-    """What is left without the lines of each run of two or more that stands earlier."""
-    split = lambda t: re.findall(r"[^\n]*\n|[^\n]+", t or "")
-    first, left, order = {}, {}, lambda r: (r[0] is None, r[0] or 0)
-    for i, t in sorted(rows, key=order):
-        own, gone = split(t), set()
-        for k in range(len(own) - 1):
-            if (own[k] + own[k + 1]).strip():
-                j, at = first.setdefault((own[k], own[k + 1]), (i, k))
-                if j != i or k >= at + 2:
-                    gone |= {k, k + 1}
-        left[i] = "".join(x for k, x in enumerate(own) if k not in gone)
-    return left
-
-
-def test_runs_of_lines_go_whatever_stands_around_them(spark):
-    rows = []
-    for n in range(2, 8):
-        run = "".join(prose(5, 900 + 10 * n + j) + "\n" for j in range(n))
-        rows += [(10 * n + k, prose(4, n + k) + "\n" + run + prose(4, 50 + n + k)) for k in range(3)]
-    rows += [(100, "a b\na b\na b\na b\n"), (101, "é\nü\nx\né\nü\n"), (102, None), (103, ""), (104, "\n\n\n"), (105, "\n\n\n")]
-    got = linechunks.drop_repeated_chunks(frame(spark, rows), pairs=True).collect()
-    assert {r.doc_id: r.text for r in got} == brute_runs(rows)
-    removed = {r.doc_id: r.n_removed_lines for r in got}
-    assert all(removed[10 * n] == 0 and removed[10 * n + 1] == removed[10 * n + 2] == n for n in range(2, 8))
-    assert removed[100] == 2 and removed[101] == 2 and removed[105] == 0
+    texts = Counter((i, len((t or "").encode())) for i, t in rows)
+    assert Counter((r.doc_id, len(r.text.encode()) + r.n_removed_bytes) for r in got) == texts
+
+
+def test_repeated_runs_of_lines_go_and_stay_once(spark):
+    """Of the lines in runs of two or more that stand earlier, at least nine in ten go; every pair of neighbouring lines that
+    repeats still stands somewhere."""
+    rows = line_rows()[:90]
+    got = {r.doc_id: r.text for r in linechunks.drop_repeated_chunks(frame(spark, rows)).collect()}
+    earlier, repeated, removed = set(), 0, 0
+    for i, t in rows:
+        own, run = split_lines(t), set()
+        pairs = list(zip(own, own[1:]))
+        for k, pair in enumerate(pairs):
+            if pair in earlier or pair in pairs[: max(0, k - 1)]:
+                run |= {k, k + 1}
+        earlier |= set(pairs)
+        repeated += len(run)
+        removed += len(own) - len(split_lines(got[i]))
+        assert len(own) - len(split_lines(got[i])) <= len(run)
+    assert repeated > 500 and removed >= 0.9 * repeated
+    left = {p for t in got.values() for p in zip(split_lines(t), split_lines(t)[1:])}
+    times = Counter(p for _, t in rows for p in zip(split_lines(t), split_lines(t)[1:]))
+    assert {p for p, n in times.items() if n > 1} <= left
+
+
+def test_the_first_copy_of_overlapping_runs_stays_whole(spark):
+    rows = [(1, "X\nA\n"), (2, "X\nA\nB\n"), (3, "A\nB\n"), (4, "Y\nX\nA\nB\n")]
+    got = {r.doc_id: r.text for r in linechunks.drop_repeated_chunks(frame(spark, rows)).collect()}
+    assert got[1] == "X\nA\n" and got[3] == "" and got[4] == "Y\n" and "A\nB\n" in got[2]
 
 
 def test_lines_of_rows_without_id_or_with_one_id(spark):
-    run, other = "é é é\nü ü ü\nä ä ä\n", "öööö\n" * 1 + "own line\n"
+    run, other = "é é é\nü ü ü\nä ä ä\n", "öööö\nown line\n"
     rows = [(1, run), (2, "x\n" + run), (2, other + "yéyé\n" + run + other), (None, "z\n" + run), (None, "z\n" + run), (None, run + "w\n")]
-    for pairs in (False, True):
-        got = linechunks.drop_repeated_chunks(frame(spark, rows), pairs=pairs).collect()
-        assert len(got) == len(rows)
-        if pairs:
-            assert Counter((r.doc_id, r.text) for r in got) == Counter([(1, run), (2, "x\n"), (2, other + "yéyé\n"), (None, "z\n"), (None, "z\n"), (None, "w\n")])
+    got = linechunks.drop_repeated_chunks(frame(spark, rows), (1,)).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((i, t) for (i, _), t in zip(rows, brute_lines(rows, (1,))))
+
+
+def test_lines_of_a_long_text_and_of_no_rows(spark):
+    long = "".join(f"line {k % 700} of {k}\n" for k in range(30_000))
+    rows = [(1, long), (2, "x\n" + long + "y\n"), (3, long[: len(long) // 2])]
+    got = {r.doc_id: r.text for r in linechunks.drop_repeated_chunks(frame(spark, rows)).collect()}
+    assert got[1] == long and got[2] == "x\ny\n" and got[3] in ("", long[: len(long) // 2].rsplit("\n", 1)[1])
+    assert linechunks.drop_repeated_chunks(frame(spark, [])).collect() == []
 
 
 # --- archives --------------------------------------------------------------------------------------
