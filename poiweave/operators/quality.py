@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from poiweave.functions.coordinates import in_range
 from poiweave.operators.links import is_geo_link, link_fields, with_coordinates, with_layout
 from poiweave.schemas import PARTITION_COLUMNS
-from poiweave.sources.tables import BAD_ROW, read_csv_rows, read_lines
+from poiweave.sources.tables import BAD_ROW, read_csv_rows
 
 
 def with_reject_reason(tuples: DataFrame, extended_layouts: bool = False) -> DataFrame:
@@ -64,28 +64,15 @@ def coord_quality(geo: DataFrame) -> DataFrame:
     )
 
 
-def csv_integrity(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Correct rows (headers included), wrong rows and physical lines per wiki and language.
+def csv_integrity(spark: SparkSession, path: str) -> DataFrame:
+    """Correct rows (headers included), wrong rows and physical lines per wiki and language, from one scan.
 
-    A row is wrong when it has not eight fields or a broken quote; every one counts.
+    A row is wrong when it has not eight fields or a broken quote; every one counts. Blank lines are no rows.
     """
-    # Spark wants a data column next to the bad-row column, so one is looked at.
-    readable = F.col(BAD_ROW).isNull() & (F.length(F.coalesce("NAME", F.lit(""))) >= 0)
-    rows = read_csv_rows(spark, path, multi_line).select(
-        *PARTITION_COLUMNS,
-        F.when(readable, 1).otherwise(0).alias("correct"),
-        F.when(F.col(BAD_ROW).isNotNull(), 1).otherwise(0).alias("wrong"),
-        F.lit(0).alias("line"),
-    )
-    lines = read_lines(spark, path).select(
-        *PARTITION_COLUMNS, F.lit(0).alias("correct"), F.lit(0).alias("wrong"), F.lit(1).alias("line")
-    )
-    return (
-        rows.unionByName(lines)
-        .groupBy(*PARTITION_COLUMNS)
-        .agg(
-            F.sum("correct").alias("correct_rows"),
-            F.sum("wrong").alias("wrong_rows"),
-            F.sum("line").alias("lines"),
-        )
+    rows = read_csv_rows(spark, path)
+    wrong = F.col(BAD_ROW).isNotNull()
+    return rows.groupBy(*PARTITION_COLUMNS).agg(
+        F.count_if(~F.col("blank") & ~wrong).alias("correct_rows"),
+        F.count_if(~F.col("blank") & wrong).alias("wrong_rows"),
+        F.sum("lines").alias("lines"),
     )

@@ -2,53 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from poiweave.schemas import LINK_TABLE_SCHEMA, PARTITION_SCHEMA, POI_TABLE_SCHEMA, POI_COLUMNS, POI_SCHEMA, POI_TEXT_COLUMNS
+from poiweave.schemas import (
+    LINK_TABLE_SCHEMA,
+    PARTITION_COLUMNS,
+    PARTITION_SCHEMA,
+    POI_COLUMNS,
+    POI_SCHEMA,
+    POI_TABLE_SCHEMA,
+    POI_TEXT_COLUMNS,
+)
 from poiweave.sinks.swap import recover
+from poiweave.sources.csvrecords import parsed, read_records
 
 BAD_ROW = "_bad_row"
 
 
-def _csv_reader(spark: SparkSession, fields: list[T.StructField], multi_line: bool) -> DataFrameReader:
-    return (
-        spark.read.schema(T.StructType(fields + PARTITION_SCHEMA.fields))
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-    )
-
-
 def read_poi_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Eight quoted columns with a header, partitioned by wiki and language.
 
-    ``multi_line`` allows line ends inside fields; a file is then read by one task, which
-    is why the writer bounds the rows per file.  Switch it off to split large files whose
-    fields hold none.
-    """
-    reader = _csv_reader(spark, POI_SCHEMA.fields, multi_line).option("header", True)
-    return reader.csv(path).na.fill("", POI_TEXT_COLUMNS)
-
-
-def read_csv_rows(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Every CSV record as text fields; a malformed one is also kept whole in ``_bad_row``.
-
-    Column pruning is off, since a pruned scan does not see missing fields.
+    ``multi_line`` allows line ends inside fields; files are read in splits either way. Without it, where no field holds
+    one, no line is moved.
     """
-    names = [*POI_COLUMNS, BAD_ROW]
-    reader = _csv_reader(spark, [T.StructField(c, T.StringType()) for c in names], multi_line)
-    return (
-        reader.option("header", False)
-        .option("columnPruning", False)
-        .option("columnNameOfCorruptRecord", BAD_ROW)
-        .csv(path)
-    )
-
-
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    schema = T.StructType([T.StructField("value", T.StringType()), *PARTITION_SCHEMA.fields])
-    return spark.read.schema(schema).text(path)
+    if multi_line:
+        records = read_records(spark, path).filter(~F.col("first") & (F.col("record") != ""))
+        rows = records.select(parsed(POI_SCHEMA, {}).alias("row"), *PARTITION_COLUMNS).select("row.*", *PARTITION_COLUMNS)
+    else:
+        reader = spark.read.schema(T.StructType(POI_SCHEMA.fields + PARTITION_SCHEMA.fields))
+        rows = reader.option("escape", '"').option("mode", "PERMISSIVE").option("header", True).csv(path)
+    return rows.na.fill("", POI_TEXT_COLUMNS)
+
+
+def read_csv_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Every CSV record as text fields, blank lines as records without any; a malformed one is also kept whole in ``_bad_row``. ``lines`` are
+    the lines that a record takes."""
+    fields = T.StructType([T.StructField(c, T.StringType()) for c in [*POI_COLUMNS, BAD_ROW]])
+    row = F.when(F.col("record") != "", parsed(fields, {"columnNameOfCorruptRecord": BAD_ROW})).alias("row")
+    return read_records(spark, path).select(row, "lines", *PARTITION_COLUMNS).select("row.*", "lines", F.isnull("row").alias("blank"), *PARTITION_COLUMNS)
 
 
 def read_table(

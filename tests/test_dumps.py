@@ -5,11 +5,14 @@ import csv
 import glob
 import gzip
 import os
+import random
 import sqlite3
 import xml.etree.ElementTree as ET
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from poiweave.operators.quality import csv_integrity
 from poiweave.plans import jobs
@@ -228,6 +231,59 @@ def test_csv_integrity_counts_every_bad_row(spark, tmp_path):
     assert (row.correct_rows, row.wrong_rows, row.lines) == (3, 3, 7)
 
 
+def csv_files(folder, seed, line_end):
+    """Files of random quoted fields with line ends, quotes and commas in them; the last one ends without a line end."""
+    rng = random.Random(seed)
+    bits = ["a", "é", ",", '""', "\n", "\r\n", "\n\n", '""\n""', " ", "x" * 90]
+    for lang in ("en", "nl"):
+        place = folder / "wiki=wikipedia" / f"lang={lang}"
+        place.mkdir(parents=True)
+        for k in range(3):
+            rows = [",".join(f'"{n}"' for n in POI_COLUMNS)]
+            for n in range(rng.randint(0, 60)):
+                texts = ["".join(rng.choice(bits) for _ in range(rng.choice([0, 1, 3, 12]))) for _ in range(6)]
+                texts = [t.strip() if t.startswith(("\r", "\n", " ")) else t for t in texts]
+                plain = f"{n}" if rng.random() < 0.5 else f'"{n}"'
+                row = [f'"{texts[0]}"', plain, f"-{n}.5", *[f'"{t}"' for t in texts[1:]]]
+                rows.append(",".join(row))
+            (place / f"part-{k}.csv").write_bytes((line_end.join(rows) + (line_end if k else "")).encode())
+
+
+@pytest.mark.parametrize("seed,line_end", [(1, "\n"), (2, "\n"), (3, "\r\n")])
+def test_csv_is_cut_in_splits_like_in_one_task(spark, tmp_path, seed, line_end):
+    csv_files(tmp_path, seed, line_end)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 70)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        table = read_poi_csv(spark, str(tmp_path))
+        got = [tuple(r) for r in table.select(*POI_COLUMNS, "wiki", "lang").collect()]
+        scanned = spark.read.option("lineSep", "\n").text(str(tmp_path)).rdd.getNumPartitions()
+        counts = {r.lang: r for r in csv_integrity(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    schema = T.StructType(POI_TABLE_SCHEMA.fields[1:])
+    whole = spark.read.schema(schema).option("escape", '"').option("multiLine", True).option("header", True).csv(str(tmp_path))
+    expected = [tuple(r) for r in whole.na.fill("").select(*POI_COLUMNS, "wiki", "lang").collect()]
+    if line_end != "\n":  # the other reader turns the line ends inside fields into those of its files, or back
+        got, expected = ([tuple(v.replace("\r\n", "\n") if isinstance(v, str) else v for v in r) for r in rows] for rows in (got, expected))
+    assert scanned > 20 and Counter(got) == Counter(expected)
+    for lang in ("en", "nl"):
+        files = list((tmp_path / "wiki=wikipedia" / f"lang={lang}").iterdir())
+        assert counts[lang].correct_rows == sum(r[-1] == lang for r in expected) + len(files) and counts[lang].wrong_rows == 0
+        assert counts[lang].lines == sum(len(f.read_bytes().removesuffix(b"\n").split(b"\n")) for f in files)
+
+
+def test_an_open_field_takes_the_rest_of_its_file_alone(spark, tmp_path):
+    folder = tmp_path / "wiki=wikipedia" / "lang=en"
+    folder.mkdir(parents=True)
+    good = ",".join(['"x"'] * 8)
+    (folder / "part-0.csv").write_text(f'{good}\n"open,{good}\n{good}\n')
+    (folder / "part-1.csv").write_text(f"{good}\n\n{good}\n")
+    row = csv_integrity(spark, str(tmp_path)).first()
+    assert (row.correct_rows, row.wrong_rows, row.lines) == (3, 1, 6)
+
+
 def test_gpx(spark, world, tmp_path):
     jobs.export_poi(spark, world["poi"], str(tmp_path), ("gpx",), wiki="wikipedia", lang="en")
     roots = [ET.parse(f).getroot() for f in parts(tmp_path / "gpx")]
