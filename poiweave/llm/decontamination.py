@@ -13,7 +13,9 @@ Retrieved items are verified on the words around the passage: the share of the q
 the share of the answer's. An item's answer is its last sentence.
 
 The index is sent to every task. Items are split into shards of at most ``SHARD_BYTES`` of text, each with an
-index of its own and one pass over the documents; a benchmark below that is one pass without a shuffle.
+index of its own and one pass over the documents; a benchmark below that is one pass without a shuffle. Document frequencies, the number of items and
+their mean length are those of the whole benchmark, counted by Spark, so scores and bars do not depend on the shards. The driver holds one shard at a time: its pass is
+written to the shared folder before the next is built.
 
 Defined cases: null or empty texts have no passage, null or empty items are never found; a question or answer of fewer than five words is one
 shingle; repeated items are found each; repeated rows are each judged; empty tables leave all documents; other columns are kept.
@@ -22,6 +24,7 @@ shingle; repeated items are found each; repeated rows are each judged; empty tab
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from poiweave.llm import arrays as ar
+from poiweave.llm.shared import discard, stored
 
 PASSAGE = 128
 SHARE = 0.5
@@ -91,8 +95,18 @@ class Index:
     parts: list[tuple[np.ndarray, np.ndarray]]  # words of question and answer
 
 
-def build_index(rows: list[tuple[int | None, str]]) -> Index | None:
-    """The index of a shard's items; None if no item has a word."""
+@dataclass
+class Statistics:
+    """Of the whole benchmark: items with words, their mean length in words, and the document frequency of a shard's terms."""
+
+    items: int
+    mean_length: float
+    terms: np.ndarray  # sorted hashes
+    frequency: np.ndarray
+
+
+def build_index(rows: list[tuple[int | None, str]], whole: Statistics | None = None) -> Index | None:
+    """The index of a shard's items; None if no item has a word. Without ``whole`` the items are the whole benchmark."""
     rows = [(i, t, _of_text(t)) for i, t in rows]
     rows = [r for r in rows if len(r[2])]
     if not rows:
@@ -102,8 +116,10 @@ def build_index(rows: list[tuple[int | None, str]]) -> Index | None:
     owner = np.repeat(np.arange(len(rows)), [len(t) for t, _ in found])
     term, tf = np.concatenate([t for t, _ in found]), np.concatenate([n for _, n in found])
     terms, number, df = np.unique(term, return_inverse=True, return_counts=True)
-    idf = np.log(1 + (len(rows) - df + 0.5) / (df + 0.5))
-    weight = idf[number] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[owner] / length.mean()))
+    whole = whole or Statistics(len(rows), float(length.mean()), terms, df)
+    of_all = whole.frequency[np.searchsorted(whole.terms, terms)]
+    idf = np.log(1 + (whole.items - of_all + 0.5) / (of_all + 0.5))
+    weight = idf[number] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[owner] / whole.mean_length))
     # Half a passage of a longer item is all that one passage is sure to hold.
     bar = SHARE * np.minimum(1, PASSAGE / 2 / length) * np.bincount(owner, weight)
     weight = weight / bar[owner]
@@ -194,16 +210,41 @@ def _best(found: list[tuple]) -> list[tuple]:
     return [best[k] for k in sorted(best)]
 
 
-def shards(benchmark: DataFrame, most: int = SHARD_BYTES) -> list[Index]:
-    """One index for each shard of items; the driver holds one shard's texts at a time."""
+def _item_words(batches):
+    """The distinct words of each item with its length, one row a word; and one without a word, for the length alone."""
+    for rows, data, at in ar.slices(batches):
+        words, first = word_hashes(data, at)
+        for k in range(len(at) - 1):
+            own = words[first[k] : first[k + 1]]
+            if len(own):
+                terms = np.unique(own).view(np.int64).tolist()
+                yield pa.RecordBatch.from_arrays([ar.column(rows, "shard").take(pa.array([k] * (1 + len(terms)))), pa.array([None, *terms], pa.int64()), pa.array([len(own)] + [None] * len(terms), pa.int64())], ["shard", "term", "length"])
+
+
+def shards(benchmark: DataFrame, most: int = SHARD_BYTES) -> Iterator[tuple[Index, bool]]:
+    """One index for each shard of items, one at a time, and whether it is the only one."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = int(-(-size * 3 // (2 * most))) if size > most else 1
-    found = []
+    if size <= most:
+        index = build_index([(r.item_id, r.text) for r in items.collect()])
+        if index is not None:
+            yield index, True
+        return
+    n = int(-(-size * 3 // (2 * most)))
+    items = stored(items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)).cast("int")), "items")
+    words = stored(items.mapInArrow(_item_words, "shard int, term long, length long"), "words")
+    total = words.agg(F.count("length").alias("items"), F.avg("length").alias("mean")).first()
+    frequency = stored(words.filter("term is not null").groupBy("term").agg(F.count("*").alias("n")), "frequency")
     for k in range(n):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
-        found.append(build_index([(r.item_id, r.text) for r in rows]))
-    return [x for x in found if x is not None]
+        rows = items.filter(F.col("shard") == k).collect()
+        own = frequency.join(words.filter((F.col("shard") == k) & F.col("term").isNotNull()).select("term").distinct(), "term").collect()
+        terms = np.array([r.term for r in own], np.int64).view(np.uint64)
+        order = np.argsort(terms)
+        whole = Statistics(total.items, total["mean"] or 1.0, terms[order], np.array([r.n for r in own], np.int64)[order])
+        index = build_index([(r.item_id, r.text) for r in rows], whole)
+        if index is not None:
+            yield index, False
+    discard(items, words, frequency)
 
 
 def _rows_of(index: Index, batches):
@@ -223,13 +264,14 @@ def _find(index: Index):
     return run
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, most: int = SHARD_BYTES) -> DataFrame:
     """One row per document and item that it holds: doc_id, item_id, score (1 is the bar), question_overlap, answer_overlap."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, " + SCHEMA
     out = docs.sparkSession.createDataFrame([], schema)
-    for index in shards(benchmark):
-        out = out.unionByName(rows.mapInArrow(_find(index), schema))
+    for index, only in shards(benchmark, most):
+        found = rows.mapInArrow(_find(index), schema)
+        out = out.unionByName(found if only else stored(found, "found"))
     return out
 
 
@@ -241,9 +283,12 @@ def _clean(index: Index):
     return run
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, most: int = SHARD_BYTES) -> DataFrame:
     """The rows of ``docs``, with their columns, that hold no benchmark item. No shuffle."""
-    for index in shards(benchmark):
+    for index, only in shards(benchmark, most):
         packed = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").cast("string").alias("text"))
-        docs = packed.mapInArrow(_clean(index), packed.drop("text").schema).select("_row.*")
+        before, docs = docs, packed.mapInArrow(_clean(index), packed.drop("text").schema).select("_row.*")
+        if not only:
+            docs = stored(docs, "clean")
+            discard(before)
     return docs

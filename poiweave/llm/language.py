@@ -69,12 +69,17 @@ def _counted(batches):
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.int32()), pa.array(count[found], pa.int64())], ["lang", "bucket", "n"])
 
 
+def subtag(code: Column) -> Column:
+    """The primary subtag of a language code, whole: ``fil`` of ``fil-PH``, ``pt`` of ``pt_BR``."""
+    return F.lower(F.regexp_extract(code, "^([A-Za-z]+)(?:[-_]|$)", 1))
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Trigram counts by language from a bounded sample of each language's documents, chosen by hash."""
     spark = docs.sparkSession
     text = F.col("text").cast("string")
     key = F.coalesce(F.col("doc_id").cast("string"), text, F.lit(""))
-    known = docs.filter("lang is not null and lang <> ''").select(F.lower(F.substring("lang", 1, 2)).alias("lang"), key.alias("key"), text.alias("text"), F.xxhash64(key).alias("hash"))
+    known = docs.select(subtag(F.col("lang").cast("string")).alias("lang"), key.alias("key"), text.alias("text"), F.xxhash64(key).alias("hash")).filter("lang <> ''")
     every = known.groupBy("lang").agg(F.count("*").alias("n"), F.min("hash").alias("low")).collect()
     languages = sorted(r.lang for r in every) or ["und"]
     each = max(EACH, sample // len(languages))
@@ -117,10 +122,10 @@ def page_evidence(pages: DataFrame) -> DataFrame:
         F.lit(None).cast("long").alias("doc_id"),
         F.col("page_id").cast("long").alias("page_id"),
         visible(html).alias("text"),
-        F.lower(F.regexp_extract(html, "(?i)<html\\b[^>]*?\\blang\\s*=\\s*[\"']?([a-z]{2})", 1)).alias("declared"),
+        F.lower(F.regexp_extract(html, "(?i)<html\\b[^>]*?\\blang\\s*=\\s*[\"']?([a-z]{2,3})(?![a-z])", 1)).alias("declared"),
         F.regexp_replace(host, "^www\\.", "").alias("host"),
         F.regexp_extract(host, "\\.([a-z]+)$", 1).alias("suffix"),
-        F.regexp_extract(url, "^[^:]*://[^/?#]+/([a-z]{2})(?:[/?#]|$)", 1).alias("path"),
+        F.regexp_extract(url, "^[^:]*://[^/?#]+/([a-z]{2,3})(?:[/?#]|$)", 1).alias("path"),
     )
 
 

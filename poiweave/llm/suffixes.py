@@ -265,10 +265,6 @@ class _Spans:
         return [(k, *(x[i].astype(kind).tobytes() for x, kind in zip((owner, tag, first, last), _SPAN_KINDS))) for k, i in _split(g)]
 
 
-def group_of(ids: np.ndarray, groups: int) -> np.ndarray:
-    return (ar.mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(groups)).astype(np.int64)
-
-
 # What goes between the context steps: records of a bucket, and decided spans of group g under bucket -1 - g.
 OPEN = CONTEXTS + ", first binary, last binary"
 _NAMES = [x.split()[0] for x in OPEN.split(", ")]

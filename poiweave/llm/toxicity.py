@@ -30,10 +30,8 @@ from poiweave.llm import arrays as ar
 from poiweave.llm.sample import base_rate, held_out, labelled_sample
 
 SAMPLE = 12000
-LEXICON = 2000
 THRESHOLD = 0.3
 LEAST_DOCS = 4
-INNOCENT = 20_000
 # Weights before any data: a word one or two edits away says less than the term itself.
 PRIOR = (0.0, 0.0, 3.0, 5.0, 0.0, 0.0)
 LEAST_G = 25.0
@@ -203,7 +201,7 @@ class Model:
 
 
 def _terms(word: str) -> list[str]:
-    return [word, *(word[:k] + _MORE for k in BEGINNINGS if len(word) > k)] if 3 <= len(word) <= 40 else []
+    return [word, *(word[:k] + _MORE for k in BEGINNINGS if len(word) > k)] if len(word) >= 3 else []
 
 
 def _toxic_terms(batches):
@@ -229,21 +227,28 @@ def pick_entries(terms: list[tuple[str, int, int]]) -> list[str]:
     clearly more documents than each of their words, the longest such beginning."""
     by = {t: n for t, n, _ in terms}
     begins = sorted((t for t in by if t.endswith(_MORE)), key=len)
-    kept: list[str] = []
+    # By the letters they begin with: documents of the most frequent word, and of the most frequent longer beginning.
+    word, longer = Counter(), Counter()
+    for t, n in by.items():
+        stem = t.removesuffix(_MORE)
+        for k in BEGINNINGS:
+            if t == stem and len(stem) >= k:
+                word[stem[:k]] = max(word[stem[:k]], n)
+            elif t != stem and len(stem) > k:
+                longer[stem[:k]] = max(longer[stem[:k]], n)
+    kept: set[str] = set()
     for b in begins:
         stem = b[:-1]
-        longest_word = max((n for t, n in by.items() if not t.endswith(_MORE) and t.startswith(stem)), default=0)
-        longer = max((n for t, n in by.items() if t.endswith(_MORE) and len(t) > len(b) and t.startswith(stem)), default=0)
-        if longest_word < 0.8 * by[b] and longer < 0.95 * by[b] and not any(stem.startswith(k[:-1]) for k in kept):
-            kept.append(b)
-    return sorted(kept + [t for t in by if not t.endswith(_MORE)])
+        if word[stem] < 0.8 * by[b] and longer[stem] < 0.95 * by[b] and not any(stem[:k] in kept for k in range(1, len(stem) + 1)):
+            kept.add(stem)
+    return sorted([stem + _MORE for stem in kept] + [t for t in by if not t.endswith(_MORE)])
 
 
-def learn_entries(sample: DataFrame, toxic: int, clean: int, most: int = LEXICON) -> list[str]:
+def learn_entries(sample: DataFrame, toxic: int, clean: int) -> list[str]:
     """The terms whose share among toxic documents is far above that among others (G test).
 
     A term counts once in a document, and once for each word before it, so that copies of a document do not make
-    terms of its words.
+    terms of its words. All significant terms are taken; their number is bounded by the labelled sample alone.
     """
     seen = sample.filter("label = 1").select("text").mapInArrow(_toxic_terms, "term string, before string").distinct().groupBy("term").agg(F.least(F.count("*"), F.lit(toxic)).alias("toxic"))
     seen = seen.filter(F.col("toxic") >= LEAST_DOCS)
@@ -253,7 +258,7 @@ def learn_entries(sample: DataFrame, toxic: int, clean: int, most: int = LEXICON
     et, ec = (t + c) * (toxic / n), (t + c) * (clean / n)
     g = 2 * (t * F.log(t / et) + F.when(c > 0, c * F.log(c / ec)).otherwise(0.0))
     ratio = ((t + 0.5) / (toxic + 1)) / ((c + 0.5) / (clean + 1))
-    rows = counts.withColumn("g", g).filter((F.col("g") >= LEAST_G) & (ratio >= LEAST_RATIO)).orderBy(F.desc("g"), "term").limit(most).collect()
+    rows = counts.withColumn("g", g).filter((F.col("g") >= LEAST_G) & (ratio >= LEAST_RATIO)).orderBy("term").collect()
     return pick_entries([(r.term, r.toxic, r.clean) for r in rows])
 
 
@@ -273,7 +278,7 @@ def _near_words(entries: list[str]):
 def learn_innocent(sample: DataFrame, entries: list[str], toxic: int, clean: int) -> frozenset[str]:
     """Words near an entry that are ordinary words: no more frequent in toxic documents than in others."""
     counts = sample.mapInArrow(_near_words(entries), "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    found = counts.filter(F.col("toxic") * clean <= 3 * F.col("clean") * toxic).orderBy(F.desc("clean"), "word").limit(INNOCENT)
+    found = counts.filter(F.col("toxic") * clean <= 3 * F.col("clean") * toxic)
     return frozenset(r.word for r in found.collect())
 
 
@@ -287,13 +292,13 @@ def _measured(entries: list[str], innocent: frozenset[str]):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = LEXICON) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Lexicon and logistic weights from a bounded sample of labelled rows outside the held-out part."""
     rate = base_rate(labels, "toxic")
     rows = labelled_sample(docs, labels, "toxic", sample).select("text", "label")
     by = dict(rows.groupBy("label").count().collect())
     toxic, clean = by.get(1, 0), by.get(0, 0)
-    entries = learn_entries(rows, toxic, clean, most) if toxic and clean else []
+    entries = learn_entries(rows, toxic, clean) if toxic and clean else []
     if not entries:
         return Model([], np.zeros(FEATURES), float(np.log(max(rate, 1e-6) / max(1 - rate, 1e-6))) if toxic + clean else -50.0)
     innocent = learn_innocent(rows, entries, toxic, clean)

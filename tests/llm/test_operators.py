@@ -445,6 +445,23 @@ def test_leaks(spark):
     assert decontamination.drop_leaks(docs, benchmark.limit(0)).count() == len(rows)
 
 
+def test_scores_do_not_depend_on_shards(spark):
+    items = [(k, prose(20 + k % 60, 5000 + k) + ". " + prose(8, 6000 + k) + ".") for k in range(60)] + [(90, None), (91, "?!")]
+    rows = [(k, prose(60, 9500 + k) + " " + items[k][1] + " " + prose(40, 9600 + k) + " " + items[59 - k][1]) for k in range(60)]
+    benchmark, docs = spark.createDataFrame(items, "item_id long, text string"), frame(spark, rows)
+    one, many = ({(r.doc_id, r.item_id): r.score for r in decontamination.find_leaks(docs, benchmark, most).collect()} for most in (1 << 20, 3000))
+    assert len(list(decontamination.shards(benchmark, 3000))) > 2
+    assert one.keys() == many.keys() >= {(k, k) for k in range(60)} and all(abs(one[k] - many[k]) < 1e-9 for k in one)
+    assert decontamination.drop_leaks(docs, benchmark, 3000).count() == 0
+
+
+def test_leaks_in_a_long_text(spark):
+    item = prose(30, 5000) + ". " + prose(8, 6000) + "."
+    rows = [(1, prose(60_000, 1) + " " + item + " " + prose(20_000, 2)), (2, prose(80_000, 3))]
+    benchmark = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontamination.find_leaks(frame(spark, rows), benchmark).collect()] == [(1, 7)]
+
+
 def test_block_search_equals_scoring_every_item():
     items = [(k, prose(12 + k % 40, k)) for k in range(80)]
     index = decontamination.build_index(items)
@@ -524,6 +541,47 @@ def test_language_fuses_evidence(spark, sf_dir):
     assert language.identify(language.page_evidence(pages.limit(0)), model).count() == 0
 
 
+def test_language_posterior_equals_one_by_hand(spark):
+    """Text likelihoods, host and domain counts, and the three declared signals, multiplied in plain Python."""
+    rows = [(k, prose(20, k) + (" der die das" if k % 3 == 0 else " the of and" if k % 3 == 1 else " og det er"), ("de", "en", "nor")[k % 3]) for k in range(90)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["de", "en", "nor"]
+    pages = [(1, "http://a.x.de/de/1", "<html lang=de>der die"), (2, "http://a.x.de/nor/2", "<html lang=nor>og det"), (3, "http://b.x.de/", "the of and the"), (4, "http://y.uk/en", ""), (5, None, None), (6, "http://b.x.de/zz", "<html lang='xx'>das")]
+    evidence = language.page_evidence(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    texts, hosts, domains, overall = {}, {}, {}, np.zeros(3)
+    for r in evidence:
+        data = np.frombuffer(r.text.encode(), np.uint8)
+        bucket, _ = language.trigrams(data, np.array([0, len(data)]))
+        logs = language.WEIGHT * model.table[bucket].astype(float).sum(axis=0)
+        p = np.exp(logs - logs.max())
+        texts[r.page_id] = p / p.sum()
+        domain = ".".join(r.host.split(".")[-2:]) if "." in r.host else ""
+        for table, key in ((hosts, (domain, r.host)), (domains, domain)):
+            table[key] = table.get(key, 0) + texts[r.page_id]
+        overall += texts[r.page_id]
+    overall = (overall + 1) / (overall.sum() + 3)
+    got = {r.page_id: r for r in language.identify(spark.createDataFrame(evidence, language.page_evidence(spark.createDataFrame(pages, "page_id long, url string, html string")).schema), model).collect()}
+    for r in evidence:
+        domain = ".".join(r.host.split(".")[-2:]) if "." in r.host else ""
+        above = (domains[domain] + language.STRENGTH * overall) / (domains[domain].sum() + language.STRENGTH)
+        prior = (hosts[domain, r.host] + language.STRENGTH * above) / (hosts[domain, r.host].sum() + language.STRENGTH)
+        odds = np.maximum(texts[r.page_id], 1e-30) * (overall if r.host == "" else prior)
+        for signal, trust in ((r.declared, language.DECLARED), (language.COUNTRIES.get(r.suffix, ""), language.SUFFIX), (r.path, language.PATH)):
+            if signal in model.languages:
+                odds = odds * [trust if x == signal else (1 - trust) / 2 for x in model.languages]
+        odds = odds / odds.sum()
+        assert got[r.page_id].lang == model.languages[int(odds.argmax())] and abs(got[r.page_id].probability - odds.max()) < 1e-5
+
+
+def test_language_codes_are_taken_whole(spark):
+    rows = [(k, prose(8, k), code) for k in range(40) for code in ("fi", "fil-PH", "pt_BR", "EN")] + [(900, "x", ""), (901, "x", None), (902, "x", "42")]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["en", "fi", "fil", "pt"]
+    pages = spark.createDataFrame([(1, "http://a.zz/fil/x", "<html lang='fil-PH'>"), (2, "http://b.zz/fi/", "<html lang=fi>"), (3, "http://c.zz/file/", "<html lang=fili>")], "page_id long, url string, html string")
+    got = {r.page_id: (r.declared, r.path) for r in language.page_evidence(pages).collect()}
+    assert got == {1: ("fil", "fil"), 2: ("fi", "fi"), 3: ("", "")}
+
+
 def test_every_language_is_a_class(spark):
     rows = [(k, prose(6, k), "en" if k % 2 else "de") for k in range(3000)] + [(9000, "kaksi kolme viisi kuusi", "fi"), (9001, "", "sv"), (None, "cinque sette otto nove", "it")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
@@ -575,6 +633,18 @@ def test_quality_on_held_out_rows(spark):
     assert quality.keep_good(odd.limit(0), field).count() == 0
 
 
+def test_no_significant_term_is_left_out(spark):
+    rng = random.Random(4)
+    terms = ["".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(7)) + f"{k:04d}" for k in range(2100)] + ["w" * 60]
+    toxic = [[] for _ in range(700)]
+    for t in terms:
+        for k in rng.sample(range(700), 22):
+            toxic[k].append(t)
+    toxic = [" ".join(rng.sample(x, len(x))) for x in toxic]
+    sample = spark.createDataFrame([(t, 1) for t in toxic] + [(prose(40, k), 0) for k in range(700)], "text string, label int")
+    assert set(terms) <= set(toxicity.learn_entries(sample, 700, 700))
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
