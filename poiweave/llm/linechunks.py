@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from poiweave.llm import arrays as ar
-from poiweave.llm.shared import stored
+from poiweave.llm.shared import discard, stored
 from poiweave.operators.prefilter import may_match
 
 SPAN = 2
@@ -117,6 +117,7 @@ def repeated_chunks(docs: DataFrame, divisors: tuple[int, ...] = DIVISORS) -> Da
     heads = stored(counted.select(*KEY, "head"), "heads")
     likely = may_match(texts.mapInArrow(_chunk_rows(divisors, True), CHUNKS), heads, KEY, BITS)
     several = stored(likely.join(heads, KEY), "chunks")
+    discard(heads)
     kept = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("tag") == F.col("head.tag")) & (F.col("first_byte") == F.col("head.first_byte"))
     marked = several.withColumn("kept", kept)
     first = marked.filter("kept").groupBy(*KEY).agg(F.min("body").alias("first_body"))

@@ -6,11 +6,14 @@ import os
 import tempfile
 import uuid
 import weakref
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_OPEN: list[set[str]] = []
 _PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
@@ -27,7 +30,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/poiweave-{name}-{os.getpid()}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/poiweave-{name}-{os.getpid()}-{uuid.uuid4().hex}"
+    for paths in _OPEN:
+        paths.add(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """What operators write inside goes at the end, but for the stored tables that are handed to the function given."""
+    paths: set[str] = set()
+    _OPEN.append(paths)
+
+    def keep(df: DataFrame) -> DataFrame:
+        paths.discard(_PATHS[df])
+        return df
+
+    try:
+        yield keep
+    finally:
+        _OPEN.remove(paths)
+        for path in paths:
+            remove(spark, path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -45,8 +69,12 @@ def discard(*tables: DataFrame) -> None:
     for df in tables:
         path = _PATHS.pop(df, None)
         if path is not None:
-            files, place = _files(df.sparkSession, path)
-            files.delete(place, True)
+            remove(df.sparkSession, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _files(spark, path)
+    files.delete(place, True)
 
 
 def _files(spark: SparkSession, path: str):

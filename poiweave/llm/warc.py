@@ -2,7 +2,8 @@
 
 A response larger than ``segment_bytes`` is written as a first record and continuation records, each
 naming the first (``WARC-Segment-Origin-ID``), its number, and, on the last, the total length. The HTTP body uses
-chunked transfer framing. Reading parses each archive by content lengths, groups segments by their origin,
+chunked transfer framing. Records have the fields that WARC/1.1 requires of their type: date (that of writing), target address, content
+type, and the profile of revisits. Each record is a gzip member of its own, so a reader can start at any of them. Reading parses each archive by content lengths, groups segments by their origin,
 orders them by number, checks numbers and total length, and decodes the chunks.
 
 Archives are files of bounded size; a record's segments meet in one row, as its payload did in the
@@ -19,19 +20,25 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from poiweave.llm import arrays as ar
-from poiweave.llm.shared import new_path, stored
+from poiweave.llm.shared import new_path, remove, stored
 
 SMALLEST_REVISIT = 100
 SEGMENT_BYTES = 4096
 CHUNK_BYTES = 1000
 ARCHIVE_ROWS = 2000
 SALTS = 16
+LEVEL = 3
+UNDATED = "1970-01-01T00:00:00Z"
+# Fixed values of the format.
+HTTP = "application/http; msgtype=response"
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _CRLF = b"\r\n"
 RECORDS = (
     "record_id string, type string, target string, refers_to string, payload_digest string, "
@@ -121,15 +128,16 @@ def _one_line(value: str | None) -> str:
 
 def _header(fields: list[tuple[str, object]], block: bytes) -> bytes:
     lines = [b"WARC/1.1", *(f"{k}: {v}".encode() for k, v in fields if v is not None), b"Content-Length: %d" % len(block)]
-    return _CRLF.join(lines) + _CRLF + _CRLF + block + _CRLF
+    return _CRLF.join(lines) + _CRLF + _CRLF + block + _CRLF + _CRLF
 
 
-def records_of(row: dict, segment_bytes: int, chunk_bytes: int) -> list[bytes]:
-    """The records of one page, each ending in one line break; the writer adds the second."""
-    base = [("WARC-Type", row["record_type"]), ("WARC-Record-ID", row["record_id"]), ("WARC-Target-URI", _one_line(row["url"])), ("WARC-Payload-Digest", f"sha256:{row['payload_digest']}")]
+def records_of(row: dict, segment_bytes: int, chunk_bytes: int, date: str = UNDATED) -> list[bytes]:
+    """The records of one page."""
+    place = [("WARC-Date", date), ("WARC-Target-URI", _one_line(row["url"]))]
+    base = [("WARC-Type", row["record_type"]), ("WARC-Record-ID", row["record_id"]), *place, ("WARC-Payload-Digest", f"sha256:{row['payload_digest']}"), ("Content-Type", HTTP)]
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
     if row["record_type"] == "revisit":
-        return [_header([*base, ("WARC-Refers-To", row["refers_id"])], http)]
+        return [_header([*base, ("WARC-Profile", PROFILE), ("WARC-Refers-To", row["refers_id"])], http)]
     block = http + chunked(row["payload"].encode(), chunk_bytes)
     if len(block) <= segment_bytes:
         return [_header(base, block)]
@@ -138,26 +146,39 @@ def records_of(row: dict, segment_bytes: int, chunk_bytes: int) -> list[bytes]:
     for k, part in enumerate(parts[1:], 2):
         last = len(block) if k == len(parts) else None
         own = row["record_id"][:-1] + f":{k}>"
-        out.append(_header([("WARC-Type", "continuation"), ("WARC-Record-ID", own), ("WARC-Segment-Origin-ID", row["record_id"]), ("WARC-Segment-Number", k), ("WARC-Segment-Total-Length", last)], part))
+        out.append(_header([("WARC-Type", "continuation"), ("WARC-Record-ID", own), *place, ("WARC-Segment-Origin-ID", row["record_id"]), ("WARC-Segment-Number", k), ("WARC-Segment-Total-Length", last)], part))
     return out
 
 
-def _encode(segment_bytes: int, chunk_bytes: int):
+def members(record: bytes) -> bytes:
+    """The record as one gzip member. The member's last byte, the highest of the record's length, is 0; a record of 16 MiB or more, as an
+    address of that length would make, gets its end as a second member for that."""
+    parts = [record] if len(record) < 1 << 24 else [record[:-1], record[-1:]]
+    return b"".join(gzip.compress(p, LEVEL, mtime=0) for p in parts)
+
+
+def _encode(segment_bytes: int, chunk_bytes: int, date: str):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(records_of(row, segment_bytes, chunk_bytes), pa.binary())], ["record"])
+                found = records_of(row, segment_bytes, chunk_bytes, date)
+                yield pa.RecordBatch.from_arrays([pa.array([members(r)[:-1] for r in found], pa.binary())], ["record"])
 
     return run
 
 
-def write_archives(planned: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES) -> None:
-    """Write the planned records as archives of bounded size. Spark's text writer puts a line break after each record."""
+def write_archives(
+    planned: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES, date: str | None = None
+) -> None:
+    """Write the planned records as archives of bounded size, dated by the time of writing unless ``date`` is given.
+
+    Spark's text writer writes the bytes of a record as they are, and its line separator behind each: the zero that ends a gzip member.
+    """
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     turn = F.col("turn") if "turn" in planned.columns else None
     ready = planned.select("record_type", "url", "payload", "payload_digest", _record_id(F.col("page_id"), turn).alias("record_id"), F.when(F.col("refers_to").isNotNull(), _record_id(F.col("refers_to"))).alias("refers_id"))
-    records = ready.mapInArrow(_encode(segment_bytes, chunk_bytes), "record binary")
-    # The bytes go to the file as they are: a string column is what the writer takes.
-    records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\r\n").option("compression", "gzip").option("maxRecordsPerFile", ARCHIVE_ROWS).text(path)
+    records = ready.mapInArrow(_encode(segment_bytes, chunk_bytes, date), "record binary")
+    records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\0").option("maxRecordsPerFile", ARCHIVE_ROWS).text(path)
 
 
 def parse_archive(content: bytes):
@@ -279,4 +300,6 @@ def round_trip(spark: SparkSession, pages: DataFrame, every_row: bool = False) -
     path = new_path(spark, "warc")
     planned = plan_records(pages)
     write_archives(with_turns(planned) if every_row else planned, path)
-    return resolved(reassemble(read_records(spark, path)))
+    done = resolved(reassemble(read_records(spark, path)))
+    remove(spark, path)  # what the records hold is stored by now
+    return done

@@ -405,6 +405,33 @@ def test_warc_gives_a_row_for_each_repeated_row(spark):
     assert whole.select("record_id").distinct().count() == len(rows)
 
 
+def test_archives_hold_a_valid_record_in_each_gzip_member(spark, tmp_path):
+    rows = [(1, "http://a/1\r\nX: y", "ü" * 9000), (2, "http://a/2", "ü" * 9000), (3, None, None), (None, "http://a/n", "x" * 5000)]
+    planned = warc.plan_records(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    warc.write_archives(planned, str(tmp_path / "w"), date="2026-01-02T03:04:05Z")
+    kinds, http = Counter(), "application/http; msgtype=response"
+    for file in (tmp_path / "w").glob("part-*"):
+        left = file.read_bytes()
+        while left:
+            reader = zlib.decompressobj(31)
+            record, left = reader.decompress(left), reader.unused_data
+            assert reader.eof and record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n")
+            head, _, rest = record.partition(b"\r\n\r\n")
+            fields = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in head.decode().split("\r\n")[1:])
+            assert int(fields["Content-Length"]) == len(rest) - 4
+            assert fields["WARC-Date"] == "2026-01-02T03:04:05Z" and re.fullmatch("<urn:[^<>]+>", fields["WARC-Record-ID"]) and "WARC-Target-URI" in fields
+            kind = fields["WARC-Type"]
+            kinds[kind] += 1
+            assert kind == "continuation" or fields["Content-Type"] == http
+            assert (kind == "revisit") == ("WARC-Profile" in fields) == ("WARC-Refers-To" in fields)
+            assert kind != "continuation" or {"WARC-Segment-Number", "WARC-Segment-Origin-ID"} <= set(fields)
+    assert kinds == {"response": 3, "revisit": 1, "continuation": 4 + 1}
+    large = b"z" * (1 << 24)
+    assert warc.members(large)[-1:] == warc.members(b"x")[-1:] == b"\0" and zlib.decompressobj(31).decompress(warc.members(b"x")) == b"x"
+    spark_rows = warc.round_trip(spark, spark.createDataFrame([], "page_id long, url string, html string"))
+    assert spark_rows.count() == 0
+
+
 def test_warc_segments_are_verified(spark):
     page = {"record_type": "response", "record_id": "<urn:page:1:ab>", "url": "u", "payload_digest": "d", "payload": "z" * 5000}
     parts = warc.records_of(page, 1000, 300)

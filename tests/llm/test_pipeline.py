@@ -10,6 +10,7 @@ import corpus_pipeline
 from checks.compare import duck, rows
 from poiweave.llm.oracles import oracles
 from poiweave.llm.queries import registered
+from poiweave.llm.shared import listed
 from .test_operators import brute_components, word_sets
 
 SF = "/root/testdata/sf0.01"
@@ -58,6 +59,13 @@ def test_stages_drop_what_they_should(spark):
     assert Counter(r.doc_id for r in final) == Counter(i for i, _ in texts[4]) and all(r.lossless for r in final)
 
 
+def test_a_run_leaves_one_table_behind(spark, sf_dir):
+    before = set(listed(spark))
+    out = corpus_pipeline.run(spark, sf_dir)
+    assert len(set(listed(spark)) - before) == 1
+    assert 0 < out.count() <= spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+
+
 def test_empty_documents(spark):
     none = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
