@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from poiweave.llm import decontamination, exact, minhash, pieces, quality
-from poiweave.llm.shared import stored
+from poiweave.llm.shared import discard, stored, temporary
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -57,5 +57,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.split()[0].lower())
+        with temporary(spark) as keep:
+            before, docs = docs, keep(stored(stage(spark, docs, sf_dir), name.split()[0].lower()))
+        discard(before)  # the next stage starts from what this one wrote
     return STAGES[-1][1](spark, docs, sf_dir)
