@@ -1,5 +1,7 @@
 """Plans: what is pushed down, shuffled, broadcast and split."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,10 +12,10 @@ from poiweave.operators.dedup import keep_last, keep_last_window
 from poiweave.operators.numbering import number_rows
 from poiweave.operators.poi import build_poi, clean_poi
 from poiweave.operators.prefilter import may_match
-from poiweave.sinks.tables import write_link_table
+from poiweave.sinks.tables import write_link_table, write_poi_table
 from poiweave.sources.articledump import pages_from_records
 from poiweave.sources.linkdump import link_tuples
-from poiweave.sources.tables import read_link_table, stored_bytes
+from poiweave.sources.tables import read_link_table, read_table, stored_bytes
 
 
 def plan(df):
@@ -130,6 +132,29 @@ def test_numbers_are_dense_across_ranges(spark):
         assert [n for _, n in mine] == list(range(1, len(mine) + 1))
 
 
+@pytest.mark.parametrize("limit", [1 << 30, 0])
+def test_numbers_come_in_page_order_whatever_the_ids(spark, limit):
+    """Rows without an id come first, each with a number; rows of one id share one."""
+    ids = [None, None, 7, 3, 120, 120, 99_999, -5]
+    rows = spark.createDataFrame([("w", lang, i, f"{lang}{k}") for lang in ("en", "nl") for k, i in enumerate(ids)], "wiki string, lang string, page_id long, NAME string")
+    got = number_rows(rows, "n", width=100, broadcast_bytes=limit).collect()
+    for lang in ("en", "nl"):
+        mine = [(r.page_id, r.n) for r in got if r.lang == lang]
+        assert sorted(n for i, n in mine if i is None) == [1, 2]
+        assert sorted((i, n) for i, n in mine if i is not None) == [(-5, 3), (3, 4), (7, 5), (120, 6), (120, 6), (99_999, 7)]
+
+
+def test_numbering_moves_no_text(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "poi")
+    write_poi_table(registered()["poi"](spark, sf_dir), path)
+    numbered = number_rows(read_table(spark, path), "n")
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = numbered._jdf.queryExecution().explainString(mode)
+    moved = re.findall(r"\) (?:Exchange|Window|Sort)\b[^\n]*\n(?:Input|Output)[^:]*: (\[[^\n]*\])", text)
+    assert len(moved) >= 3 and not any("CONTENT" in x or "REMARKS" in x for x in moved)
+    assert numbered.count() == numbered.select("wiki", "lang", "n").distinct().count() > 0
+
+
 def test_prefilter_keeps_every_match_and_little_else(spark):
     articles = spark.range(0, 20_000).select(
         F.lit("en").alias("lang"), F.concat(F.lit("t"), F.col("id")).alias("title"), F.col("id").alias("page_id")
