@@ -42,6 +42,7 @@ TOP = 200
 SCALE = 1_000_000_000
 CELLS = 200_000
 FAN = 16
+SLICE = 8 << 20  # bytes of text whose terms are counted together
 HELD = 500_000  # terms that a task holds before it passes them on
 BLOCK = 512
 _GAPS = np.ones(256, bool)
@@ -65,7 +66,7 @@ def term_counts(data: np.ndarray, at: np.ndarray) -> tuple[pa.Array, np.ndarray,
 
 
 def _count_rows(batches):
-    for rows, data, at in ar.slices(batches):
+    for rows, data, at in ar.slices(batches, most=SLICE):
         terms, text, term, n = term_counts(data, at)
         lang, source = (ar.column(rows, c).dictionary_encode() for c in ("lang", "source"))
         group = np.asarray(lang.indices, np.int64) * len(source.dictionary) + np.asarray(source.indices, np.int64)
