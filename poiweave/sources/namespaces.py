@@ -1,6 +1,6 @@
 """Words of a wiki's language: media and category links, redirects.
 
-A dump's header names its own namespaces; ``read_namespaces`` takes them from the first lines of one file for each wiki and
+A dump's header names its own namespaces; ``read_namespaces`` takes them from the first bytes of one file for each wiki and
 language. Older names that articles still use, and the words of redirects, are in no header: they are the fixed values below.
 English words hold in every language.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from poiweave.sources.catalog import first_files
 
-HEADER_LINES = 400
+HEADER_BYTES = 1 << 16
 # Numbers of the media and the category namespace.
 _MEDIA_OR_CATEGORY = re.compile(r'<namespace\b[^>]*\bkey="(?:6|14)"[^>]*>([^<]*)</namespace>')
 WORDS_SCHEMA = "wiki string, lang string, own_words array<string>"
@@ -141,14 +141,26 @@ def is_redirect(body: str = "body", by_language: bool = True) -> Column:
     return F.expr(f"exists({words}, w -> startswith({start}, w))")
 
 
+def _beginning(spark: SparkSession, path: str) -> bytes:
+    """The first bytes of a file, decompressed as its name says."""
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    place = hadoop.fs.Path(path)
+    codec = hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+    stream = place.getFileSystem(conf).open(place)
+    try:
+        return bytes((stream if codec is None else codec.createInputStream(stream)).readNBytes(HEADER_BYTES))
+    finally:
+        stream.close()
+
+
 def read_namespaces(spark: SparkSession, dumps: str | list[str]) -> DataFrame:
     """``wiki, lang, own_words``: the names that the dumps' headers give media and categories, in lower case.
 
-    One file of each wiki and language is opened and its first lines are read; a dump without a header gives no row.
+    One file of each wiki and language is opened and its first bytes are read, without a job; a dump without a header gives no row.
     """
     rows = []
     for (wiki, lang), path in first_files(spark.read.text(dumps)).items():
-        header = "\n".join(r.value for r in spark.read.text(path).head(HEADER_LINES)).partition("</siteinfo>")[0]
+        header = _beginning(spark, path).decode("utf-8", "replace").partition("</siteinfo>")[0]
         words = {html.unescape(w).replace("_", " ").strip().lower() for w in _MEDIA_OR_CATEGORY.findall(header)}
         if words - {""}:
             rows.append((wiki, lang, sorted(words - {""})))
