@@ -17,6 +17,9 @@ that cannot repeat are set aside first, and the others are dealt so that all suf
 4. Anchors that occur more than ``HOT`` times (a phrase in countless different sentences) would make one bucket large; their
    windows are dealt by their own bytes instead, merged by salt first.
 
+Spark distributes steps 1, 2 and 4 and the dealing of step 3: every suffix that could share a 50-byte prefix with another meets it in one
+bucket of bounded size. Within a bucket the difference-cover algorithm (triples, names, recursion, merge) runs in that bucket's task.
+
 Texts travel in groups of about ``GROUP_BYTES``, dealt once by a hash of the id; anchors, contexts and results are packed arrays.
 
 Defined cases: a null or empty text has no bytes; a null id is larger than any other and null ids do not remove from one another; rows of one id
