@@ -660,6 +660,16 @@ def test_quality_on_held_out_rows(spark):
     assert quality.keep_good(odd.limit(0), field).count() == 0
 
 
+def test_empty_tables_give_no_rows(spark):
+    none = frame(spark, [])
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert suffixes.drop_repeats(none).collect() == []
+    assert toxicity.score_documents(none, toxicity.fit(none, labels)).collect() == []
+    assert quality.score_documents(none, quality.fit(none, labels)).collect() == []
+    assert language.identify(language.document_evidence(none), language.fit(none)).collect() == []
+    assert minhash.near_groups(none).collect() == [] and exact.exact_groups(none).collect() == []
+
+
 def test_no_significant_term_is_left_out(spark):
     rng = random.Random(4)
     terms = ["".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(7)) + f"{k:04d}" for k in range(2100)] + ["w" * 60]
