@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import zlib
 from datetime import UTC, datetime
 
 import pyarrow as pa
@@ -35,6 +36,7 @@ CHUNK_BYTES = 1000
 ARCHIVE_ROWS = 2000
 SALTS = 16
 LEVEL = 3
+PIECE = 16384
 UNDATED = "1970-01-01T00:00:00Z"
 # Fixed values of the format.
 HTTP = "application/http; msgtype=response"
@@ -160,9 +162,16 @@ def members(record: bytes) -> bytes:
 def _encode(segment_bytes: int, chunk_bytes: int, date: str):
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                found = records_of(row, segment_bytes, chunk_bytes, date)
-                yield pa.RecordBatch.from_arrays([pa.array([members(r)[:-1] for r in found], pa.binary())], ["record"])
+            found, size = [], 0
+            for i in range(batch.num_rows):
+                for record in records_of(batch.slice(i, 1).to_pylist()[0], segment_bytes, chunk_bytes, date):
+                    found.append(members(record)[:-1])
+                    size += len(found[-1])
+                if size > 1 << 20:
+                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["record"])
+                    found, size = [], 0
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["record"])
 
     return run
 
@@ -181,10 +190,35 @@ def write_archives(
     records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\0").option("maxRecordsPerFile", ARCHIVE_ROWS).text(path)
 
 
+def unzipped(content: bytes) -> tuple[bytes, bool]:
+    """The members of a gzip file joined, and whether the last one is whole. Bytes are handed on a piece at a time, as what a
+    member leaves over is copied."""
+    view, at, out = memoryview(content), 0, []
+    while at < len(view):
+        reader = zlib.decompressobj(31)
+        try:
+            while not reader.eof and at < len(view):
+                piece = view[at : at + PIECE]
+                out.append(reader.decompress(piece))
+                at += len(piece) - len(reader.unused_data)
+        except zlib.error:
+            return b"".join(out), False
+        if not reader.eof:
+            return b"".join(out), False
+    return b"".join(out), True
+
+
 def parse_archive(content: bytes):
-    """Records of an archive, plain or gzip, as rows of ``RECORDS``."""
+    """Records of an archive, plain or gzip, as rows of ``RECORDS``; what a broken gzip member leaves out is an error."""
+    whole = True
     if content[:2] == b"\x1f\x8b":
-        content = gzip.decompress(content)
+        content, whole = unzipped(content)
+    yield from _records(content)
+    if not whole:
+        yield (None, None, None, None, None, None, None, None, None, "archive cut short")
+
+
+def _records(content: bytes):
     at = 0
     while at < len(content):
         head_end = content.find(_CRLF + _CRLF, at)

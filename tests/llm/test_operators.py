@@ -432,6 +432,15 @@ def test_archives_hold_a_valid_record_in_each_gzip_member(spark, tmp_path):
     assert spark_rows.count() == 0
 
 
+def test_broken_archives_give_errors():
+    records = [warc.records_of({"record_type": "response", "record_id": f"<urn:page:{k}:ab>", "url": "u", "payload_digest": "d", "payload": prose(900, k)}, 1 << 20, 300)[0] for k in range(40)]
+    data = b"".join(map(warc.members, records))
+    assert warc.unzipped(data) == (b"".join(records), True)
+    for broken in (data[:-9], data[:-9] + b"garbage!!"):
+        rows = list(warc.parse_archive(broken))
+        assert [r[0] for r in rows[:39]] == [f"<urn:page:{k}:ab>" for k in range(39)] and rows[-1][-1] == "archive cut short"
+
+
 def test_warc_segments_are_verified(spark):
     page = {"record_type": "response", "record_id": "<urn:page:1:ab>", "url": "u", "payload_digest": "d", "payload": "z" * 5000}
     parts = warc.records_of(page, 1000, 300)
