@@ -53,9 +53,9 @@ def paired_steps(
     starts = f"transform(sort_array(transform({cuts}, c -> c.a)), a -> 2 * a)"
     stops = f"transform(sort_array(transform({cuts}, c -> c.b)), b -> 2 * b + 1)"
     beyond = f"coalesce(get({edges}, j + 1).at, 2 * size({marks}))"
-    return {
-        marks: f"if(contains({text}, '{opening}') and contains({text}, '{closing}'), regexp_extract_all({text}, r'({pattern})', 0), cast(array() as array<string>))",
-        pieces: f"if(size({marks}) > 0, split({text}, r'{pattern}', -1), cast(array() as array<string>))",
+    steps = {
+        marks: f"regexp_extract_all({text}, r'({pattern})', 0)",
+        pieces: f"split({text}, r'{pattern}', -1)",
         col("events"): _events(ups, downs),
         chain: f"sort_array(filter(transform({col('events')}, (e, j) -> {levelled}), x -> not (x.up and x.between)))",
         ends: f"filter(transform({chain}, (e, j) -> named_struct('level', e.level, 'mark', e.mark, 'up', e.up, 'between', e.between, 'cut', {last})), x -> not x.between)",
@@ -65,6 +65,13 @@ def paired_steps(
         # Pieces at even places, the marks between them at odd ones.
         tokens: f"flatten(transform({pieces}, (p, i) -> if(i < size({marks}), array(p, get({marks}, i)), array(p))))",
         kept: f"filter(transform({edges}, (e, j) -> named_struct('from', e.at + 1, 'to', {beyond}, 'free', not e.up and j = 2 * e.k + 1)), x -> x.free)",
-        name: f"if(size({cuts}) = 0, {text}, concat(array_join(slice({tokens}, 1, get({edges}, 0).at + 1), ''), "
-        f"array_join(flatten(transform({kept}, x -> slice({tokens}, x.from + 1, x.to - x.from + 1))), '')))",
     }
+    body = (
+        f"if(size({cuts}) = 0, {text}, concat(array_join(slice({tokens}, 1, get({edges}, 0).at + 1), ''), "
+        f"array_join(flatten(transform({kept}, x -> slice({tokens}, x.from + 1, x.to - x.from + 1))), '')))"
+    )
+    # Each step is bound to a name for those behind it, in one expression: texts without both marks skip it all, and the
+    # code generated for a row stays small enough to be compiled.
+    for step, sql in reversed(steps.items()):
+        body = f"element_at(transform(array({sql}), {step} -> {body}), 1)"
+    return {name: f"if(contains({text}, '{opening}') and contains({text}, '{closing}'), {body}, {text})"}
