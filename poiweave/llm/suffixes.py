@@ -13,12 +13,14 @@ that cannot repeat are set aside first, and the others are dealt so that all suf
 3. Suffix array. Each bucket of anchors sorts the suffixes of its distinct contexts with the difference-cover
    algorithm: sampled triples are sorted and named, the string of names is sorted by recursion, the remaining
    suffixes are sorted by their first byte and the rank behind it, and both are merged. Adjacent suffixes whose first 50 bytes agree
-   form a class, whose smallest document decides. Windows whose hash occurs once in the bucket are left out of the array.
+   form a class, whose smallest document decides. Equal windows have the same anchor, so a bucket is worked off in parts by the anchor's
+   hash, about ``AT_ONCE`` contexts together: arrays, some hundred bytes for each byte of context, stay small. Windows whose hash occurs
+   once in them are left out of the array.
 4. Anchors that occur more than ``HOT`` times (a phrase in countless different sentences) would make one bucket large; their
    windows are dealt by their own bytes instead, merged by salt first.
 
 Spark distributes steps 1, 2 and 4 and the dealing of step 3: every suffix that could share a 50-byte prefix with another meets it in one
-bucket of bounded size. Within a bucket the difference-cover algorithm (triples, names, recursion, merge) runs in that bucket's task.
+part of a bucket of bounded size. Within a part the difference-cover algorithm (triples, names, recursion, merge) runs in the bucket's task.
 
 Texts travel in groups of about ``GROUP_BYTES``, dealt once by a hash of the id; anchors, contexts and results are packed arrays.
 
@@ -46,12 +48,13 @@ WIDE = LENGTH + REACH
 GROUP_BYTES = 1 << 20
 BUCKET_BYTES = 4 << 20
 HOT = 5000
+AT_ONCE = 1 << 12  # contexts sorted together; more where one of a bucket's 256 parts has more
 SALTS = 16
 LAST = (1 << 63) - 1  # stands for a null id
 
 ANCHORS = "bucket int, g int, hashes binary, counts binary"
 REPLIES = "g int, keys binary"
-CONTEXTS = "bucket int, salt int, bytes binary, size binary, owner binary, tag binary, place binary"
+CONTEXTS = "bucket int, salt int, bytes binary, size binary, part binary, owner binary, tag binary, place binary"
 SPANS = "g int, owner binary, tag binary, first binary, last binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
@@ -169,8 +172,9 @@ def _tables(table: pa.Table):
             yield rows, ids, data, at, np.array([zlib.crc32(raw[a:b]) for a, b in zip(at[:-1], at[1:])], np.uint32)
 
 
-def _split(bucket: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    order = np.argsort(bucket, kind="stable")
+def _split(bucket: np.ndarray, part: np.ndarray | None = None) -> list[tuple[int, np.ndarray]]:
+    """Each bucket with the indexes of its elements, in order of ``part`` if given."""
+    order = np.argsort(bucket if part is None else bucket << 8 | part, kind="stable")
     first = ar.runs(bucket[order])
     return [(int(bucket[order[lo]]), order[lo:hi]) for lo, hi in zip(first, np.r_[first[1:], len(order)])]
 
@@ -226,8 +230,8 @@ def _repeated_anchors(key, table):
     several = np.bincount(place, counts & 1) > 0
     again = ((in_groups > 1) | several)[place]
     hot = np.bincount(place, counts >> 1) > HOT
-    packed = (np.uint64(key[0].as_py()) << np.uint64(33)) | (hot[place].astype(np.uint64) << np.uint64(32)) | low
-    return _table([(g, packed[again][i].tobytes()) for g, i in _split(group[again])], REPLIES)
+    packed = ((np.uint64(key[0].as_py()) << np.uint64(33)) | (hot[place].astype(np.uint64) << np.uint64(32)) | low)[again]
+    return _table([(g, packed[i].tobytes()) for g, i in _split(group[again])], REPLIES)
 
 
 # --- contexts -------------------------------------------------------------------------------------
@@ -274,7 +278,7 @@ _NAMES = [x.split()[0] for x in OPEN.split(", ")]
 
 
 def _open_rows(records: list[tuple], spans: _Spans) -> pa.Table:
-    done = [(-1 - g, -1, None, None, o, t, None, f, e) for g, o, t, f, e in spans.rows()]
+    done = [(-1 - g, -1, None, None, None, o, t, None, f, e) for g, o, t, f, e in spans.rows()]
     return _table([(*r, None, None) for r in records] + done, OPEN)
 
 
@@ -295,35 +299,36 @@ def _send_contexts(buckets: int, groups: int):
             full = (bucket.astype(np.uint64) << np.uint64(33)) | low
             k = np.minimum(np.searchsorted(plain, full), len(plain) - 1)
             hit = plain[k] == full
-            place, bucket, flag = place[hit], bucket[hit], is_hot[k[hit]]
+            place, bucket, part, flag = place[hit], bucket[hit], low[hit] >> np.uint32(24), is_hot[k[hit]]
             row = np.searchsorted(at, place, "right") - 1
             start, end = np.maximum(place - REACH, at[row]), np.minimum(place + ANCHOR + REACH, at[row + 1])
             fits = end - start >= LENGTH
             padded = np.r_[data, np.zeros(WIDE, np.uint8)]
             for mask, into, width in ((fits & ~flag, cold, WIDE), (fits & flag, hot, LENGTH)):
-                s, e, r, b = start[mask], end[mask], row[mask], bucket[mask]
+                s, e, r, b, p = start[mask], end[mask], row[mask], bucket[mask], part[mask]
                 if width == LENGTH:  # each window on its own
                     n = e - s - LENGTH + 1
                     s = np.repeat(s, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                     s, r = np.unique(np.stack([s, np.repeat(r, n)]), axis=1) if len(s) else (s, np.repeat(r, n))
                     e, b = s + LENGTH, None
-                body = padded[s[:, None] + np.arange(width)]
+                body = np.lib.stride_tricks.sliding_window_view(padded, width)[s]
                 body[np.arange(width) >= (e - s)[:, None]] = 0
                 if b is None:
-                    b = (ar.span_hash(ar.prefix_hash(data), s, e) % np.uint64(buckets)).astype(np.int64)
-                into.append((b, body, (e - s).astype(np.uint8), ids[r], tags[r], s - at[r]))
+                    whole = ar.span_hash(ar.prefix_hash(data), s, e)
+                    b, p = (whole % np.uint64(buckets)).astype(np.int64), whole >> np.uint64(56)
+                into.append((b, body, (e - s).astype(np.uint8), p.astype(np.uint8), ids[r], tags[r], s - at[r]))
         salt = key[0].as_py() % SALTS
         for parts, number in ((cold, -1), (hot, salt)):
-            b, body, size, owner, tag, place = (np.concatenate(x) for x in zip(*parts))
+            b, body, size, part, owner, tag, place = (np.concatenate(x) for x in zip(*parts))
             if not len(b):
                 continue
-            records += _undecided(b, body, size, owner, tag, place, number, spans)
+            records += _undecided(b, body, size, part, owner, tag, place, number, spans)
         return _open_rows(records, spans)
 
     return run
 
 
-def _undecided(bucket, body, size, owner, tag, place, salt: int, spans: _Spans) -> list[tuple]:
+def _undecided(bucket, body, size, part, owner, tag, place, salt: int, spans: _Spans) -> list[tuple]:
     """Records that hold their context's smallest document here; the others are decided: all their bytes go."""
     number, _, least = _merged(body, size, owner)
     later = owner > least[number]
@@ -331,8 +336,8 @@ def _undecided(bucket, body, size, owner, tag, place, salt: int, spans: _Spans)
     keep = np.flatnonzero(~later)
     pack = zstandard.ZstdCompressor(level=3).compress
     return [
-        (b, salt, pack(body[i].tobytes()), size[i].tobytes(), owner[i].astype(np.int64).tobytes(), tag[i].astype(np.uint32).tobytes(), place[i].astype(np.int32).tobytes())
-        for b, i in ((b, keep[i]) for b, i in _split(bucket[keep]))
+        (b, salt, pack(body[i].tobytes()), size[i].tobytes(), part[i].tobytes(), owner[i].astype(np.int64).tobytes(), tag[i].astype(np.uint32).tobytes(), place[i].astype(np.int32).tobytes())
+        for b, i in ((b, keep[i]) for b, i in _split(bucket[keep], part[keep]))
     ]
 
 
@@ -346,13 +351,26 @@ def _unpacked(table: pa.Table):
             part = np.frombuffer(unpack(raw.as_py()), np.uint8).reshape(n, -1)
             body[at : at + n, : part.shape[1]] = part
             at += n
-    return body, size, _column(table, "owner", np.int64), _column(table, "tag", np.uint32), _column(table, "place", np.int32).astype(np.int64)
+    kinds = {"part": np.uint8, "owner": np.int64, "tag": np.uint32, "place": np.int32}
+    return body, size, *(_column(table, name, kind) for name, kind in kinds.items())
 
 
 def _decided(table: pa.Table, groups: int) -> _Spans:
-    """The spans to remove among the records of a bucket."""
+    """The spans to remove among the records of a bucket, found in whole parts, about ``AT_ONCE`` records together."""
     spans = _Spans(groups)
-    body, size, owner, tag, place = _unpacked(table)
+    body, size, part, owner, tag, place = _unpacked(table)
+    order = np.argsort(part, kind="stable")
+    edges = np.r_[ar.runs(part[order]), len(order)]
+    lo = 0
+    while lo < len(order):
+        hi = max(edges[edges <= lo + AT_ONCE][-1], edges[edges > lo][0])
+        i = order[lo:hi]
+        _decide(body[i], size[i], owner[i], tag[i], place[i].astype(np.int64), spans)
+        lo = hi
+    return spans
+
+
+def _decide(body, size, owner, tag, place, spans: _Spans) -> None:
     number, first, least = _merged(body, size, owner)
     later = owner > least[number]
     spans.add(owner[later], tag[later], place[later], place[later] + size[later])
@@ -389,7 +407,6 @@ def _decided(table: pa.Table, groups: int) -> _Spans:
         record = open_[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         begin = place[record] + np.repeat(offset[gone], n)
         spans.add(*_joined(owner[record], tag[record], begin, begin + LENGTH))
-    return spans
 
 
 def _first_merge(groups: int):
@@ -402,8 +419,8 @@ def _first_merge(groups: int):
         if salt < 0:
             return _open_rows([], _decided(table, groups))
         spans = _Spans(groups)
-        body, size, owner, tag, place = _unpacked(table)
-        return _open_rows(_undecided(np.full(len(size), bucket), body, size, owner, tag, place, 0, spans), spans)
+        body, size, part, owner, tag, place = _unpacked(table)
+        return _open_rows(_undecided(np.full(len(size), bucket), body, size, part, owner, tag, place, 0, spans), spans)
 
     return run
 

@@ -140,6 +140,36 @@ def test_hot_windows_give_the_same_spans(corpus, monkeypatch):
         assert sorted(got, key=repr) == expected
 
 
+def test_a_bucket_is_worked_off_in_parts(monkeypatch):
+    """A bucket of many contexts that all overlap others: arrays of bounded size, and the same spans however many go together."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    key = lambda *k: tuple(pa.scalar(x) for x in k)
+    passages = [prose(60, 5000 + k) for k in range(1500)]
+    texts = [f"{prose(3, k)} {passages[k % 1500]} {prose(3, 9000 + k)}" for k in range(3000)]
+    table = pa.table({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    replies = suffixes._repeated_anchors(key(0), suffixes._send_anchors(1)(key(0), table))
+    opened = suffixes._send_contexts(1, 1)(key(0), table, replies)
+    opened = opened.filter(pa.array([b == 0 for b in opened.column("bucket").to_pylist()]))
+    peaks, spans = [], []
+    for most in (1 << 30, suffixes.AT_ONCE):
+        monkeypatch.setattr(suffixes, "AT_ONCE", most)
+        tracemalloc.start()
+        found = suffixes._decided(opened, 1)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        gone = [set() for _ in texts]
+        for owner, _, first, last in found.found:
+            for o, a, b in zip(owner.tolist(), first.tolist(), last.tolist()):
+                gone[o].update(range(a, b))
+        spans.append(gone)
+    records = sum(len(x) for x in opened.column("size").to_pylist())
+    assert records > 4 * suffixes.AT_ONCE and spans[0] == spans[1] and any(spans[0])
+    assert peaks[1] < 50 << 20 and peaks[1] < peaks[0] / 2
+
+
 # --- near-duplicates -------------------------------------------------------------------------------
 
 
