@@ -6,7 +6,8 @@ size, and several outputs read one finished table instead of repeating the text
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import partial
 from typing import NamedTuple
 
@@ -35,6 +36,8 @@ from poiweave.sources.tables import read_link_table, read_table, stored_bytes
 
 # Compressed bytes; about ten times that in memory.
 BROADCAST_LIMIT = 32 << 20
+# Compressed bytes of article dumps in a task: each takes seconds to read, parse and clean.
+SPLIT_BYTES = 8 << 20
 
 
 def latest_links(
@@ -81,6 +84,22 @@ def _values(counts: dict[str, Count]) -> dict[str, int]:
     return found
 
 
+@contextmanager
+def _splits(spark: SparkSession, most: int) -> Iterator[None]:
+    """Files are cut into splits of at most ``most`` bytes by the actions inside, and small ones are packed by their bytes; a
+    session that asks for less keeps its setting."""
+    wanted = {"spark.sql.files.maxPartitionBytes": most, "spark.sql.files.openCostInBytes": most >> 3}
+    before = {key: spark.conf.get(key) for key in wanted}
+    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for key, value in wanted.items():
+        spark.conf.set(key, f"{min(value, in_bytes(before[key]))}b")
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def import_links(
     spark: SparkSession,
     dumps: str | list[str],
@@ -141,8 +160,9 @@ def import_articles(
     bodies = with_body(drop_marked_redirects(match_articles(pages, links, small_links=small)), "unparsed")
     bodies = _counted(bodies, counts, "matched", F.count_if("unparsed").alias("unparsed")).drop("unparsed")
     poi = derive_poi(with_text(bodies), namespaces=read_namespaces(spark, dumps), **options)
-    done = replaced(poi, write_poi_table, poi_table, lambda p: (p["wiki"], p["lang"]) in handled)
-    return done | _values(counts)
+    with _splits(spark, SPLIT_BYTES):
+        done = replaced(poi, write_poi_table, poi_table, lambda p: (p["wiki"], p["lang"]) in handled)
+        return done | _values(counts)
 
 
 WRITERS = {

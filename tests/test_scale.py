@@ -3,15 +3,17 @@
 import re
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from checks.queries import registered
+from checks.queries import LINK_VALUES, _last_links, registered
 from poiweave.operators import match as mt
 from poiweave.operators.dedup import keep_last, keep_last_window
 from poiweave.operators.numbering import number_rows
 from poiweave.operators.poi import build_poi, clean_poi
 from poiweave.operators.prefilter import may_match
+from poiweave.plans import jobs
 from poiweave.sinks.tables import write_link_table, write_poi_table
 from poiweave.sources.articledump import pages_from_records
 from poiweave.sources.linkdump import link_tuples
@@ -168,3 +170,47 @@ def test_prefilter_keeps_every_match_and_little_else(spark):
     assert ids >= set(range(0, 20_000, 20))
     assert len(ids) < 1000 + 19_000 * 0.02
     assert "BroadcastHashJoin" in plan(kept) and "Exchange hashpartitioning(lang" not in plan(kept)
+
+
+def test_dumps_are_written_in_one_pass(spark, tmp_path, monkeypatch):
+    """All dumps of a query come from a single pass over its table, and the jobs read from them what the tables say."""
+    texts = {k: f"Text of {k}. More [[{word}:a.jpg|thumb|gone]] text." for k in range(24) for word in ("Lichtbild",)}
+    docs = [(k, texts[k], ("de", "en", "fr", "es", None, "it")[k % 6]) for k in range(24)] + [(None, "No id.", "de"), (30, None, "en"), (2, texts[2], "fr")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    orders = [(k, k % 40) for k in range(400)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    written, real = [], DataFrameWriter.text
+    monkeypatch.setattr(DataFrameWriter, "text", lambda self, *args, **options: (written.append(args), real(self, *args, **options))[1])
+    found = {}
+    for name in ("links_from_files", "poi_from_files"):
+        written.clear()
+        found[name] = sorted(map(repr, registered()[name](spark, str(tmp_path)).collect()))
+        assert len(written) == 1
+    links = _last_links(spark, str(tmp_path)).select("lang", *LINK_VALUES)
+    assert found["links_from_files"] == sorted(map(repr, links.collect()))
+    in_tables = registered()["poi"](spark, str(tmp_path)).filter("lang in ('de', 'en', 'fr', 'es')")
+    assert len(found["poi_from_files"]) == in_tables.count() > 0
+    assert not any("Lichtbild" in row for row in found["poi_from_files"] if "lang='de'" in row)
+
+
+def test_article_dumps_are_read_in_small_splits(spark, tmp_path, monkeypatch):
+    """While the article job runs, a task reads a bounded part of the compressed dumps; afterwards the session is as it was."""
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before, seen, real = {k: spark.conf.get(k) for k in keys}, [], jobs.write_poi_table
+    pages = [(f"<page><title>P{k}</title><id>{k}</id><revision><text>Text {k}.</text></revision></page>",) for k in range(50)]
+    spark.createDataFrame(pages, "value string").coalesce(1).write.option("compression", "bzip2").text(str(tmp_path / "enwiki-latest-pages-articles.xml"))
+    links = spark.createDataFrame([("en", f"P{k}", 1.0, 2.0) for k in range(0, 50, 2)], "lang string, title string, latitude double, longitude double")
+    write_link_table(links.select("lang", "title", "latitude", "longitude", *[F.lit("").alias(c) for c in ("language", "poitype", "region")]), str(tmp_path / "links"))
+
+    def write(poi, path):
+        seen.append({k: spark.conf.get(k) for k in keys})
+        real(poi, path)
+
+    monkeypatch.setattr(jobs, "write_poi_table", write)
+    for asked, expected in (("128m", 8 << 20), ("64k", 64 << 10)):
+        spark.conf.set(keys[0], asked)
+        done = jobs.import_articles(spark, str(tmp_path / "enwiki*"), str(tmp_path / "links"), str(tmp_path / "poi"))
+        assert done["rows"] == done["matched"] == 25 and done["pages"] == 50
+        assert seen[-1][keys[0]] == f"{expected}b" and spark.conf.get(keys[0]) == asked
+        assert spark.conf.get(keys[1]) == before[keys[1]]
+    spark.conf.set(keys[0], before[keys[0]])
