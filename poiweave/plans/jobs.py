@@ -85,10 +85,8 @@ def _values(counts: dict[str, Count]) -> dict[str, int]:
 
 
 @contextmanager
-def _splits(spark: SparkSession, most: int) -> Iterator[None]:
-    """Files are cut into splits of at most ``most`` bytes by the actions inside, and small ones are packed by their bytes; a
-    session that asks for less keeps its setting."""
-    wanted = {"spark.sql.files.maxPartitionBytes": most, "spark.sql.files.openCostInBytes": most >> 3}
+def bounded(spark: SparkSession, wanted: dict[str, int]) -> Iterator[None]:
+    """The actions inside run with sizes of at most so many bytes; a session that asks for less keeps its setting."""
     before = {key: spark.conf.get(key) for key in wanted}
     in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
     for key, value in wanted.items():
@@ -160,7 +158,8 @@ def import_articles(
     bodies = with_body(drop_marked_redirects(match_articles(pages, links, small_links=small)), "unparsed")
     bodies = _counted(bodies, counts, "matched", F.count_if("unparsed").alias("unparsed")).drop("unparsed")
     poi = derive_poi(with_text(bodies), namespaces=read_namespaces(spark, dumps), **options)
-    with _splits(spark, SPLIT_BYTES):
+    # Files are cut into splits, and small ones packed by their bytes.
+    with bounded(spark, {"spark.sql.files.maxPartitionBytes": SPLIT_BYTES, "spark.sql.files.openCostInBytes": SPLIT_BYTES >> 3}):
         done = replaced(poi, write_poi_table, poi_table, lambda p: (p["wiki"], p["lang"]) in handled)
         return done | _values(counts)
 
